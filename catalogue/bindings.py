@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from catalogue.registry import cte
 from landledger import schemas
 from landledger.functions import text as tx_text
-from landledger.plans import cleaning
+from landledger.functions.dates import year_month
 from landledger.plans import marts as mart_plans
 from landledger.plans.reports import Marts, Years
 from landledger.plans.staging import typed_planning
@@ -30,8 +31,21 @@ SIZE_TEXTS = [
 ]
 
 
+# Declared, so that planning a query reads no file footers.
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _yes_no(c: Column) -> Column:
@@ -125,7 +139,7 @@ def tx(spark: SparkSession, sf_dir: str, *columns: str, eda: bool = False) -> Da
         "sale_year": (F.year(line["date"]), None),
         "sale_month": (F.month(line["date"]), None),
         "sale_quarter": (F.quarter(line["date"]), None),
-        "sale_year_month": (F.date_format(line["date"], "yyyy-MM"), None),
+        "sale_year_month": (year_month(line["date"]), None),
         "address": (line["address"], None),
         "county": (F.col("n_name"), _PLACE),
         "eircode": (line["eircode"], None),
@@ -143,11 +157,12 @@ def tx(spark: SparkSession, sf_dir: str, *columns: str, eda: bool = False) -> Da
     return _tx_view(spark, sf_dir, definitions, columns)
 
 
-def ix_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price index as delivered: monthly average order price against 1995."""
+def _index_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Average order price per month and series against 1995, from one scan."""
+    month = F.trunc(F.col("o_orderdate").cast("date"), "MM")
     monthly = (
         table(spark, sf_dir, "orders")
-        .groupBy(F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("m"), "o_orderpriority")
+        .groupBy(month.alias("m"), "o_orderpriority")
         .agg(
             F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("s"),
             F.count("o_totalprice").alias("n"),
@@ -156,26 +171,35 @@ def ix_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("m", "series")
         .agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
     )
-    in_base = F.year("m") == 1995
-    base = monthly.filter(in_base).groupBy("series").agg(F.sum("s").alias("bs"), F.sum("n").alias("bn"))
-    level = (
-        (F.col("s").cast("double") / F.col("n"))
-        / (F.col("bs").cast("double") / F.col("bn"))
-        * F.lit(100.0)
-    )
-    shown = F.when(~((F.col("series") == "5-LOW") & (F.month("m") == 2)), level.cast("decimal(10,2)").cast("string"))
-    return monthly.join(base, "series").select(
+    of_series, in_base = Window.partitionBy("series"), F.year("m") == 1995
+    base = F.sum(F.when(in_base, F.col("s"))).over(of_series).cast("double") / F.sum(
+        F.when(in_base, F.col("n"))
+    ).over(of_series)
+    level = F.col("s").cast("double") / F.col("n") / base * F.lit(100.0)
+    missing = (F.col("series") == "5-LOW") & (F.month("m") == 2)
+    return monthly.select("m", "series", F.when(~missing, level.cast("decimal(10,2)")).alias("level"))
+
+
+def ix_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price index as delivered: five text columns."""
+    return _index_levels(spark, sf_dir).select(
         F.lit("Residential price index").alias("Statistic Label"),
         F.date_format("m", "yyyy MMMM").alias("Month"),
         F.concat(F.lit(" "), F.col("series")).alias("Type of Residential Property"),
         F.lit(UNIT).alias("UNIT"),
-        shown.alias("VALUE"),
+        F.col("level").cast("string").alias("VALUE"),
     )
 
 
 def ix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed price index."""
-    return cleaning.clean_index(ix_raw(spark, sf_dir), check=False)
+    """Typed price index columns the marts use."""
+    return _index_levels(spark, sf_dir).select(
+        F.col("m").alias("month"),
+        year_month("m").alias("year_month"),
+        F.col("series").alias("property_series"),
+        F.lit(UNIT).alias("unit"),
+        F.col("level").alias("rppi_value"),
+    )
 
 
 def pl_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

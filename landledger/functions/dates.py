@@ -29,7 +29,8 @@ def month_start(c: Column | str) -> Column:
 
 
 def year_month(c: Column | str) -> Column:
-    return F.date_format(column(c), "yyyy-MM")
+    """yyyy-MM of a date; a cut of its ISO text is cheaper than a formatter."""
+    return F.left(column(c).cast("date").cast("string"), F.lit(7))
 
 
 def month_name(c: Column | str) -> Column:

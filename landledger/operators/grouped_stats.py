@@ -27,7 +27,7 @@ _NO_VALUE_BUCKET = -(1 << 62)
 
 
 def _minor_unit_scale(df: DataFrame, value: str) -> int:
-    # 15 digits of minor units are exact in a float, so the square root is monotone
+    # up to 15 digits the way through a float is exact, and the square root monotone
     dtype = df.schema[value].dataType
     if not isinstance(dtype, T.DecimalType) or dtype.precision > 15:
         raise TypeError(f"{value} must be a decimal of at most 15 digits, not {dtype}")
@@ -54,7 +54,7 @@ def value_tallies(
 ) -> DataFrame:
     """One row per (group, value): row count and conditional counts."""
     scale = _minor_unit_scale(df, value)
-    minor = (F.col("_value") * F.lit(10**scale)).cast("bigint")
+    minor = F.rint(F.col("_value").cast("double") * F.lit(float(10**scale))).cast("bigint")
     flags = {name: flag.alias(f"_t_{name}") for name, flag in (tallies or {}).items()}
     return (
         df.select(_group_key(keys).alias("_g"), F.col(value).alias("_value"), *flags.values())
@@ -146,9 +146,10 @@ def grouped_stats(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     v_start, v_stop = F.col("_v_stop") - F.col("_n"), F.col("_v_stop")
+    # values already lie by (_g, _b); only the few located buckets move to them
     at_rank = (
         values.select("_g", "_b", "_c", "_n")
-        .join(located, ["_g", "_b"])
+        .join(located.hint("shuffle_hash"), ["_g", "_b"])
         .withColumn("_v_stop", F.col("_start") + F.sum("_n").over(inside))
         .withColumn(
             "_hits", F.filter("_hits", lambda t: (t.rank >= v_start) & (t.rank < v_stop))
