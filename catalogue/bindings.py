@@ -82,28 +82,28 @@ def _padded(c: Column) -> Column:
 _PLACE, _SIZE = "place", "size"
 
 
+def _join_place(spark, sf_dir, df: DataFrame, order_key: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return (
+        df.join(orders, F.col(order_key) == F.col("o_orderkey"), "left")
+        .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    )
+
+
+def with_county(spark, sf_dir, df: DataFrame) -> DataFrame:
+    """Look the county up for rows that carry ``order_key``."""
+    return _join_place(spark, sf_dir, df, "order_key").withColumnRenamed("n_name", "county")
+
+
 def _tx_view(spark, sf_dir, definitions, columns) -> DataFrame:
-    wanted = columns or list(definitions)
+    wanted = columns or [c for c in definitions if c != "order_key"]
     needs = {definitions[c][1] for c in wanted}
     df = table(spark, sf_dir, "lineitem")
     if _PLACE in needs:
-        df = (
-            df.join(
-                table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"),
-                F.col("l_orderkey") == F.col("o_orderkey"),
-                "left",
-            )
-            .join(
-                table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
-                F.col("o_custkey") == F.col("c_custkey"),
-                "left",
-            )
-            .join(
-                table(spark, sf_dir, "nation").select("n_nationkey", "n_name"),
-                F.col("c_nationkey") == F.col("n_nationkey"),
-                "left",
-            )
-        )
+        df = _join_place(spark, sf_dir, df, "l_orderkey")
     if _SIZE in needs:
         df = df.join(
             table(spark, sf_dir, "part").select("p_partkey", "p_size"),
@@ -135,6 +135,7 @@ def tx(spark: SparkSession, sf_dir: str, *columns: str, eda: bool = False) -> Da
     line = _line_columns()
     classify = tx_text.size_category_eda if eda else tx_text.size_category_ingest
     definitions = {
+        "order_key": (F.col("l_orderkey"), None),
         "sale_date": (line["date"], None),
         "sale_year": (F.year(line["date"]), None),
         "sale_month": (F.month(line["date"]), None),
