@@ -36,6 +36,10 @@ def decode_header(name: str) -> str:
     return name.translate(str.maketrans(_CP1252_CONTROLS, _CP1252_SIGNS))
 
 
+def cp1252_name(name: str) -> str:
+    return name.translate(str.maketrans(_CP1252_SIGNS, _CP1252_CONTROLS))
+
+
 def missing_to_null(c: Column | str, tokens=MISSING_TOKENS) -> Column:
     c = column(c)
     return F.when(~c.isin(*tokens), c)
