@@ -215,8 +215,9 @@ def written_reports(spark, d):
     marts = b.marts(spark, d).written()
     folder = _scratch(spark, "reports")
     writers.sink_reports(reports.all_reports(marts, YEARS), folder)
-    expected = schemas.report_schemas(YEARS.baseline, LATEST)
-    return readers.scan_reports(spark, folder, expected), marts
+    last = reports.comparison_year(marts.county, YEARS)
+    expected = schemas.report_schemas(YEARS.baseline, last)
+    return readers.scan_reports(spark, folder, expected), marts, last
 
 
 _REPORT_ROWS = " UNION ALL ".join(
@@ -246,7 +247,7 @@ def sink_reports(spark, d):
     UNION ALL SELECT 'price_growth', CAST(year AS VARCHAR), mean_price_yoy_pct FROM b_growth""",
 )
 def scan_reports(spark, d):
-    found, _ = written_reports(spark, d)
+    found, _, _ = written_reports(spark, d)
     picked = [
         ("county_market", F.col("county"), F.col("mean_price").cast("double")),
         ("planning_authority", F.col("planning_authority"), F.col("grant_rate_pct")),

@@ -15,7 +15,7 @@ from landledger.functions.dates import period_label
 from landledger.functions.numbers import float_mean, plain_number, ratio_pct, round_even
 from landledger.operators.series import correlation_table, growth_pct, top_rows
 from landledger.operators.profile import guard
-from landledger.storage import materialise
+from landledger.storage import materialise, run_together
 
 
 @dataclass(frozen=True)
@@ -32,11 +32,9 @@ class Marts:
 
     def written(self) -> Marts:
         """The marts as written tables, so that many reports share one build."""
-        return Marts(
-            materialise(self.monthly, "monthly"),
-            materialise(self.county, "county"),
-            materialise(self.planning, "planning"),
-        )
+        tables = {"monthly": self.monthly, "county": self.county, "planning": self.planning}
+        jobs = [lambda n=n, df=df: materialise(df, n) for n, df in tables.items()]
+        return Marts(*run_together(jobs))
 
 
 MARKET_METRICS = ["transactions", "mean_price", "median_price", "national_rppi"]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landledger import schemas
+from landledger.storage import run_together
 
 
 def _with_flags_as_words(df: DataFrame) -> DataFrame:
@@ -41,7 +42,11 @@ def sink_clean(df: DataFrame, path: str, file_format: str = "parquet") -> str:
 
 def sink_reports(reports: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
     """One CSV folder per report; reports are small aggregates, one file each."""
-    return {name: write_csv(df, f"{folder}/{name}", one_file=True) for name, df in reports.items()}
+    jobs = [
+        lambda name=name, df=df: write_csv(df, f"{folder}/{name}", one_file=True)
+        for name, df in reports.items()
+    ]
+    return dict(zip(reports, run_together(jobs)))
 
 
 class Warehouse:

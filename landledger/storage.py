@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -44,3 +47,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def run_together(jobs: Sequence[Callable], at_once: int = 6) -> list:
+    """Run independent small jobs side by side and return their results in order.
+
+    Small aggregates leave most of a cluster idle while they wait for their own
+    stages, so several of them share it.
+    """
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return list(pool.map(lambda job: inheritable_thread_target(job)(), jobs))
