@@ -11,7 +11,7 @@ from catalogue.registry import cte, query
 from landledger.functions.numbers import round_even
 from landledger.operators import grouped_stats as stats
 from landledger.operators import series
-from landledger.plans import marts, reports
+from landledger.plans import reports
 
 
 def r6(df, *columns):
@@ -360,11 +360,9 @@ def _top5(ranking: str, table: str, metric: str) -> str:
     ),
 )
 def top5_counties(spark, d):
-    county = b.county(spark, d)
-    last = reports.comparison_year(b.tx(spark, d, "county", "sale_year"), b.YEARS)
+    county = b.stored_county(spark, d)
     return reports.top_counties(
-        reports.county_market_latest(county, b.YEARS),
-        reports.county_price_change(county, b.YEARS, last),
+        reports.county_market_latest(county, b.YEARS), reports.county_price_change(county, b.YEARS)
     )
 
 
@@ -374,7 +372,7 @@ def top5_counties(spark, d):
     (SELECT county FROM b_county_latest ORDER BY mean_price DESC NULLS LAST, county LIMIT 1) AS highest_mean_price""",
 )
 def argmax_row(spark, d):
-    return reports.argmax_rows(reports.county_market_latest(b.county(spark, d), b.YEARS))
+    return reports.argmax_rows(reports.county_market_latest(b.stored_county(spark, d), b.YEARS))
 
 
 @query(
@@ -393,10 +391,10 @@ def tail_n(spark, d):
     WHERE sale_year IN (1995, 2000) GROUP BY 1""",
 )
 def pivot_year(spark, d):
-    years = [b.YEARS.baseline, reports.comparison_year(b.tx(spark, d, "county", "sale_year"), b.YEARS)]
-    df = b.tx(spark, d, "county", "sale_year", "price_eur", "is_new_property", "is_second_hand_property")
+    county = b.stored_county(spark, d)
+    years = [b.YEARS.baseline, reports.comparison_year(county, b.YEARS)]
     return (
-        marts.county_market(df.filter(F.col("sale_year").isin(*years)))
+        county.filter(F.col("sale_year").isin(*years))
         .groupBy("county")
         .pivot("sale_year", years)
         .agg(F.first("mean_price", ignorenulls=True))

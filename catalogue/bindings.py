@@ -18,6 +18,7 @@ from landledger.functions.dates import year_month
 from landledger.plans import marts as mart_plans
 from landledger.plans.reports import Marts, Years
 from landledger.plans.staging import typed_planning
+from landledger.storage import materialise
 
 YEARS = Years(partial=2001, baseline=1995)
 SERIES, UNIT = "ALL", "Base 1995=100"
@@ -269,6 +270,15 @@ def planning(spark, sf_dir) -> DataFrame:
     return mart_plans.planning_activity(pl(spark, sf_dir))
 
 
+def stored_county(spark, sf_dir) -> DataFrame:
+    """County mart written once, for reports that read it more than once."""
+    return materialise(county(spark, sf_dir), "county")
+
+
+def stored_planning(spark, sf_dir) -> DataFrame:
+    return materialise(planning(spark, sf_dir), "planning")
+
+
 def marts(spark, sf_dir) -> Marts:
     return Marts(monthly(spark, sf_dir), county(spark, sf_dir), planning(spark, sf_dir))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from catalogue import bindings as b
 from catalogue.bindings import YEARS
 from catalogue.layers import raw_ix, raw_tx, written_reports
@@ -152,7 +154,7 @@ def qa_missing(spark, d):
 @query("qa_market_reconcile", SQL_MARKET)
 def qa_market_reconcile(spark, d):
     monthly = materialise(b.monthly(spark, d), "monthly")
-    last = reports.comparison_year(b.tx(spark, d, "county", "sale_year"), YEARS)
+    last = reports.latest_year(reports.by_year(monthly), F.col("year"), YEARS)
     found = {
         "annual_market": reports.annual_market_summary(monthly, YEARS),
         "market_ytd": reports.market_ytd(monthly, YEARS),
@@ -162,28 +164,27 @@ def qa_market_reconcile(spark, d):
 
 @query("qa_county_coverage", SQL_COVERAGE)
 def qa_county_coverage(spark, d):
-    county = materialise(b.county(spark, d), "county")
+    county = b.stored_county(spark, d)
     last = reports.comparison_year(county, YEARS)
     return quality.qa_county_coverage(reports.county_market_latest(county, YEARS), county, last)
 
 
 @query("qa_mix_shares", SQL_SHARES)
 def qa_mix_shares(spark, d):
-    latest = reports.county_market_latest(b.county(spark, d), YEARS)
+    latest = reports.county_market_latest(b.stored_county(spark, d), YEARS)
     return quality.qa_mix_shares(reports.county_property_mix(latest))
 
 
 @query("qa_price_change", SQL_CHANGE)
 def qa_price_change(spark, d):
-    county = materialise(b.county(spark, d), "county")
+    county = b.stored_county(spark, d)
     last = reports.comparison_year(county, YEARS)
     return quality.qa_price_change(reports.county_price_change(county, YEARS, last), YEARS, last)
 
 
 def _planning_and_latest(spark, d):
-    planning = materialise(b.planning(spark, d), "planning")
-    last = reports.comparison_year(b.tx(spark, d, "county", "sale_year"), YEARS)
-    return planning, last
+    planning = b.stored_planning(spark, d)
+    return planning, reports.latest_year(reports.by_year(planning), F.col("year"), YEARS)
 
 
 @query("qa_planning_total", SQL_PLANNING)

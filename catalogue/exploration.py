@@ -226,7 +226,10 @@ _P999 = "(SELECT quantile_cont(cents, 0.999) FROM b_tx)"
     f"SELECT {', '.join(eda.EXTREME_COLUMNS)} FROM b_tx WHERE cents >= {_P999}",
 )
 def extreme_transactions(spark, d):
-    return eda.extreme_transactions(_eda(spark, d, *eda.EXTREME_COLUMNS))
+    """The county is looked up for the extreme rows only."""
+    columns = [c for c in eda.EXTREME_COLUMNS if c != "county"]
+    rows = eda.extreme_rows(_eda(spark, d, *columns, "order_key"))
+    return eda.as_extreme_report(b.with_county(spark, d, rows))
 
 
 @query(

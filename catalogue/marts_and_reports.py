@@ -260,19 +260,17 @@ def price_growth(spark, d):
 
 @query("county_market_latest", "SELECT * FROM b_county_latest")
 def county_market_latest(spark, d):
-    return reports.county_market_latest(b.county(spark, d), YEARS)
+    return reports.county_market_latest(b.stored_county(spark, d), YEARS)
 
 
 @query("county_price_change", "SELECT * FROM b_change")
 def county_price_change(spark, d):
-    # the compared years name two columns, so one is read off the data first
-    last = reports.comparison_year(b.tx(spark, d, "county", "sale_year"), YEARS)
-    return reports.county_price_change(b.county(spark, d), YEARS, last)
+    return reports.county_price_change(b.stored_county(spark, d), YEARS)
 
 
 @query("county_property_mix", "SELECT * FROM b_mix")
 def county_property_mix(spark, d):
-    return reports.county_property_mix(reports.county_market_latest(b.county(spark, d), YEARS))
+    return reports.county_property_mix(reports.county_market_latest(b.stored_county(spark, d), YEARS))
 
 
 @query("annual_planning", "SELECT * FROM b_annual_planning")
@@ -282,7 +280,7 @@ def annual_planning(spark, d):
 
 @query("planning_authority_latest", "SELECT * FROM b_authority")
 def planning_authority_latest(spark, d):
-    return reports.planning_authority_latest(b.planning(spark, d), YEARS)
+    return reports.planning_authority_latest(b.stored_planning(spark, d), YEARS)
 
 
 @query("market_planning_correlation", "SELECT * FROM b_corr")

@@ -342,8 +342,6 @@ def cast_text(spark, d):
 
 @query("isin_filter", "SELECT county, sale_year, mean_price FROM b_county WHERE sale_year IN (1995, 2000)")
 def isin_filter(spark, d):
-    last = reports.comparison_year(b.tx(spark, d, "county", "sale_year"), b.YEARS)
-    df = b.tx(spark, d, "county", "sale_year", "price_eur", "is_new_property", "is_second_hand_property")
-    # filtering the sales first gives the same county rows with less work
-    kept = df.filter(F.col("sale_year").isin(b.YEARS.baseline, last))
-    return mart_plans.county_market(kept).select("county", "sale_year", "mean_price")
+    county = b.stored_county(spark, d)
+    compared = (b.YEARS.baseline, reports.comparison_year(county, b.YEARS))
+    return county.filter(F.col("sale_year").isin(*compared)).select("county", "sale_year", "mean_price")

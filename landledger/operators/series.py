@@ -97,9 +97,15 @@ def top_rows(df: DataFrame, columns: Sequence[str], by: str, n: int, ties: Seque
 
 
 def set_coverage(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
-    """Values of one side only, as (side, value)."""
-    a = left.select(column).dropna().distinct()
-    b = right.select(column).dropna().distinct()
-    missing = a.join(b, column, "left_anti").select(F.lit("missing").alias("side"), column)
-    extra = b.join(a, column, "left_anti").select(F.lit("extra").alias("side"), column)
-    return missing.unionByName(extra)
+    """Values of one side only, as (side, value); each side is read once."""
+    both = left.select(column, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(
+        right.select(column, F.lit(0).alias("_l"), F.lit(1).alias("_r"))
+    )
+    sides = (
+        both.filter(F.col(column).isNotNull())
+        .groupBy(column)
+        .agg(F.max("_l").alias("_l"), F.max("_r").alias("_r"))
+    )
+    return sides.filter(F.col("_l") != F.col("_r")).select(
+        F.when(F.col("_r") == 0, "missing").otherwise("extra").alias("side"), column
+    )

@@ -254,16 +254,24 @@ def _with_threshold(tx: DataFrame, quantile: float) -> DataFrame:
     return tx.join(F.broadcast(limit))
 
 
-def extreme_transactions(tx: DataFrame, quantile: float = EXTREME_QUANTILE) -> DataFrame:
+def extreme_rows(tx: DataFrame, quantile: float = EXTREME_QUANTILE) -> DataFrame:
     """Rows at or above the quantile; the threshold is one broadcast row."""
-    return (
-        _with_threshold(tx, quantile)
-        .filter(F.col("price_eur").cast("double") >= F.col("_limit"))
-        .select(*[c for c in EXTREME_COLUMNS if c in tx.columns])
-        .orderBy(F.desc("price_eur"), *[c for c in EXTREME_COLUMNS if c in tx.columns and c != "price_eur"])
+    high = F.col("price_eur").cast("double") >= F.col("_limit")
+    return _with_threshold(tx, quantile).filter(high).drop("_limit")
+
+
+def as_extreme_report(rows: DataFrame) -> DataFrame:
+    columns = [c for c in EXTREME_COLUMNS if c in rows.columns]
+    return rows.select(*columns).orderBy(
+        F.desc("price_eur"), *[c for c in columns if c != "price_eur"]
     )
 
 
+def extreme_transactions(tx: DataFrame, quantile: float = EXTREME_QUANTILE) -> DataFrame:
+    """The extreme rows as reported, dearest first."""
+    return as_extreme_report(extreme_rows(tx, quantile))
+
+
 def extreme_comparison(tx: DataFrame, quantile: float = EXTREME_QUANTILE) -> DataFrame:
     marked = _with_threshold(tx.select("price_eur"), quantile)
     high = F.col("price_eur").cast("double") >= F.col("_limit")

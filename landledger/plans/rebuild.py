@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from landledger.plans import cleaning, marts, staging
 from landledger.sources.writers import Warehouse
+from landledger.storage import run_together
 
 
 @dataclass
@@ -35,17 +36,31 @@ def rebuild(
         "raw.rppi_series": cleaning.as_text_layer(cleaning.clean_index(sources.index)),
         "raw.planning_applications": cleaning.clean_planning(sources.planning),
     }
-    tables = {name: warehouse.save(name, df) for name, df in raw.items()}
+    tables: dict[str, DataFrame] = {}
+
+    def save_all(builds: dict) -> None:
+        # tables of one layer do not depend on each other
+        names = list(builds)
+        jobs = [lambda n=n: warehouse.save(n, builds[n]()) for n in names]
+        tables.update(zip(names, run_together(jobs)))
+
+    save_all({name: lambda df=df: df for name, df in raw.items()})
     tx, ix, pl = "staging.ppr_transactions", "staging.rppi_series", "staging.planning_applications"
-    tables[tx] = warehouse.save(tx, staging.stg_tx(tables["raw.ppr_transactions"]))
-    tables[ix] = warehouse.save(ix, staging.stg_index(tables["raw.rppi_series"]))
-    tables[pl] = warehouse.save(pl, staging.stg_planning(tables["raw.planning_applications"]))
-    built = {
-        "monthly_market": marts.monthly_market(tables[tx], tables[ix], series, unit),
-        "county_market": marts.county_market(tables[tx]),
-        "planning_activity": marts.planning_activity(tables[pl]),
-        "property_market_summary": marts.property_market_summary(tables[tx], tables[ix], tables[pl]),
-    }
-    for name, df in built.items():
-        tables[f"analytics.{name}"] = warehouse.save(f"analytics.{name}", df)
+    save_all(
+        {
+            tx: lambda: staging.stg_tx(tables["raw.ppr_transactions"]),
+            ix: lambda: staging.stg_index(tables["raw.rppi_series"]),
+            pl: lambda: staging.stg_planning(tables["raw.planning_applications"]),
+        }
+    )
+    save_all(
+        {
+            "analytics.monthly_market": lambda: marts.monthly_market(tables[tx], tables[ix], series, unit),
+            "analytics.county_market": lambda: marts.county_market(tables[tx]),
+            "analytics.planning_activity": lambda: marts.planning_activity(tables[pl]),
+            "analytics.property_market_summary": lambda: marts.property_market_summary(
+                tables[tx], tables[ix], tables[pl]
+            ),
+        }
+    )
     return tables

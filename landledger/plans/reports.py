@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from landledger.functions.dates import period_label
 from landledger.functions.numbers import float_mean, plain_number, ratio_pct, round_even
 from landledger.operators.series import correlation_table, growth_pct, top_rows
-from landledger.operators.profile import guard
 from landledger.storage import materialise, run_together
 
 
@@ -120,6 +119,7 @@ def latest_completed(df: DataFrame, year: str, years: Years) -> DataFrame:
     """Rows of the latest year before the partial one.
 
     The year is a one-row aggregate joined back, so nothing visits the driver.
+    The table is read twice: pass a stored mart, not its whole build.
     """
     last = (
         df.filter(F.col(year) < years.partial).agg(F.max(year).alias("_last")).select("_last")
@@ -132,19 +132,19 @@ def county_market_latest(county: DataFrame, years: Years) -> DataFrame:
     return latest_completed(kept, "sale_year", years).orderBy(F.desc("transactions"), "county")
 
 
-def comparison_year(county: DataFrame, years: Years) -> int:
-    """Latest completed year as a number, needed for column names."""
-    found = (
-        county.dropna(subset=["county", "sale_year"])
-        .filter(F.col("sale_year") < years.partial)
-        .agg(F.max("sale_year"))
-        .first()[0]
-    )
+def latest_year(df: DataFrame, year: Column, years: Years) -> int:
+    """Latest completed year as a number on the driver."""
+    found = df.agg(F.max(F.when(year < years.partial, year))).first()[0]
     if found is None:
-        raise ValueError("no completed county-market year available")
+        raise ValueError("no completed year available")
     return found
 
 
+def comparison_year(county: DataFrame, years: Years) -> int:
+    """Latest completed year of a stored county mart, needed for column names."""
+    return latest_year(county.dropna(subset=["county"]), F.col("sale_year"), years)
+
+
 def county_price_change(county: DataFrame, years: Years, latest: int | None = None) -> DataFrame:
     """Mean price of the baseline and the latest completed year, change in %.
 
@@ -235,17 +235,18 @@ def market_planning_correlation(
     """Pearson r of every market / planning metric pair over common months."""
     merged = market_with_planning(monthly, planning)
     if check:
-        whole = None
-        for c in MARKET_METRICS + PLANNING_METRICS:
-            whole = F.col(c).isNotNull() if whole is None else whole & F.col(c).isNotNull()
-        guard(merged, {})
-        if merged.filter(whole).limit(3).count() < 3:
+        cells = F.array(*[F.col(c).isNull() for c in MARKET_METRICS + PLANNING_METRICS])
+        complete = F.count_if(~F.array_contains(cells, True))
+        seen = merged.agg(F.count(F.lit(1)).alias("months"), complete.alias("complete")).first()
+        if seen["months"] == 0:
+            raise ValueError("no common months between market and planning")
+        if seen["complete"] < 3:
             raise ValueError("fewer than three complete months for correlation")
     return correlation_table(merged, MARKET_METRICS, PLANNING_METRICS, "month_start")
 
 
 def key_kpis(marts: Marts, years: Years) -> DataFrame:
-    """Twelve (kpi, value, unit) rows; each mart is read once or twice, never collected."""
+    """Twelve (kpi, value, unit) rows; each mart is read once and never collected."""
     market = by_year(marts.monthly)
     last_year = F.max(F.when(F.col("year") < years.partial, F.col("year")))
     per_year = market.groupBy("year").agg(
@@ -264,11 +265,13 @@ def key_kpis(marts: Marts, years: Years) -> DataFrame:
         F.max_by(figures, completed).alias("m"),
         F.max(partial).alias("y"),
     )
-    # latest completed market year, also the year the counties are ranked in
-    county = marts.county.dropna(subset=["county", "sale_year"]).join(
-        F.broadcast(head.select("my")), F.col("sale_year") == F.col("my")
+    # counties are ranked in every year; the latest completed market year picks one
+    best = (
+        marts.county.dropna(subset=["county", "sale_year"])
+        .filter(F.col("sale_year") < years.partial)
+        .groupBy("sale_year")
+        .agg(*_leaders())
     )
-    best = argmax_rows(county)
     plans = (
         by_year(marts.planning)
         .filter(F.col("year") < years.partial)
@@ -312,26 +315,26 @@ def key_kpis(marts: Marts, years: Years) -> DataFrame:
     table = F.array(
         *[F.struct(k.alias("kpi"), v.alias("value"), F.lit(u).alias("unit")) for k, v, u in rows]
     )
-    # three one-row tables side by side
     one = F.lit(True)
     return (
-        head.join(F.broadcast(best), one, "left")
+        head.join(best, F.col("my") == F.col("sale_year"), "left")
         .join(F.broadcast(plans), one, "left")
         .filter(F.col("my").isNotNull())
         .select(F.inline(table))
     )
 
 
-def argmax_rows(county_latest: DataFrame) -> DataFrame:
-    """County with most transactions and with the highest mean price; ties by name."""
-
+def _leaders() -> list[Column]:
     def best(metric: str) -> Column:
         rank = F.struct(-F.col(metric), F.col("county"))
-        return F.min_by("county", F.when(F.col(metric).isNotNull(), rank))
+        return F.min_by("county", F.when(F.col(metric).isNotNull(), rank)).alias(f"highest_{metric}")
 
-    return county_latest.agg(
-        best("transactions").alias("highest_transactions"), best("mean_price").alias("highest_mean_price")
-    )
+    return [best("transactions"), best("mean_price")]
+
+
+def argmax_rows(county_latest: DataFrame) -> DataFrame:
+    """County with most transactions and with the highest mean price; ties by name."""
+    return county_latest.agg(*_leaders())
 
 
 def top_counties(county_latest: DataFrame, price_change: DataFrame, n: int = 5) -> DataFrame:

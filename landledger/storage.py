@@ -55,5 +55,7 @@ def run_together(jobs: Sequence[Callable], at_once: int = 6) -> list:
     Small aggregates leave most of a cluster idle while they wait for their own
     stages, so several of them share it.
     """
+    spark = SparkSession.getActiveSession()
     with ThreadPoolExecutor(max_workers=at_once) as pool:
-        return list(pool.map(lambda job: inheritable_thread_target(job)(), jobs))
+        # wrapped here, in the caller's thread, whose properties the jobs inherit
+        return list(pool.map(lambda job: job(), [inheritable_thread_target(spark)(j) for j in jobs]))
