@@ -117,8 +117,8 @@ def scan_mart(
         if isinstance(source, T.StringType) and not isinstance(field.dataType, T.StringType):
             col = parse_number(col, field.dataType.simpleString())
         coerced.append(col.cast(field.dataType).alias(field.name))
-    keys = [k for k in schemas.MART_ORDER[name] if k in wanted]
-    return df.select(*coerced).orderBy(*[F.col(k).asc_nulls_last() for k in keys])
+    keys = [F.col(k).asc_nulls_last() for k in schemas.MART_ORDER[name]]
+    return df.orderBy(*keys).select(*coerced)
 
 
 def scan_reports(
