@@ -49,38 +49,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _yes_no(c: Column) -> Column:
-    return F.when(c, "Yes").otherwise("No")
-
-
-def _line_columns() -> dict[str, Column]:
-    """Columns shared by the delivered and the typed register view."""
-    ship = F.col("l_shipdate").cast("date")
-    part, key = F.col("l_partkey"), F.col("l_orderkey").cast("string")
-    flag = F.col("l_returnflag")
-    return {
-        "date": ship,
-        "price": F.col("l_extendedprice").cast("decimal(14,2)"),
-        "address": F.concat(key, F.lit("-"), F.col("l_linenumber").cast("string")),
-        "eircode": F.when(part % 3 != 0, F.concat(F.lit("E"), part.cast("string"))),
-        "not_full": _yes_no(F.col("l_linestatus") == "F"),
-        "vat": F.when(F.col("l_suppkey") % 7 != 0, _yes_no(F.col("l_tax") > 0.05)),
-        "description": F.when(flag == "N", NEW_TEXT).when(flag == "R", OLD_TEXT),
-    }
-
-
-def _size_text() -> Column:
-    out = F.when(F.col("p_size") < SIZE_TEXTS[0][0], SIZE_TEXTS[0][1])
-    for limit, words in SIZE_TEXTS[1:]:
-        out = out.when(F.col("p_size") < limit, words)
-    return out
-
-
-def _padded(c: Column) -> Column:
-    return F.when(F.col("l_orderkey") % 3 == 0, F.concat(F.lit("  "), c, F.lit(" "))).otherwise(c)
-
-
-_PLACE, _SIZE = "place", "size"
+# Column definitions as SQL text over the given tables.
+_SHIP = "CAST(l_shipdate AS DATE)"
+_PRICE = "CAST(l_extendedprice AS DECIMAL(14,2))"
+_ADDRESS = "concat(l_orderkey, '-', l_linenumber)"
+_EIRCODE = "IF(l_partkey % 3 != 0, concat('E', l_partkey), NULL)"
+_NOT_FULL = "IF(l_linestatus = 'F', 'Yes', 'No')"
+_VAT = "IF(l_suppkey % 7 != 0, IF(l_tax > 0.05, 'Yes', 'No'), NULL)"
+_DESCRIPTION = f"CASE l_returnflag WHEN 'N' THEN '{NEW_TEXT}' WHEN 'R' THEN '{OLD_TEXT}' END"
+_SIZE_TEXT = "CASE " + " ".join(f"WHEN p_size < {n} THEN '{t}'" for n, t in SIZE_TEXTS) + " END"
 
 
 def _join_place(spark, sf_dir, df: DataFrame, order_key: str) -> DataFrame:
@@ -101,62 +78,65 @@ def with_county(spark, sf_dir, df: DataFrame) -> DataFrame:
 
 def _tx_view(spark, sf_dir, definitions, columns) -> DataFrame:
     wanted = columns or [c for c in definitions if c != "order_key"]
-    needs = {definitions[c][1] for c in wanted}
+    used = " ".join(definitions[c] for c in wanted)
     df = table(spark, sf_dir, "lineitem")
-    if _PLACE in needs:
+    if "n_name" in used:
         df = _join_place(spark, sf_dir, df, "l_orderkey")
-    if _SIZE in needs:
-        df = df.join(
-            table(spark, sf_dir, "part").select("p_partkey", "p_size"),
-            F.col("l_partkey") == F.col("p_partkey"),
-            "left",
-        )
-    return df.select(*[definitions[c][0].alias(c) for c in wanted])
+    if "p_size" in used:
+        parts = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+        df = df.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+    return df.selectExpr(*[f"{definitions[c]} AS `{c}`" for c in wanted])
+
+
+REGISTER_VIEW = {
+    "Date of Sale (dd/mm/yyyy)": f"date_format({_SHIP}, 'dd/MM/yyyy')",
+    "Address": _ADDRESS,
+    "County": "IF(l_orderkey % 3 = 0, concat('  ', upper(n_name), ' '), upper(n_name))",
+    "Eircode": _EIRCODE,
+    "Price (€)": f"concat('€', format_number({_PRICE}, 2))",
+    "Not Full Market Price": _NOT_FULL,
+    "VAT Exclusive": _VAT,
+    "Description of Property": _DESCRIPTION,
+    "Property Size Description": _SIZE_TEXT,
+}
+TYPED_VIEW = {
+    "order_key": "l_orderkey",
+    "sale_date": _SHIP,
+    "sale_year": f"year({_SHIP})",
+    "sale_month": f"month({_SHIP})",
+    "sale_quarter": f"quarter({_SHIP})",
+    "sale_year_month": f"left(CAST({_SHIP} AS STRING), 7)",
+    "address": _ADDRESS,
+    "county": "n_name",
+    "eircode": _EIRCODE,
+    "price_eur": _PRICE,
+    "not_full_market_price": _NOT_FULL,
+    "is_not_full_market_price": "l_linestatus = 'F'",
+    "vat_exclusive": _VAT,
+    "is_vat_exclusive": f"coalesce({_VAT} = 'Yes', false)",
+    "property_description": _DESCRIPTION,
+    "is_new_property": "l_returnflag = 'N'",
+    "is_second_hand_property": "l_returnflag = 'R'",
+    "property_size_description": _SIZE_TEXT,
+}
 
 
 def tx_raw(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Sale register as delivered: nine text columns."""
-    line = _line_columns()
-    definitions = {
-        "Date of Sale (dd/mm/yyyy)": (F.date_format(line["date"], "dd/MM/yyyy"), None),
-        "Address": (line["address"], None),
-        "County": (_padded(F.upper("n_name")), _PLACE),
-        "Eircode": (line["eircode"], None),
-        "Price (€)": (F.concat(F.lit("€"), F.format_number(line["price"], 2)), None),
-        "Not Full Market Price": (line["not_full"], None),
-        "VAT Exclusive": (line["vat"], None),
-        "Description of Property": (line["description"], None),
-        "Property Size Description": (_size_text(), _SIZE),
-    }
-    return _tx_view(spark, sf_dir, definitions, columns)
+    return _tx_view(spark, sf_dir, REGISTER_VIEW, columns)
 
 
 def tx(spark: SparkSession, sf_dir: str, *columns: str, eda: bool = False) -> DataFrame:
     """Typed sale register; ``eda`` switches to the exploration size classes."""
-    line = _line_columns()
+    wanted = columns or schemas.TX_COLUMNS
+    category = "property_size_category"
+    if category not in wanted:
+        return _tx_view(spark, sf_dir, TYPED_VIEW, wanted)
     classify = tx_text.size_category_eda if eda else tx_text.size_category_ingest
-    definitions = {
-        "order_key": (F.col("l_orderkey"), None),
-        "sale_date": (line["date"], None),
-        "sale_year": (F.year(line["date"]), None),
-        "sale_month": (F.month(line["date"]), None),
-        "sale_quarter": (F.quarter(line["date"]), None),
-        "sale_year_month": (year_month(line["date"]), None),
-        "address": (line["address"], None),
-        "county": (F.col("n_name"), _PLACE),
-        "eircode": (line["eircode"], None),
-        "price_eur": (line["price"], None),
-        "not_full_market_price": (line["not_full"], None),
-        "is_not_full_market_price": (F.col("l_linestatus") == "F", None),
-        "vat_exclusive": (line["vat"], None),
-        "is_vat_exclusive": (F.coalesce(line["vat"] == "Yes", F.lit(False)), None),
-        "property_description": (line["description"], None),
-        "is_new_property": (F.col("l_returnflag") == "N", None),
-        "is_second_hand_property": (F.col("l_returnflag") == "R", None),
-        "property_size_description": (_size_text(), _SIZE),
-        "property_size_category": (classify(_size_text()), _SIZE),
-    }
-    return _tx_view(spark, sf_dir, definitions, columns)
+    size = "property_size_description"
+    plain = [c for c in wanted if c != category]
+    df = _tx_view(spark, sf_dir, TYPED_VIEW, [*plain, *([] if size in plain else [size])])
+    return df.withColumn(category, classify(size)).select(*wanted)
 
 
 def _index_levels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,7 +118,7 @@ def stg_planning(spark, d):
 )
 def dense_row_id_query(spark, d):
     df = b.tx(spark, d, "county", "sale_year", "price_eur", "address")
-    return dense_row_id(df, [F.col(c) for c in df.columns], "row_id")
+    return dense_row_id(df, df.columns, "row_id")
 
 
 # ---- exploration load ----------------------------------------------------------

@@ -9,6 +9,8 @@ square root of the value, so both steps are bounded by the size of the values an
 not by the table: with amounts below 100 million in cents, a group has at most
 25,000 buckets and a bucket at most 800,000 values, whatever share of the table
 the group holds.
+
+Expressions are SQL text: one call per projection instead of one per operator.
 """
 
 from __future__ import annotations
@@ -18,15 +20,18 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
+from landledger.functions.dates import quantile_label
 from landledger.functions.numbers import exact_mean, float_mean
 
 # Rows without a value sort below every real bucket.
 _NO_VALUE_BUCKET = -(1 << 62)
+_BUCKET = (
+    f"coalesce(floor(sign(_c) * sqrt(abs(CAST(_c AS DOUBLE))) / 4), {_NO_VALUE_BUCKET}L)"
+)
 
 
-def _minor_unit_scale(df: DataFrame, value: str) -> int:
+def _scale(df: DataFrame, value: str) -> int:
     # up to 15 digits the way through a float is exact, and the square root monotone
     dtype = df.schema[value].dataType
     if not isinstance(dtype, T.DecimalType) or dtype.precision > 15:
@@ -34,49 +39,95 @@ def _minor_unit_scale(df: DataFrame, value: str) -> int:
     return dtype.scale
 
 
-def _bucket(minor: Column) -> Column:
-    root = F.sqrt(F.abs(minor).cast("double")) / F.lit(4.0)
-    return F.coalesce(
-        F.floor(F.when(minor < 0, -root).otherwise(root)), F.lit(_NO_VALUE_BUCKET)
-    )
-
-
-def _group_key(keys: Sequence[str]) -> Column:
-    # a struct compares null fields as equal, so null groups join like others
-    return F.struct(*keys) if keys else F.struct(F.lit(0).alias("all_rows"))
-
-
 def value_tallies(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     tallies: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """One row per (group, value): row count and conditional counts."""
-    scale = _minor_unit_scale(df, value)
-    minor = F.rint(F.col("_value").cast("double") * F.lit(float(10**scale))).cast("bigint")
-    flags = {name: flag.alias(f"_t_{name}") for name, flag in (tallies or {}).items()}
+    """One row per (group ``_g``, value ``_c`` in minor units): rows, conditional counts."""
+    minor = f"CAST(rint(CAST(_value AS DOUBLE) * {10 ** _scale(df, value)}) AS BIGINT) AS _c"
+    # a struct compares null fields as equal, so null groups join like others
+    group = F.struct(*keys) if keys else F.expr("struct(0 AS all_rows)")
+    flags = {f"_t_{name}": flag for name, flag in (tallies or {}).items()}
+    counts = ["count(1) AS _rows", *[f"count_if(`{t}`) AS `{t}`" for t in flags]]
     return (
-        df.select(_group_key(keys).alias("_g"), F.col(value).alias("_value"), *flags.values())
-        .groupBy("_g", "_value")
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            *[F.count_if(F.col(f"_t_{name}")).alias(f"_t_{name}") for name in flags],
+        df.select(
+            group.alias("_g"), F.col(value).alias("_value"), *[c.alias(t) for t, c in flags.items()]
         )
-        .withColumn("_c", minor)
-        .withColumn("_b", _bucket(F.col("_c")))
-        .drop("_value")
+        .groupBy("_g", "_value")
+        .agg(*[F.expr(c) for c in counts])
+        .selectExpr("_g", minor, "_rows", *[f"`{t}`" for t in flags])
     )
 
 
-def _ranks(quantiles: Sequence[float], n: Column) -> Column:
-    """Array of the two neighbouring ranks of every quantile."""
-    wanted = []
-    for i, q in enumerate(quantiles):
-        position = (n - 1).cast("double") * F.lit(float(q))
-        for slot, side in ((2 * i, F.floor(position)), (2 * i + 1, F.ceil(position))):
-            wanted.append(F.struct(F.lit(slot).alias("slot"), side.cast("bigint").alias("rank")))
-    return F.array(*wanted)
+def ranked(
+    tallied: DataFrame,
+    keys: Sequence[str],
+    scale: int,
+    quantiles: Mapping[str, float],
+    tallies: Sequence[str] = (),
+) -> DataFrame:
+    """Group statistics and quantiles from value tallies."""
+    sums = ["_n", "_rows", *[f"_t_{t}" for t in tallies]]
+    values = tallied.selectExpr(
+        "_g", "_c", f"{_BUCKET} AS _b", "IF(_c IS NULL, 0L, _rows) AS _n", *[f"`{s}`" for s in sums[1:]]
+    ).repartition("_g", "_b")
+    buckets = values.groupBy("_g", "_b").agg(
+        *[F.expr(f"sum(`{s}`) AS `{s}`") for s in sums],
+        F.expr("sum(CAST(_c AS DECIMAL(18,0)) * CAST(_n AS DECIMAL(18,0))) AS _total"),
+    )
+
+    carried = [f"_all{s}" for s in [*sums, "_total"]]
+    ranks = []
+    for i, q in enumerate(quantiles.values()):
+        position = f"(_all_n - 1) * CAST({float(q)!r} AS DOUBLE)"
+        ranks += [f"struct({2 * i} AS slot, floor({position}) AS rank)"]
+        ranks += [f"struct({2 * i + 1} AS slot, ceil({position}) AS rank)"]
+
+    def hits(candidates: str, stop: str) -> str:
+        return f"filter({candidates}, t -> t.rank >= {stop} - _n AND t.rank < {stop}) AS _hits"
+
+    found = "size(_hits) > 0 OR _all_n = 0"
+    located = (
+        buckets.selectExpr(
+            "_g", "_b", "_n",
+            "sum(_n) OVER (PARTITION BY _g ORDER BY _b ROWS UNBOUNDED PRECEDING) AS _stop",
+            *[f"sum(`{c[4:]}`) OVER (PARTITION BY _g) AS `{c}`" for c in carried],
+        )
+        .selectExpr("_g", "_b", "_stop - _n AS _start", hits(f"array({', '.join(ranks)})", "_stop"), *[f"`{c}`" for c in carried])
+        .filter(found)
+    )
+    # values already lie by (_g, _b); only the few located buckets move to them
+    at_rank = (
+        values.select("_g", "_b", "_c", "_n")
+        .join(located.hint("shuffle_hash"), ["_g", "_b"])
+        .selectExpr(
+            "*",
+            "_start + sum(_n) OVER (PARTITION BY _g, _b ORDER BY _c ROWS UNBOUNDED PRECEDING) AS _stop",
+        )
+        .selectExpr("_g", "_c", hits("_hits", "_stop"), *[f"`{c}`" for c in carried])
+        .filter(found)
+    )
+    per_group = at_rank.groupBy("_g").agg(
+        *[F.expr(f"any_value(`{c}`) AS `{c}`") for c in carried],
+        *[
+            F.expr(f"max(IF(exists(_hits, t -> t.slot = {s}), _c, NULL)) AS _v{s}")
+            for s in range(2 * len(quantiles))
+        ],
+    )
+    out = [f"_g.`{k}` AS `{k}`" for k in keys]
+    out += [
+        "_all_rows AS rows",
+        "_all_n AS value_rows",
+        f"CAST(CAST(_all_total AS DECIMAL(36,0)) / {10**scale} AS DECIMAL(36,{scale})) AS total",
+        *[f"`_all_t_{t}` AS `{t}`" for t in tallies],
+    ]
+    for i, (name, q) in enumerate(quantiles.items()):
+        position = f"(_all_n - 1) * CAST({float(q)!r} AS DOUBLE)"
+        low, high = f"_v{2 * i}", f"_v{2 * i + 1}"
+        out.append(f"{low} + ({high} - {low}) * ({position} - floor({position})) AS `{name}`")
+    return per_group.selectExpr(*out)
 
 
 def grouped_stats(
@@ -93,104 +144,28 @@ def grouped_stats(
     float in minor units (cents): exact for the median. See ``money`` and
     ``as_float`` for the two roundings used downstream.
     """
-    quantiles = dict(quantiles or {})
-    tally_names = list(tallies or {})
-    scale = _minor_unit_scale(df, value)
-    total_type = T.DecimalType(36, scale)
-    if not quantiles:
-        return (
-            df.groupBy(*keys)
-            .agg(
-                F.count(F.lit(1)).alias("rows"),
-                F.count(value).alias("value_rows"),
-                F.sum(F.col(value).cast(T.DecimalType(28, scale))).cast(total_type).alias("total"),
-                *[F.count_if(c).alias(n) for n, c in (tallies or {}).items()],
-            )
-        )
-
-    counted = F.when(F.col("_c").isNotNull(), F.col("_rows")).otherwise(F.lit(0))
-    values = (
-        value_tallies(df, keys, value, tallies)
-        .repartition("_g", "_b")
-        .withColumn("_n", counted)
-    )
-    sums = {
-        "_n": F.sum("_n"),
-        "_rows": F.sum("_rows"),
-        "_total": F.sum(F.col("_c").cast("decimal(18,0)") * F.col("_n").cast("decimal(18,0)")),
-        **{f"_t_{t}": F.sum(f"_t_{t}") for t in tally_names},
-    }
-    buckets = values.groupBy("_g", "_b").agg(*[c.alias(n) for n, c in sums.items()])
-
-    whole = Window.partitionBy("_g")
-    upto = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    start, stop = F.col("_stop") - F.col("_n"), F.col("_stop")
-    carried = ["_all_n", "_all_rows", "_all_total", *[f"_all_t_{t}" for t in tally_names]]
-    located = (
-        buckets.withColumn("_stop", F.sum("_n").over(upto))
-        .withColumns({f"_all{n}": F.sum(n).over(whole) for n in sums})
-        .withColumn(
-            "_hits",
-            F.filter(
-                _ranks(list(quantiles.values()), F.col("_all_n")),
-                lambda t: (t.rank >= start) & (t.rank < stop),
-            ),
-        )
-        .filter((F.size("_hits") > 0) | (F.col("_all_n") == 0))
-        .select("_g", "_b", start.alias("_start"), "_hits", *carried)
-    )
-
-    inside = (
-        Window.partitionBy("_g", "_b")
-        .orderBy("_c")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    v_start, v_stop = F.col("_v_stop") - F.col("_n"), F.col("_v_stop")
-    # values already lie by (_g, _b); only the few located buckets move to them
-    at_rank = (
-        values.select("_g", "_b", "_c", "_n")
-        .join(located.hint("shuffle_hash"), ["_g", "_b"])
-        .withColumn("_v_stop", F.col("_start") + F.sum("_n").over(inside))
-        .withColumn(
-            "_hits", F.filter("_hits", lambda t: (t.rank >= v_start) & (t.rank < v_stop))
-        )
-        .filter((F.size("_hits") > 0) | (F.col("_all_n") == 0))
+    scale = _scale(df, value)
+    if quantiles:
+        tallied = value_tallies(df, keys, value, tallies)
+        return ranked(tallied, keys, scale, quantiles, list(tallies or {}))
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(value).alias("value_rows"),
+        F.sum(F.col(value).cast(T.DecimalType(28, scale))).cast(T.DecimalType(36, scale)).alias("total"),
+        *[F.count_if(c).alias(n) for n, c in (tallies or {}).items()],
     )
 
-    def value_at(slot: int) -> Column:
-        return F.max(F.when(F.exists("_hits", lambda t: t.slot == slot), F.col("_c")))
-
-    ends = [value_at(s).alias(f"_v{s}") for s in range(2 * len(quantiles))]
-    per_group = at_rank.groupBy("_g").agg(*[F.any_value(c).alias(c) for c in carried], *ends)
-
-    out = [F.col(f"_g.{k}") for k in keys]
-    out += [
-        F.col("_all_rows").alias("rows"),
-        F.col("_all_n").alias("value_rows"),
-        (F.col("_all_total").cast("decimal(36,0)") / F.lit(10**scale)).cast(total_type).alias("total"),
-        *[F.col(f"_all_t_{t}").alias(t) for t in tally_names],
-    ]
-    for i, (name, q) in enumerate(quantiles.items()):
-        position = (F.col("_all_n") - 1).cast("double") * F.lit(float(q))
-        low, high = F.col(f"_v{2 * i}"), F.col(f"_v{2 * i + 1}")
-        out.append(
-            (low + (high - low).cast("double") * (position - F.floor(position))).alias(name)
-        )
-    return per_group.select(*out)
-
 
 MEDIAN = {"median": 0.5}
 
 
-def money(minor: Column | str) -> Column:
+def money(minor: str) -> Column:
     """Quantile in cents as decimal(14,2), halves away from zero."""
-    minor = F.col(minor) if isinstance(minor, str) else minor
-    return (F.round(minor).cast("decimal(16,0)") / F.lit(100)).cast("decimal(14,2)")
+    return F.expr(f"CAST(CAST(round(`{minor}`) AS DECIMAL(16,0)) / 100 AS DECIMAL(14,2))")
 
 
-def as_float(minor: Column | str) -> Column:
-    minor = F.col(minor) if isinstance(minor, str) else minor
-    return minor / F.lit(100.0)
+def as_float(minor: str) -> Column:
+    return F.expr(f"`{minor}` / 100D")
 
 
 def money_stats(df: DataFrame, keys: Sequence[str], value: str, tallies=None) -> DataFrame:
@@ -206,84 +181,95 @@ def money_stats(df: DataFrame, keys: Sequence[str], value: str, tallies=None) ->
     )
 
 
-def float_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Report columns: counts, total (0 for no values), unrounded mean and median."""
-    stats = grouped_stats(df, keys, value, MEDIAN)
+def _as_floats(stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     return stats.select(
         *keys,
         F.col("rows").alias("transactions"),
-        F.coalesce(F.col("total"), F.lit(0)).cast("decimal(28,2)").alias("total_value"),
+        F.expr("CAST(coalesce(total, 0) AS DECIMAL(28,2)) AS total_value"),
         float_mean(F.col("total"), F.col("value_rows")).alias("mean_price"),
         as_float("median").alias("median_price"),
     )
 
 
-def masked_stats(
-    df: DataFrame, value: str, masks: Sequence[tuple[str, Column]], label: str
-) -> DataFrame:
-    """Statistics per mask; masks may overlap, empty masks keep a row.
+def float_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Report columns: counts, total (0 for no values), unrounded mean and median."""
+    return _as_floats(grouped_stats(df, keys, value, MEDIAN), keys)
+
 
-    Every row is tagged with the masks it meets and grouped once, so any number
-    of masks costs one pass.
+def _mask_rows(tallied: DataFrame, masks: Sequence[tuple[str, str]], label: str) -> DataFrame:
+    """Statistics per mask from tallies; a mask is its label and its count in SQL.
+
+    Every tallied value is repeated for the masks that hold it, so the table is
+    aggregated once for any number of masks. Position -1 stands for all rows.
     """
-    everything = "\0all"
-    tags = F.array_compact(
-        F.array(
-            F.lit(everything),
-            *[F.when(F.coalesce(mask, F.lit(False)), F.lit(name)) for name, mask in masks],
-        )
+    tagged = [f"struct(struct({i} AS position) AS _g, {n} AS _rows)" for i, (_, n) in enumerate(masks)]
+    everything = "struct(struct(-1 AS position) AS _g, _rows AS _rows)"
+    spread = tallied.selectExpr(
+        "_c", f"inline(filter(array({', '.join([everything, *tagged])}), t -> t._rows > 0))"
     )
-    tagged = df.select(F.explode(tags).alias(label), F.col(value))
-    stats = float_stats(tagged, [label], value)
-    names = df.sparkSession.range(1).select(
+    stats = _as_floats(ranked(spread, ["position"], 2, MEDIAN), ["position"])
+    names = tallied.sparkSession.range(1).select(
         F.posexplode(F.array(*[F.lit(name) for name, _ in masks])).alias("position", label)
     )
-    total_rows = stats.filter(F.col(label) == everything).select(
-        F.col("transactions").alias("_all_rows")
-    )
     return (
-        names.join(stats, label, "left")
-        .join(total_rows, F.lit(True), "left")
-        .select(
+        stats.selectExpr("*", "max(IF(position = -1, transactions, 0)) OVER () AS _all_rows")
+        .join(names, "position", "right")
+        .selectExpr(
             "position",
-            label,
-            F.coalesce("transactions", F.lit(0)).alias("transactions"),
-            F.coalesce(
-                F.try_divide(F.col("transactions").cast("double"), F.col("_all_rows").cast("double"))
-                * F.lit(100.0),
-                F.lit(0.0),
-            ).alias("transaction_share_pct"),
+            f"`{label}`",
+            "coalesce(transactions, 0) AS transactions",
+            "coalesce(try_divide(CAST(transactions AS DOUBLE), CAST(_all_rows AS DOUBLE)) * 100D, 0D)"
+            " AS transaction_share_pct",
             "mean_price",
             "median_price",
-            F.coalesce("total_value", F.lit(0)).cast("decimal(28,2)").alias("total_value"),
+            "CAST(coalesce(total_value, 0) AS DECIMAL(28,2)) AS total_value",
         )
         .orderBy("position")
         .drop("position")
     )
 
 
+def _require_cents(df: DataFrame, value: str) -> None:
+    if _scale(df, value) != 2:
+        raise TypeError(f"{value} must have two decimals")
+
+
+def masked_stats(
+    df: DataFrame, value: str, masks: Sequence[tuple[str, Column]], label: str
+) -> DataFrame:
+    """Statistics per mask of rows; masks may overlap, empty masks keep a row."""
+    _require_cents(df, value)
+    tallied = value_tallies(df, [], value, {str(i): mask for i, (_, mask) in enumerate(masks)})
+    return _mask_rows(tallied, [(n, f"`_t_{i}`") for i, (n, _) in enumerate(masks)], label)
+
+
+def split_at_quantile(
+    df: DataFrame, value: str, quantile: float, names: tuple[str, str, str], label: str
+) -> DataFrame:
+    """All rows, rows below the quantile, rows at or above it, from one aggregation."""
+    _require_cents(df, value)
+    tallied = value_tallies(df, [], value)
+    limit = ranked(tallied, [], 2, {"_limit": quantile}).select("_limit")
+    masks = ["_rows", "IF(_c < _limit, _rows, 0L)", "IF(_c >= _limit, _rows, 0L)"]
+    return _mask_rows(tallied.join(F.broadcast(limit)), list(zip(names, masks)), label)
+
+
 def quantile_rows(
     df: DataFrame, value: str, quantiles: Sequence[float], with_range: bool = False
 ) -> DataFrame:
     """(percentile, value) rows for the whole table, optionally with min and max."""
-    from landledger.functions.dates import quantile_label
-
-    names = {f"q{i}": q for i, q in enumerate(quantiles)}
-    wanted = dict(names)
+    wanted = {quantile_label(q): q for q in quantiles}
     if with_range:
-        wanted = {"lowest": 0.0, **names, "highest": 1.0}
-    labels = {**{n: quantile_label(q) for n, q in names.items()}, "lowest": "min", "highest": "max"}
+        wanted = {"min": 0.0, **wanted, "max": 1.0}
+    columns = {f"q{i}": q for i, q in enumerate(wanted.values())}
     pairs = [
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(labels[n]).alias("percentile"),
-            as_float(n).alias(value),
-        )
-        for i, n in enumerate(wanted)
+        f"struct({i} AS position, '{label}' AS percentile, q{i} / 100D AS `{value}`)"
+        for i, label in enumerate(wanted)
     ]
+    _require_cents(df, value)
     return (
-        grouped_stats(df, [], value, wanted)
-        .select(F.inline(F.array(*pairs)))
+        grouped_stats(df, [], value, columns)
+        .selectExpr(f"inline(array({', '.join(pairs)}))")
         .orderBy("position")
         .drop("position")
     )
@@ -291,35 +277,28 @@ def quantile_rows(
 
 def histogram(df: DataFrame, value: str, bins: int = 50, upto_quantile: float = 0.99) -> DataFrame:
     """Equal-width bins over the values up to a quantile; the top edge is closed."""
-    scale = _minor_unit_scale(df, value)
-    edge = grouped_stats(df, [], value, {"edge": upto_quantile, "lowest": 0.0})
-    values = value_tallies(df, [], value).filter(F.col("_c").isNotNull())
-    kept = values.join(F.broadcast(edge.select("edge", "lowest")), F.col("_c") <= F.col("edge"))
-    highest = kept.agg(F.max("_c").alias("_hi"), F.any_value("lowest").cast("bigint").alias("_lo"))
-    unit = F.lit(float(10**scale))
-    width = ((F.col("_hi") - F.col("_lo")).cast("double") / F.lit(float(bins)))
-    slot = F.least(
-        F.coalesce(F.floor(F.try_divide((F.col("_c") - F.col("_lo")).cast("double"), width)), F.lit(0)),
-        F.lit(bins - 1),
-    ).cast("int")
+    _require_cents(df, value)
+    tallied = value_tallies(df, [], value)
+    limit = ranked(tallied, [], 2, {"_limit": upto_quantile}).select("_limit")
+    kept = tallied.join(F.broadcast(limit)).filter("_c <= _limit").select("_c", "_rows")
+    edges = kept.selectExpr("min(_c) AS _lo", f"(max(_c) - min(_c)) / {bins}D AS _width").filter(
+        "_lo IS NOT NULL"
+    )
+    slot = f"least(coalesce(floor(try_divide(CAST(_c - _lo AS DOUBLE), _width)), 0L), {bins - 1}L)"
     counted = (
-        kept.select("_c", "_rows")
-        .join(F.broadcast(highest))
-        .groupBy(slot.alias("bin"))
+        kept.join(F.broadcast(edges))
+        .groupBy(F.expr(f"{slot} AS id"))
         .agg(F.sum("_rows").alias("transactions"))
     )
-    frame = (
-        df.sparkSession.range(bins)
-        .select(F.col("id").cast("int").alias("bin"))
-        .join(F.broadcast(highest.filter(F.col("_hi").isNotNull())))
-    )
     return (
-        frame.join(counted, "bin", "left")
-        .select(
-            (F.col("bin") + 1).alias("bin"),
-            ((F.col("_lo") + F.col("bin") * width) / unit).alias("bin_start"),
-            ((F.col("_lo") + (F.col("bin") + 1) * width) / unit).alias("bin_end"),
-            F.coalesce("transactions", F.lit(0)).alias("transactions"),
+        df.sparkSession.range(bins)
+        .join(F.broadcast(edges))
+        .join(counted, "id", "left")
+        .selectExpr(
+            "CAST(id + 1 AS INT) AS bin",
+            "(_lo + id * _width) / 100D AS bin_start",
+            "(_lo + (id + 1) * _width) / 100D AS bin_end",
+            "coalesce(transactions, 0L) AS transactions",
         )
         .orderBy("bin")
     )

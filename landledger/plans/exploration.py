@@ -17,6 +17,7 @@ from landledger.operators.grouped_stats import (
     histogram,
     masked_stats,
     quantile_rows,
+    split_at_quantile,
 )
 from landledger.operators.profile import (
     drop_exact_duplicates,
@@ -273,14 +274,9 @@ def extreme_transactions(tx: DataFrame, quantile: float = EXTREME_QUANTILE) -> D
 
 
 def extreme_comparison(tx: DataFrame, quantile: float = EXTREME_QUANTILE) -> DataFrame:
-    marked = _with_threshold(tx.select("price_eur"), quantile)
-    high = F.col("price_eur").cast("double") >= F.col("_limit")
-    masks = [
-        ("All transactions", F.lit(True)),
-        ("Below 99.9th percentile", ~high),
-        ("At or above 99.9th percentile", high),
-    ]
-    return masked_stats(marked, "price_eur", masks, "analytical_view").drop(
+    label = f"{quantile * 100:.1f}th percentile"
+    names = ("All transactions", f"Below {label}", f"At or above {label}")
+    return split_at_quantile(tx, "price_eur", quantile, names, "analytical_view").drop(
         "transaction_share_pct", "total_value"
     )
 

@@ -82,93 +82,94 @@ def _static(df: DataFrame, name: str, passed: bool, details: str) -> DataFrame:
     )
 
 
-def qa_file_exists(
-    reports: Mapping[str, DataFrame], expected: Sequence[str], files: Mapping[str, str], years: Years
+# kind -> (check name prefix, passed, details when passed, details when failed)
+_SHAPE_CHECKS = {
+    "exists": ("Stage 3 file exists: ", "true", "concat(format_number(n, 0), ' rows')", "''"),
+    "duplicates": (
+        "Duplicates: ", "extra = 0", "'No duplicate rows'", "concat(format_number(extra, 0), ' duplicate rows')",
+    ),
+    "non_empty": ("Non-empty output: ", "n > 0", "concat(format_number(n, 0), ' rows')", "'CSV contains no rows'"),
+    # always passes; the details ask for review
+    "missing": (
+        "Missing values: ", "true",
+        "IF(gaps = 0, 'No missing values', concat(gaps, ' missing values (review required)'))", "''",
+    ),
+}
+
+
+def _shape_checks(
+    reports: Mapping[str, DataFrame], kinds: Sequence[str], labels: Mapping[str, Mapping[str, str]]
 ) -> DataFrame:
-    """One row per expected report with its row count; an absent report fails."""
+    """Rows of the asked kinds for every report, from one pass over each report."""
     parts = []
-    for name in expected:
-        file = files[_check_name(name, years)]
-        if name not in reports:
-            parts.append(
-                _static(next(iter(reports.values())), f"Stage 3 file exists: {file}", False, f"Missing file: {file}")
-            )
-            continue
-        rows = F.count(F.lit(1))
-        parts.append(
-            reports[name].agg(
-                *_result(
-                    f"Stage 3 file exists: {file}",
-                    F.lit(True),
-                    F.concat(grouped(rows), F.lit(" rows")),
-                    F.lit(""),
-                )
-            )
+    for name, df in reports.items():
+        gaps = " + ".join(f"IF(`{c}` IS NULL, 1, 0)" for c in df.columns)
+        seen = _copies(df).agg(
+            F.expr("coalesce(sum(_copies), 0L) AS n"),
+            F.expr("coalesce(sum(_copies - 1), 0L) AS extra"),
+            F.expr(f"coalesce(sum(({gaps}) * _copies), 0L) AS gaps"),
         )
+        rows = []
+        for kind in kinds:
+            prefix, ok, good, bad = _SHAPE_CHECKS[kind]
+            label = labels.get(kind, {}).get(name, name)
+            rows.append(
+                f"struct('{prefix}{label}' AS check_name, IF({ok}, 'PASS', 'FAIL') AS status, "
+                f"IF({ok}, {good}, {bad}) AS details)"
+            )
+        parts.append(seen.selectExpr(f"inline(array({', '.join(rows)}))"))
     return union_all(parts)
 
 
+def _labels(reports: Mapping[str, DataFrame], years: Years) -> dict[str, dict[str, str]]:
+    named = {name: _check_name(name, years) for name in reports}
+    return {kind: named for kind in _SHAPE_CHECKS}
+
+
+def _absent(
+    reports: Mapping[str, DataFrame], expected: Sequence[str], files: Mapping[str, str], years: Years
+) -> list[DataFrame]:
+    found = next(iter(reports.values()))
+    missing = [files[_check_name(n, years)] for n in expected if n not in reports]
+    return [_static(found, f"Stage 3 file exists: {f}", False, f"Missing file: {f}") for f in missing]
+
+
+def _file_labels(reports, files, years) -> dict[str, dict[str, str]]:
+    return {"exists": {name: files[_check_name(name, years)] for name in reports}}
+
+
+def qa_file_exists(
+    reports: Mapping[str, DataFrame], expected: Sequence[str], files: Mapping[str, str], years: Years
+) -> DataFrame:
+    """One row per expected report with its row count; an absent report fails."""
+    present = _shape_checks(reports, ["exists"], _file_labels(reports, files, years))
+    return union_all([present, *_absent(reports, expected, files, years)])
+
+
 def qa_columns(
     reports: Mapping[str, DataFrame], expected: Mapping[str, T.StructType], years: Years
 ) -> DataFrame:
-    """Expected columns present, from the schema alone."""
-    parts = []
+    """Expected columns present, from the schemas alone: one literal row per report."""
+    rows = []
     for name, df in reports.items():
         wanted = [c for c in expected[name].fieldNames() if c not in _OPTIONAL_COLUMNS]
         missing = [c for c in wanted if c not in df.columns]
         details = f"Missing columns: {missing}" if missing else "All expected columns present"
-        parts.append(_static(df, f"Columns: {_check_name(name, years)}", not missing, details))
-    return union_all(parts)
+        rows.append((f"Columns: {_check_name(name, years)}", "FAIL" if missing else "PASS", details))
+    spark = next(iter(reports.values())).sparkSession
+    return spark.createDataFrame(rows, "check_name string, status string, details string")
 
 
 def qa_duplicates(reports: Mapping[str, DataFrame], years: Years) -> DataFrame:
-    parts = []
-    for name, df in reports.items():
-        extra = F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0))
-        parts.append(
-            _copies(df).agg(
-                *_result(
-                    f"Duplicates: {_check_name(name, years)}",
-                    extra == 0,
-                    F.lit("No duplicate rows"),
-                    F.concat(grouped(extra), F.lit(" duplicate rows")),
-                )
-            )
-        )
-    return union_all(parts)
+    return _shape_checks(reports, ["duplicates"], _labels(reports, years))
 
 
 def qa_non_empty(reports: Mapping[str, DataFrame], years: Years) -> DataFrame:
-    rows = F.count(F.lit(1))
-    return union_all(
-        [
-            df.agg(
-                *_result(
-                    f"Non-empty output: {_check_name(name, years)}",
-                    rows > 0,
-                    F.concat(grouped(rows), F.lit(" rows")),
-                    F.lit("CSV contains no rows"),
-                )
-            )
-            for name, df in reports.items()
-        ]
-    )
+    return _shape_checks(reports, ["non_empty"], _labels(reports, years))
 
 
 def qa_missing(reports: Mapping[str, DataFrame], years: Years) -> DataFrame:
-    """Missing cells per report; always passes, the details ask for review."""
-    parts = []
-    for name, df in reports.items():
-        missing = reduce(lambda a, b: a + b, [F.count_if(F.col(c).isNull()) for c in df.columns])
-        review = F.concat(missing.cast("string"), F.lit(" missing values (review required)"))
-        parts.append(
-            df.agg(
-                F.lit(f"Missing values: {_check_name(name, years)}").alias("check_name"),
-                F.lit("PASS").alias("status"),
-                F.when(missing == 0, F.lit("No missing values")).otherwise(review).alias("details"),
-            )
-        )
-    return union_all(parts)
+    return _shape_checks(reports, ["missing"], _labels(reports, years))
 
 
 # ---- recomputation checks -----------------------------------------------
@@ -355,11 +356,13 @@ def qa_report(
     expected = schemas.report_schemas(years.baseline, latest)
     files = report_files(years, latest)
     parts = [
-        qa_file_exists(reports, list(expected), files, years),
+        _shape_checks(
+            reports,
+            list(_SHAPE_CHECKS),
+            {**_labels(reports, years), **_file_labels(reports, files, years)},
+        ),
+        *_absent(reports, list(expected), files, years),
         qa_columns(reports, expected, years),
-        qa_duplicates(reports, years),
-        qa_non_empty(reports, years),
-        qa_missing(reports, years),
     ]
     recomputed = [
         (["annual_market", "market_ytd"], "market reconciliation",

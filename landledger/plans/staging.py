@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from landledger import schemas
 from landledger.functions.dates import epoch_ms_to_date
@@ -66,6 +65,6 @@ def stg_planning(raw: DataFrame) -> DataFrame:
     return dense_row_id(df, _with_tie_break(df, keys), "planning_id").drop(received)
 
 
-def _with_tie_break(df: DataFrame, keys: list[str]) -> list:
+def _with_tie_break(df: DataFrame, keys: list[str]) -> list[str]:
     """Sort keys, then every other column so that only equal rows can tie."""
-    return [F.col(k) for k in keys] + [F.col(c) for c in df.columns if c not in keys]
+    return keys + [c for c in df.columns if c not in keys]

@@ -11,7 +11,7 @@ from landledger.operators.row_ids import dense_row_id
 def test_row_ids_equal_the_global_window(spark):
     rows = [(i % 7 if i % 11 else None, f"n{i % 50}", i) for i in range(1000)]
     df = spark.createDataFrame(rows, "a int, b string, c int").repartition(5)
-    got = dense_row_id(df, [F.col("a"), F.col("b"), F.col("c")], "id").collect()
+    got = dense_row_id(df, ["a", "b", "c"], "id").collect()
     expected = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2]))
     assert [(r.a, r.b, r.c) for r in sorted(got, key=lambda r: r.id)] == expected
     assert sorted(r.id for r in got) == list(range(1, 1001))
@@ -19,13 +19,13 @@ def test_row_ids_equal_the_global_window(spark):
 
 def test_row_ids_split_a_run_of_copies(spark):
     df = spark.range(2000).select(F.lit("same").alias("a"))
-    numbered = dense_row_id(df, [F.col("a")], "id")
+    numbered = dense_row_id(df, ["a"], "id")
     assert sorted(r.id for r in numbered.collect()) == list(range(1, 2001))
 
 
 def test_row_ids_of_an_empty_table(spark):
     df = spark.createDataFrame([], "a int")
-    assert dense_row_id(df, [F.col("a")], "id").collect() == []
+    assert dense_row_id(df, ["a"], "id").collect() == []
 
 
 def test_duplicates(spark):
