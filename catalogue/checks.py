@@ -11,7 +11,7 @@ from catalogue.marts_and_reports import LATEST, P, REPORT_CTES, summary_mart
 from catalogue.registry import query
 from landledger import schemas
 from landledger.plans import cleaning, quality, reports, staging
-from landledger.storage import materialise
+from landledger.storage import materialise, run_together
 
 B0 = YEARS.baseline
 EXPECTED = schemas.report_schemas(B0, LATEST)
@@ -228,21 +228,20 @@ def qa_summary(spark, d):
 
 
 # ---- table tests ---------------------------------------------------------------
-def _tables(spark, d, staged=True):
-    marts = b.marts(spark, d).written()
-    tables = {
-        "monthly_market": marts.monthly,
-        "county_market": marts.county,
-        "planning_activity": marts.planning,
-        "property_market_summary": summary_mart(spark, d),
+def _tables(spark, d):
+    """Staging tables and marts, built side by side and written once."""
+    builds = {
+        "stg_ppr_transactions": lambda: staging.stg_tx(raw_tx(spark, d)),
+        "stg_rppi_series": lambda: staging.stg_index(raw_ix(spark, d)),
+        "stg_planning_applications": lambda: staging.stg_planning(
+            cleaning.clean_planning(b.pl_raw(spark, d))
+        ),
+        "monthly_market": lambda: materialise(b.monthly(spark, d), "monthly"),
+        "county_market": lambda: b.stored_county(spark, d),
+        "planning_activity": lambda: b.stored_planning(spark, d),
+        "property_market_summary": lambda: summary_mart(spark, d),
     }
-    if staged:
-        tables |= {
-            "stg_ppr_transactions": staging.stg_tx(raw_tx(spark, d)),
-            "stg_rppi_series": staging.stg_index(raw_ix(spark, d)),
-            "stg_planning_applications": staging.stg_planning(cleaning.clean_planning(b.pl_raw(spark, d))),
-        }
-    return tables
+    return dict(zip(builds, run_together(list(builds.values()))))
 
 
 SQL_TABLES = {

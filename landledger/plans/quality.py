@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from landledger import schemas
 from landledger.functions.numbers import ratio_pct, round_even
-from landledger.operators.profile import _copies
 from landledger.operators.series import set_coverage
 from landledger.plans.reports import (
     MARKET_METRICS,
@@ -100,25 +99,42 @@ _SHAPE_CHECKS = {
 def _shape_checks(
     reports: Mapping[str, DataFrame], kinds: Sequence[str], labels: Mapping[str, Mapping[str, str]]
 ) -> DataFrame:
-    """Rows of the asked kinds for every report, from one pass over each report."""
-    parts = []
+    """Rows of the asked kinds for every report.
+
+    The reports are small and differ in columns, so their rows become one table
+    of (report, row text, missing cells): one aggregation serves them all.
+    """
+    spark = next(iter(reports.values())).sparkSession
+    cells = []
     for name, df in reports.items():
         gaps = " + ".join(f"IF(`{c}` IS NULL, 1, 0)" for c in df.columns)
-        seen = _copies(df).agg(
-            F.expr("coalesce(sum(_copies), 0L) AS n"),
-            F.expr("coalesce(sum(_copies - 1), 0L) AS extra"),
-            F.expr(f"coalesce(sum(({gaps}) * _copies), 0L) AS gaps"),
+        text = "to_json(struct(*), map('ignoreNullFields', 'false'))"
+        cells.append(df.selectExpr(f"'{name}' AS report", f"{text} AS content", f"{gaps} AS gaps"))
+    seen = (
+        union_all(cells)
+        .groupBy("report", "content")
+        .agg(F.expr("count(1) AS copies"), F.expr("any_value(gaps) AS gaps"))
+        .groupBy("report")
+        .agg(
+            F.expr("sum(copies) AS n"),
+            F.expr("sum(copies - 1) AS extra"),
+            F.expr("sum(gaps * copies) AS gaps"),
         )
-        rows = []
-        for kind in kinds:
-            prefix, ok, good, bad = _SHAPE_CHECKS[kind]
-            label = labels.get(kind, {}).get(name, name)
-            rows.append(
-                f"struct('{prefix}{label}' AS check_name, IF({ok}, 'PASS', 'FAIL') AS status, "
-                f"IF({ok}, {good}, {bad}) AS details)"
-            )
-        parts.append(seen.selectExpr(f"inline(array({', '.join(rows)}))"))
-    return union_all(parts)
+    )
+    named = [(kind, name, labels.get(kind, {}).get(name, name)) for kind in kinds for name in reports]
+    names = spark.createDataFrame(named, "kind string, report string, label string")
+    # a report without rows is not among the seen ones
+    counted = names.join(seen, "report", "left").fillna(0, ["n", "extra", "gaps"])
+
+    def by_kind(part: int) -> str:
+        return "CASE kind " + " ".join(f"WHEN '{k}' THEN {_SHAPE_CHECKS[k][part]}" for k in kinds) + " END"
+
+    prefix = "CASE kind " + " ".join(f"WHEN '{k}' THEN '{_SHAPE_CHECKS[k][0]}'" for k in kinds) + " END"
+    return counted.selectExpr(
+        f"concat({prefix}, label) AS check_name",
+        f"IF({by_kind(1)}, 'PASS', 'FAIL') AS status",
+        f"IF({by_kind(1)}, {by_kind(2)}, {by_kind(3)}) AS details",
+    )
 
 
 def _labels(reports: Mapping[str, DataFrame], years: Years) -> dict[str, dict[str, str]]:
