@@ -67,66 +67,88 @@ def ranked(
     scale: int,
     quantiles: Mapping[str, float],
     tallies: Sequence[str] = (),
+    weights: Sequence[str] = ("_rows",),
 ) -> DataFrame:
-    """Group statistics and quantiles from value tallies."""
-    sums = ["_n", "_rows", *[f"_t_{t}" for t in tallies]]
+    """Group statistics and quantiles from value tallies.
+
+    ``weights`` are counts of a tallied row in SQL, the count of all rows first.
+    Every weight gets its own ``rows_i``, ``value_rows_i``, ``total_i`` and
+    quantiles, from the same pass.
+    """
+    every = range(len(weights))
     values = tallied.selectExpr(
-        "_g", "_c", f"{_BUCKET} AS _b", "IF(_c IS NULL, 0L, _rows) AS _n", *[f"`{s}`" for s in sums[1:]]
+        "_g", "_c", f"{_BUCKET} AS _b",
+        *[f"{w} AS _r{i}" for i, w in enumerate(weights)], *[f"`_t_{t}`" for t in tallies],
     ).repartition("_g", "_b")
+    known = [f"IF(_c IS NULL, 0L, _r{i})" for i in every]
+    sums = {f"_t_{t}": f"`_t_{t}`" for t in tallies}
+    for i in every:
+        sums[f"_r{i}"] = f"_r{i}"
+        sums[f"_n{i}"] = known[i]
+        sums[f"_s{i}"] = f"CAST(_c AS DECIMAL(18,0)) * CAST({known[i]} AS DECIMAL(18,0))"
     buckets = values.groupBy("_g", "_b").agg(
-        *[F.expr(f"sum(`{s}`) AS `{s}`") for s in sums],
-        F.expr("sum(CAST(_c AS DECIMAL(18,0)) * CAST(_n AS DECIMAL(18,0))) AS _total"),
+        *[F.expr(f"sum({e}) AS `{name}`") for name, e in sums.items()]
     )
 
-    carried = [f"_all{s}" for s in [*sums, "_total"]]
-    ranks = []
-    for i, q in enumerate(quantiles.values()):
-        position = f"(_all_n - 1) * CAST({float(q)!r} AS DOUBLE)"
-        ranks += [f"struct({2 * i} AS slot, floor({position}) AS rank)"]
-        ranks += [f"struct({2 * i + 1} AS slot, ceil({position}) AS rank)"]
+    def position(i: int, q: float) -> str:
+        return f"(_all_n{i} - 1) * CAST({float(q)!r} AS DOUBLE)"
 
-    def hits(candidates: str, stop: str) -> str:
-        return f"filter({candidates}, t -> t.rank >= {stop} - _n AND t.rank < {stop}) AS _hits"
+    def ranks(i: int) -> str:
+        out = []
+        for j, q in enumerate(quantiles.values()):
+            out.append(f"struct({2 * j} AS slot, floor({position(i, q)}) AS rank)")
+            out.append(f"struct({2 * j + 1} AS slot, ceil({position(i, q)}) AS rank)")
+        return f"array({', '.join(out)})"
 
-    found = "size(_hits) > 0 OR _all_n = 0"
+    def hits(i: int, candidates: str) -> str:
+        inside = f"t.rank >= _stop{i} - _n{i} AND t.rank < _stop{i}"
+        return f"filter({candidates}, t -> {inside}) AS _hits{i}"
+
+    carried = [f"_all{name}" for name in sums]
+    quoted = [f"`{c}`" for c in carried]
+    found = " OR ".join([f"size(_hits{i}) > 0" for i in every] + ["_all_n0 = 0"])
     located = (
         buckets.selectExpr(
-            "_g", "_b", "_n",
-            "sum(_n) OVER (PARTITION BY _g ORDER BY _b ROWS UNBOUNDED PRECEDING) AS _stop",
-            *[f"sum(`{c[4:]}`) OVER (PARTITION BY _g) AS `{c}`" for c in carried],
+            "_g", "_b", *[f"_n{i}" for i in every],
+            *[f"sum(_n{i}) OVER (PARTITION BY _g ORDER BY _b ROWS UNBOUNDED PRECEDING) AS _stop{i}" for i in every],
+            *[f"sum(`{name}`) OVER (PARTITION BY _g) AS `_all{name}`" for name in sums],
         )
-        .selectExpr("_g", "_b", "_stop - _n AS _start", hits(f"array({', '.join(ranks)})", "_stop"), *[f"`{c}`" for c in carried])
+        .selectExpr("_g", "_b", *[f"_stop{i} - _n{i} AS _start{i}" for i in every], *[hits(i, ranks(i)) for i in every], *quoted)
         .filter(found)
     )
     # values already lie by (_g, _b); only the few located buckets move to them
     at_rank = (
-        values.select("_g", "_b", "_c", "_n")
+        values.selectExpr("_g", "_b", "_c", *[f"{n} AS _n{i}" for i, n in enumerate(known)])
         .join(located.hint("shuffle_hash"), ["_g", "_b"])
         .selectExpr(
             "*",
-            "_start + sum(_n) OVER (PARTITION BY _g, _b ORDER BY _c ROWS UNBOUNDED PRECEDING) AS _stop",
+            *[
+                f"_start{i} + sum(_n{i}) OVER (PARTITION BY _g, _b ORDER BY _c ROWS UNBOUNDED PRECEDING) AS _stop{i}"
+                for i in every
+            ],
         )
-        .selectExpr("_g", "_c", hits("_hits", "_stop"), *[f"`{c}`" for c in carried])
+        .selectExpr("_g", "_c", *[hits(i, f"_hits{i}") for i in every], *quoted)
         .filter(found)
     )
+    slots = range(2 * len(quantiles))
     per_group = at_rank.groupBy("_g").agg(
-        *[F.expr(f"any_value(`{c}`) AS `{c}`") for c in carried],
+        *[F.expr(f"any_value({c}) AS {c}") for c in quoted],
         *[
-            F.expr(f"max(IF(exists(_hits, t -> t.slot = {s}), _c, NULL)) AS _v{s}")
-            for s in range(2 * len(quantiles))
+            F.expr(f"max(IF(exists(_hits{i}, t -> t.slot = {s}), _c, NULL)) AS _v{i}_{s}")
+            for i in every
+            for s in slots
         ],
     )
-    out = [f"_g.`{k}` AS `{k}`" for k in keys]
-    out += [
-        "_all_rows AS rows",
-        "_all_n AS value_rows",
-        f"CAST(CAST(_all_total AS DECIMAL(36,0)) / {10**scale} AS DECIMAL(36,{scale})) AS total",
-        *[f"`_all_t_{t}` AS `{t}`" for t in tallies],
-    ]
-    for i, (name, q) in enumerate(quantiles.items()):
-        position = f"(_all_n - 1) * CAST({float(q)!r} AS DOUBLE)"
-        low, high = f"_v{2 * i}", f"_v{2 * i + 1}"
-        out.append(f"{low} + ({high} - {low}) * ({position} - floor({position})) AS `{name}`")
+    out = [f"_g.`{k}` AS `{k}`" for k in keys] + [f"`_all_t_{t}` AS `{t}`" for t in tallies]
+    for i in every:
+        out += [
+            f"_all_r{i} AS rows_{i}",
+            f"_all_n{i} AS value_rows_{i}",
+            f"CAST(CAST(_all_s{i} AS DECIMAL(36,0)) / {10**scale} AS DECIMAL(36,{scale})) AS total_{i}",
+        ]
+        for j, (name, q) in enumerate(quantiles.items()):
+            low, high, at = f"_v{i}_{2 * j}", f"_v{i}_{2 * j + 1}", position(i, q)
+            out.append(f"{low} + ({high} - {low}) * ({at} - floor({at})) AS `{name}_{i}`")
     return per_group.selectExpr(*out)
 
 
@@ -147,7 +169,9 @@ def grouped_stats(
     scale = _scale(df, value)
     if quantiles:
         tallied = value_tallies(df, keys, value, tallies)
-        return ranked(tallied, keys, scale, quantiles, list(tallies or {}))
+        single = ranked(tallied, keys, scale, quantiles, list(tallies or {}))
+        plain = ["rows", "value_rows", "total", *quantiles]
+        return single.withColumnsRenamed({f"{c}_0": c for c in plain})
     return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count(value).alias("value_rows"),
@@ -181,8 +205,9 @@ def money_stats(df: DataFrame, keys: Sequence[str], value: str, tallies=None) ->
     )
 
 
-def _as_floats(stats: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return stats.select(
+def float_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Report columns: counts, total (0 for no values), unrounded mean and median."""
+    return grouped_stats(df, keys, value, MEDIAN).select(
         *keys,
         F.col("rows").alias("transactions"),
         F.expr("CAST(coalesce(total, 0) AS DECIMAL(28,2)) AS total_value"),
@@ -191,38 +216,29 @@ def _as_floats(stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def float_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Report columns: counts, total (0 for no values), unrounded mean and median."""
-    return _as_floats(grouped_stats(df, keys, value, MEDIAN), keys)
-
-
 def _mask_rows(tallied: DataFrame, masks: Sequence[tuple[str, str]], label: str) -> DataFrame:
     """Statistics per mask from tallies; a mask is its label and its count in SQL.
 
-    Every tallied value is repeated for the masks that hold it, so the table is
-    aggregated once for any number of masks. Position -1 stands for all rows.
+    The masks are further weights of one pass, laid out as rows at the end. The
+    counts of a mask without rows are 0, its mean and median null.
     """
-    tagged = [f"struct(struct({i} AS position) AS _g, {n} AS _rows)" for i, (_, n) in enumerate(masks)]
-    everything = "struct(struct(-1 AS position) AS _g, _rows AS _rows)"
-    spread = tallied.selectExpr(
-        "_c", f"inline(filter(array({', '.join([everything, *tagged])}), t -> t._rows > 0))"
-    )
-    stats = _as_floats(ranked(spread, ["position"], 2, MEDIAN), ["position"])
-    names = tallied.sparkSession.range(1).select(
-        F.posexplode(F.array(*[F.lit(name) for name, _ in masks])).alias("position", label)
-    )
+    stats = ranked(tallied, [], 2, MEDIAN, weights=["_rows", *[count for _, count in masks]])
+    rows = []
+    for i in range(1, len(masks) + 1):
+        rows.append(
+            f"struct({i} AS position, rows_{i} AS transactions, "
+            f"coalesce(try_divide(CAST(rows_{i} AS DOUBLE), CAST(rows_0 AS DOUBLE)) * 100D, 0D) AS transaction_share_pct, "
+            f"try_divide(CAST(total_{i} AS DOUBLE), CAST(value_rows_{i} AS DOUBLE)) AS mean_price, "
+            f"median_{i} / 100D AS median_price, "
+            f"CAST(coalesce(total_{i}, 0) AS DECIMAL(28,2)) AS total_value)"
+        )
+    names = F.array(*[F.lit(name) for name, _ in masks])
     return (
-        stats.selectExpr("*", "max(IF(position = -1, transactions, 0)) OVER () AS _all_rows")
-        .join(names, "position", "right")
-        .selectExpr(
+        stats.selectExpr(f"inline(array({', '.join(rows)}))")
+        .select(
+            F.element_at(names, F.col("position")).alias(label),
+            "transactions", "transaction_share_pct", "mean_price", "median_price", "total_value",
             "position",
-            f"`{label}`",
-            "coalesce(transactions, 0) AS transactions",
-            "coalesce(try_divide(CAST(transactions AS DOUBLE), CAST(_all_rows AS DOUBLE)) * 100D, 0D)"
-            " AS transaction_share_pct",
-            "mean_price",
-            "median_price",
-            "CAST(coalesce(total_value, 0) AS DECIMAL(28,2)) AS total_value",
         )
         .orderBy("position")
         .drop("position")
@@ -249,7 +265,7 @@ def split_at_quantile(
     """All rows, rows below the quantile, rows at or above it, from one aggregation."""
     _require_cents(df, value)
     tallied = value_tallies(df, [], value)
-    limit = ranked(tallied, [], 2, {"_limit": quantile}).select("_limit")
+    limit = ranked(tallied, [], 2, {"limit": quantile}).selectExpr("limit_0 AS _limit")
     masks = ["_rows", "IF(_c < _limit, _rows, 0L)", "IF(_c >= _limit, _rows, 0L)"]
     return _mask_rows(tallied.join(F.broadcast(limit)), list(zip(names, masks)), label)
 
@@ -279,7 +295,7 @@ def histogram(df: DataFrame, value: str, bins: int = 50, upto_quantile: float =
     """Equal-width bins over the values up to a quantile; the top edge is closed."""
     _require_cents(df, value)
     tallied = value_tallies(df, [], value)
-    limit = ranked(tallied, [], 2, {"_limit": upto_quantile}).select("_limit")
+    limit = ranked(tallied, [], 2, {"limit": upto_quantile}).selectExpr("limit_0 AS _limit")
     kept = tallied.join(F.broadcast(limit)).filter("_c <= _limit").select("_c", "_rows")
     edges = kept.selectExpr("min(_c) AS _lo", f"(max(_c) - min(_c)) / {bins}D AS _width").filter(
         "_lo IS NOT NULL"
