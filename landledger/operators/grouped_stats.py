@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from landledger.functions.dates import quantile_label
 from landledger.functions.numbers import exact_mean, float_mean
+from landledger.storage import materialise
 
 # Rows without a value sort below every real bucket.
 _NO_VALUE_BUCKET = -(1 << 62)
@@ -45,19 +46,20 @@ def value_tallies(
     value: str,
     tallies: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """One row per (group ``_g``, value ``_c`` in minor units): rows, conditional counts."""
+    """One row per (group ``_g``, value ``_c`` in minor units): rows, conditional counts.
+
+    Without keys there is no ``_g``.
+    """
     minor = f"CAST(rint(CAST(_value AS DOUBLE) * {10 ** _scale(df, value)}) AS BIGINT) AS _c"
     # a struct compares null fields as equal, so null groups join like others
-    group = F.struct(*keys) if keys else F.expr("struct(0 AS all_rows)")
+    group = [F.struct(*keys).alias("_g")] if keys else []
     flags = {f"_t_{name}": flag for name, flag in (tallies or {}).items()}
     counts = ["count(1) AS _rows", *[f"count_if(`{t}`) AS `{t}`" for t in flags]]
     return (
-        df.select(
-            group.alias("_g"), F.col(value).alias("_value"), *[c.alias(t) for t, c in flags.items()]
-        )
-        .groupBy("_g", "_value")
+        df.select(*group, F.col(value).alias("_value"), *[c.alias(t) for t, c in flags.items()])
+        .groupBy(*(["_g"] if keys else []), "_value")
         .agg(*[F.expr(c) for c in counts])
-        .selectExpr("_g", minor, "_rows", *[f"`{t}`" for t in flags])
+        .selectExpr(*(["_g"] if keys else []), minor, "_rows", *[f"`{t}`" for t in flags])
     )
 
 
@@ -76,17 +78,19 @@ def ranked(
     quantiles, from the same pass.
     """
     every = range(len(weights))
+    group = ["_g"] if keys else []
+    whole, upto = ("PARTITION BY _g " if keys else ""), "ROWS UNBOUNDED PRECEDING"
     values = tallied.selectExpr(
-        "_g", "_c", f"{_BUCKET} AS _b",
+        *group, "_c", f"{_BUCKET} AS _b",
         *[f"{w} AS _r{i}" for i, w in enumerate(weights)], *[f"`_t_{t}`" for t in tallies],
-    ).repartition("_g", "_b")
+    ).repartition(*group, "_b")
     known = [f"IF(_c IS NULL, 0L, _r{i})" for i in every]
     sums = {f"_t_{t}": f"`_t_{t}`" for t in tallies}
     for i in every:
         sums[f"_r{i}"] = f"_r{i}"
         sums[f"_n{i}"] = known[i]
         sums[f"_s{i}"] = f"CAST(_c AS DECIMAL(18,0)) * CAST({known[i]} AS DECIMAL(18,0))"
-    buckets = values.groupBy("_g", "_b").agg(
+    buckets = values.groupBy(*group, "_b").agg(
         *[F.expr(f"sum({e}) AS `{name}`") for name, e in sums.items()]
     )
 
@@ -109,29 +113,29 @@ def ranked(
     found = " OR ".join([f"size(_hits{i}) > 0" for i in every] + ["_all_n0 = 0"])
     located = (
         buckets.selectExpr(
-            "_g", "_b", *[f"_n{i}" for i in every],
-            *[f"sum(_n{i}) OVER (PARTITION BY _g ORDER BY _b ROWS UNBOUNDED PRECEDING) AS _stop{i}" for i in every],
-            *[f"sum(`{name}`) OVER (PARTITION BY _g) AS `_all{name}`" for name in sums],
+            *group, "_b", *[f"_n{i}" for i in every],
+            *[f"sum(_n{i}) OVER ({whole}ORDER BY _b {upto}) AS _stop{i}" for i in every],
+            *[f"sum(`{name}`) OVER ({whole}) AS `_all{name}`" for name in sums],
         )
-        .selectExpr("_g", "_b", *[f"_stop{i} - _n{i} AS _start{i}" for i in every], *[hits(i, ranks(i)) for i in every], *quoted)
+        .selectExpr(*group, "_b", *[f"_stop{i} - _n{i} AS _start{i}" for i in every], *[hits(i, ranks(i)) for i in every], *quoted)
         .filter(found)
     )
     # values already lie by (_g, _b); only the few located buckets move to them
     at_rank = (
-        values.selectExpr("_g", "_b", "_c", *[f"{n} AS _n{i}" for i, n in enumerate(known)])
-        .join(located.hint("shuffle_hash"), ["_g", "_b"])
+        values.selectExpr(*group, "_b", "_c", *[f"{n} AS _n{i}" for i, n in enumerate(known)])
+        .join(located.hint("shuffle_hash"), [*group, "_b"])
         .selectExpr(
             "*",
             *[
-                f"_start{i} + sum(_n{i}) OVER (PARTITION BY _g, _b ORDER BY _c ROWS UNBOUNDED PRECEDING) AS _stop{i}"
+                f"_start{i} + sum(_n{i}) OVER (PARTITION BY {', '.join([*group, '_b'])} ORDER BY _c {upto}) AS _stop{i}"
                 for i in every
             ],
         )
-        .selectExpr("_g", "_c", *[hits(i, f"_hits{i}") for i in every], *quoted)
+        .selectExpr(*group, "_c", *[hits(i, f"_hits{i}") for i in every], *quoted)
         .filter(found)
     )
     slots = range(2 * len(quantiles))
-    per_group = at_rank.groupBy("_g").agg(
+    per_group = at_rank.groupBy(*group).agg(
         *[F.expr(f"any_value({c}) AS {c}") for c in quoted],
         *[
             F.expr(f"max(IF(exists(_hits{i}, t -> t.slot = {s}), _c, NULL)) AS _v{i}_{s}")
@@ -139,11 +143,13 @@ def ranked(
             for s in slots
         ],
     )
-    out = [f"_g.`{k}` AS `{k}`" for k in keys] + [f"`_all_t_{t}` AS `{t}`" for t in tallies]
+    out = [f"_g.`{k}` AS `{k}`" for k in keys] + [
+        f"coalesce(`_all_t_{t}`, 0L) AS `{t}`" for t in tallies
+    ]
     for i in every:
         out += [
-            f"_all_r{i} AS rows_{i}",
-            f"_all_n{i} AS value_rows_{i}",
+            f"coalesce(_all_r{i}, 0L) AS rows_{i}",
+            f"coalesce(_all_n{i}, 0L) AS value_rows_{i}",
             f"CAST(CAST(_all_s{i} AS DECIMAL(36,0)) / {10**scale} AS DECIMAL(36,{scale})) AS total_{i}",
         ]
         for j, (name, q) in enumerate(quantiles.items()):
@@ -292,9 +298,13 @@ def quantile_rows(
 
 
 def histogram(df: DataFrame, value: str, bins: int = 50, upto_quantile: float = 0.99) -> DataFrame:
-    """Equal-width bins over the values up to a quantile; the top edge is closed."""
+    """Equal-width bins over the values up to a quantile; the top edge is closed.
+
+    Limit, edges and bins each need the tallies, with other columns and filters,
+    so the tallies are written once instead of scanning the table three times.
+    """
     _require_cents(df, value)
-    tallied = value_tallies(df, [], value)
+    tallied = materialise(value_tallies(df, [], value), "value-tallies")
     limit = ranked(tallied, [], 2, {"limit": upto_quantile}).selectExpr("limit_0 AS _limit")
     kept = tallied.join(F.broadcast(limit)).filter("_c <= _limit").select("_c", "_rows")
     edges = kept.selectExpr("min(_c) AS _lo", f"(max(_c) - min(_c)) / {bins}D AS _width").filter(

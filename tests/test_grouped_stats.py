@@ -119,3 +119,20 @@ def test_plan_keeps_groups_apart(spark):
     plan = money_stats(frame(spark, skewed_rows(6, 50)), ["k"], "v")._jdf.queryExecution().toString()
     assert "SinglePartition" not in plan
     assert "percentile" not in plan and "collect_list" not in plan
+
+
+def scans(df):
+    """Table scans left in the executed plan, reused exchanges aside."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return plan.count("FileScan parquet")
+
+
+def test_each_statistic_scans_the_table_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    frame(spark, skewed_rows(7, 600)).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert scans(money_stats(df, ["k"], "v")) == 1
+    masks = [("a", F.col("k") == "a"), ("big", F.col("v") > 4)]
+    assert scans(masked_stats(df, "v", masks, "label")) == 1
+    assert scans(quantile_rows(df, "v", [0.5])) == 1
