@@ -271,7 +271,7 @@ def left_join_month(spark, d):
     CAST(refused_applications AS BIGINT) AS refused_applications, residential_units FROM b_merged""",
 )
 def inner_join_month(spark, d):
-    return reports.market_with_planning(b.monthly(spark, d), b.planning(spark, d))
+    return reports.market_with_planning(*b.stored(spark, d, "monthly", "planning"))
 
 
 @query(

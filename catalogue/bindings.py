@@ -18,7 +18,7 @@ from landledger.functions.dates import year_month
 from landledger.plans import marts as mart_plans
 from landledger.plans.reports import Marts, Years
 from landledger.plans.staging import typed_planning
-from landledger.storage import materialise
+from landledger.storage import materialise, run_together
 
 YEARS = Years(partial=2001, baseline=1995)
 SERIES, UNIT = "ALL", "Base 1995=100"
@@ -250,6 +250,11 @@ def planning(spark, sf_dir) -> DataFrame:
     return mart_plans.planning_activity(pl(spark, sf_dir))
 
 
+def stored_monthly(spark, sf_dir) -> DataFrame:
+    """Monthly mart written once: reports read stored marts."""
+    return materialise(monthly(spark, sf_dir), "monthly")
+
+
 def stored_county(spark, sf_dir) -> DataFrame:
     """County mart written once, for reports that read it more than once."""
     return materialise(county(spark, sf_dir), "county")
@@ -259,6 +264,14 @@ def stored_planning(spark, sf_dir) -> DataFrame:
     return materialise(planning(spark, sf_dir), "planning")
 
 
+_STORED = {"monthly": stored_monthly, "county": stored_county, "planning": stored_planning}
+
+
+def stored(spark, sf_dir, *names: str) -> list[DataFrame]:
+    """Several stored marts, built side by side."""
+    return run_together([lambda n=n: _STORED[n](spark, sf_dir) for n in names])
+
+
 def marts(spark, sf_dir) -> Marts:
     return Marts(monthly(spark, sf_dir), county(spark, sf_dir), planning(spark, sf_dir))
 

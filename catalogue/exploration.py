@@ -41,7 +41,8 @@ def _num(expr: str) -> str:
     UNION ALL SELECT 'median_transaction_price', {_num(f'CAST({FLOAT_MEDIAN} AS DECIMAL(38,4))')} FROM b_tx""",
 )
 def dataset_summary(spark, d):
-    return eda.dataset_summary(b.tx(spark, d, eda=True))
+    df = _eda(spark, d, "sale_date", "price_eur")
+    return eda.dataset_summary(df, column_count=len(eda.schemas.TX_COLUMNS))
 
 
 def _missing_sql(columns, table, name=lambda c: c):

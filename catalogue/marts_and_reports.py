@@ -245,17 +245,17 @@ REPORT_CTES = {
 
 @query("annual_market_summary", "SELECT * FROM b_annual")
 def annual_market_summary(spark, d):
-    return reports.annual_market_summary(b.monthly(spark, d), YEARS)
+    return reports.annual_market_summary(b.stored_monthly(spark, d), YEARS)
 
 
 @query("market_ytd", "SELECT * FROM b_ytd")
 def market_ytd(spark, d):
-    return reports.market_ytd(b.monthly(spark, d), YEARS)
+    return reports.market_ytd(b.stored_monthly(spark, d), YEARS)
 
 
 @query("price_growth", "SELECT * FROM b_growth")
 def price_growth(spark, d):
-    return reports.price_growth(b.monthly(spark, d), YEARS)
+    return reports.price_growth(b.stored_monthly(spark, d), YEARS)
 
 
 @query("county_market_latest", "SELECT * FROM b_county_latest")
@@ -285,12 +285,13 @@ def planning_authority_latest(spark, d):
 
 @query("market_planning_correlation", "SELECT * FROM b_corr")
 def market_planning_correlation(spark, d):
-    return reports.market_planning_correlation(b.monthly(spark, d), b.planning(spark, d), check=False)
+    marts = b.stored(spark, d, "monthly", "planning")
+    return reports.market_planning_correlation(*marts, check=False)
 
 
 @query("key_kpis", "SELECT * FROM b_kpi")
 def key_kpis(spark, d):
-    return reports.key_kpis(b.marts(spark, d), YEARS)
+    return reports.key_kpis(b.marts(spark, d).written(), YEARS)
 
 
 @query(
@@ -301,4 +302,4 @@ def key_kpis(spark, d):
     UNION ALL SELECT 'planning_activity', min(year_month), max(year_month), count(*) FROM b_planning""",
 )
 def source_coverage(spark, d):
-    return reports.source_coverage(b.marts(spark, d))
+    return reports.source_coverage(b.marts(spark, d).written())

@@ -80,16 +80,18 @@ def ranked(
     every = range(len(weights))
     group = ["_g"] if keys else []
     whole, upto = ("PARTITION BY _g " if keys else ""), "ROWS UNBOUNDED PRECEDING"
+    # One array per value: both uses below then need the same column, so the
+    # optimizer prunes neither and they share one scan and shuffle.
+    cells = ["_c", *weights, *[f"`_t_{t}`" for t in tallies]]
     values = tallied.selectExpr(
-        *group, "_c", f"{_BUCKET} AS _b",
-        *[f"{w} AS _r{i}" for i, w in enumerate(weights)], *[f"`_t_{t}`" for t in tallies],
+        *group, f"{_BUCKET} AS _b", f"array({', '.join(cells)}) AS _v"
     ).repartition(*group, "_b")
-    known = [f"IF(_c IS NULL, 0L, _r{i})" for i in every]
-    sums = {f"_t_{t}": f"`_t_{t}`" for t in tallies}
+    known = [f"IF(_v[0] IS NULL, 0L, _v[{i + 1}])" for i in every]
+    sums = {f"_t_{t}": f"_v[{len(weights) + 1 + k}]" for k, t in enumerate(tallies)}
     for i in every:
-        sums[f"_r{i}"] = f"_r{i}"
+        sums[f"_r{i}"] = f"_v[{i + 1}]"
         sums[f"_n{i}"] = known[i]
-        sums[f"_s{i}"] = f"CAST(_c AS DECIMAL(18,0)) * CAST({known[i]} AS DECIMAL(18,0))"
+        sums[f"_s{i}"] = f"CAST(_v[0] AS DECIMAL(18,0)) * CAST({known[i]} AS DECIMAL(18,0))"
     buckets = values.groupBy(*group, "_b").agg(
         *[F.expr(f"sum({e}) AS `{name}`") for name, e in sums.items()]
     )
@@ -122,7 +124,7 @@ def ranked(
     )
     # values already lie by (_g, _b); only the few located buckets move to them
     at_rank = (
-        values.selectExpr(*group, "_b", "_c", *[f"{n} AS _n{i}" for i, n in enumerate(known)])
+        values.selectExpr(*group, "_b", "_v[0] AS _c", *[f"{n} AS _n{i}" for i, n in enumerate(known)])
         .join(located.hint("shuffle_hash"), [*group, "_b"])
         .selectExpr(
             "*",

@@ -85,13 +85,16 @@ def eda_rules() -> dict[str, Column]:
     }
 
 
-def dataset_summary(tx: DataFrame) -> DataFrame:
-    """Seven (metric, value) rows, values as text."""
+def dataset_summary(tx: DataFrame, column_count: int | None = None) -> DataFrame:
+    """Seven (metric, value) rows, values as text.
+
+    ``column_count`` states the table's width when only the needed columns are given.
+    """
     price = grouped_stats(tx, [], "price_eur", MEDIAN)
     span = tx.agg(F.min("sale_date").alias("first"), F.max("sale_date").alias("last"))
     figures = [
         ("rows", F.col("rows").cast("string")),
-        ("columns", F.lit(str(len(tx.columns)))),
+        ("columns", F.lit(str(column_count or len(tx.columns)))),
         ("start_date", F.col("first").cast("string")),
         ("end_date", F.col("last").cast("string")),
         ("total_transaction_value", plain_number(F.col("total"))),
@@ -110,10 +113,7 @@ _STATS = ["transactions", "total_value", "mean_price", "median_price"]
 
 
 def _period_stats(tx: DataFrame, keys: list[str]) -> DataFrame:
-    stats = float_stats(tx, keys, "price_eur")
-    for key in keys:
-        stats = stats.filter(F.col(key).isNotNull())
-    return stats
+    return float_stats(tx.dropna(subset=keys), keys, "price_eur")
 
 
 def annual_market_analysis(tx: DataFrame) -> DataFrame:

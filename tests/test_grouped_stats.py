@@ -13,6 +13,7 @@ from landledger.operators.grouped_stats import (
     masked_stats,
     money_stats,
     quantile_rows,
+    split_at_quantile,
 )
 
 QS = {"q01": 0.01, "q25": 0.25, "q50": 0.5, "q995": 0.995, "q0": 0.0, "q1": 1.0}
@@ -133,6 +134,9 @@ def test_each_statistic_scans_the_table_once(spark, tmp_path):
     frame(spark, skewed_rows(7, 600)).write.parquet(path)
     df = spark.read.parquet(path)
     assert scans(money_stats(df, ["k"], "v")) == 1
+    assert scans(money_stats(df, ["k"], "v", {"dear": F.col("v") > 9})) == 1
+    names = ("all", "below", "above")
+    assert scans(split_at_quantile(df, "v", 0.9, names, "view")) == 1
     masks = [("a", F.col("k") == "a"), ("big", F.col("v") > 4)]
     assert scans(masked_stats(df, "v", masks, "label")) == 1
     assert scans(quantile_rows(df, "v", [0.5])) == 1
