@@ -71,7 +71,8 @@ class Warehouse:
         if part in df.columns:
             writer = writer.partitionBy(part)
         writer.parquet(self.path(table))
-        return self.load(table)
+        # a layout column comes back last and with a guessed type
+        return self.load(table).select(*[F.col(f.name).cast(f.dataType) for f in df.schema.fields])
 
     def load(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
