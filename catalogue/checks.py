@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from catalogue import bindings as b
 from catalogue.bindings import YEARS
-from catalogue.layers import raw_ix, raw_tx, written_reports
+from catalogue.layers import raw_ix, raw_pl, raw_tx, written_reports
 from catalogue.marts_and_reports import LATEST, P, REPORT_CTES, summary_mart
 from catalogue.registry import query
 from landledger import schemas
-from landledger.plans import cleaning, quality, reports, staging
+from landledger.plans import quality, reports, staging
 from landledger.storage import materialise, run_together
 
 B0 = YEARS.baseline
@@ -233,9 +233,7 @@ def _tables(spark, d):
     builds = {
         "stg_ppr_transactions": lambda: staging.stg_tx(raw_tx(spark, d)),
         "stg_rppi_series": lambda: staging.stg_index(raw_ix(spark, d)),
-        "stg_planning_applications": lambda: staging.stg_planning(
-            cleaning.clean_planning(b.pl_raw(spark, d))
-        ),
+        "stg_planning_applications": lambda: staging.stg_planning(raw_pl(spark, d)),
         "monthly_market": lambda: materialise(b.monthly(spark, d), "monthly"),
         "county_market": lambda: b.stored_county(spark, d),
         "planning_activity": lambda: b.stored_planning(spark, d),

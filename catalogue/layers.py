@@ -64,12 +64,18 @@ cte(
 
 
 def raw_tx(spark, d):
-    """All-text raw layer of the cleaned register."""
-    return cleaning.as_text_layer(cleaning.clean_tx(b.tx_raw(spark, d)))
+    """All-text raw layer of the cleaned register, stored as in the rebuild."""
+    text_layer = cleaning.as_text_layer(cleaning.clean_tx(b.tx_raw(spark, d)))
+    return storage.materialise(text_layer, "raw-register")
 
 
 def raw_ix(spark, d):
-    return cleaning.as_text_layer(cleaning.clean_index(b.ix_raw(spark, d), check=False))
+    text_layer = cleaning.as_text_layer(cleaning.clean_index(b.ix_raw(spark, d), check=False))
+    return storage.materialise(text_layer, "raw-index")
+
+
+def raw_pl(spark, d):
+    return storage.materialise(cleaning.clean_planning(b.pl_raw(spark, d)), "raw-planning")
 
 
 @query("stg_tx", "SELECT * FROM b_stg_tx")
@@ -108,7 +114,7 @@ cte(
 
 @query("stg_planning", "SELECT * FROM b_stg_pl")
 def stg_planning(spark, d):
-    return staging.stg_planning(cleaning.clean_planning(b.pl_raw(spark, d)))
+    return staging.stg_planning(raw_pl(spark, d))
 
 
 @query(
@@ -118,7 +124,7 @@ def stg_planning(spark, d):
 )
 def dense_row_id_query(spark, d):
     df = b.tx(spark, d, "county", "sale_year", "price_eur", "address")
-    return dense_row_id(df, df.columns, "row_id")
+    return dense_row_id(storage.materialise(df, "rows"), df.columns, "row_id")
 
 
 # ---- exploration load ----------------------------------------------------------
