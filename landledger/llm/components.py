@@ -37,13 +37,16 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the smallest node around it."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    smallest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # stored, as below: a join of two exchanges can be split at hot nodes, one on an aggregate cannot
+    smallest = materialise(
+        both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "links"
+    )
     return both.filter("v > u").join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link every smaller neighbour of a node, and the node, to the smallest of them."""
-    smallest = edges.groupBy("u").agg(F.min("v").alias("m"))
+    smallest = materialise(edges.groupBy("u").agg(F.min("v").alias("m")), "links")
     return (
         edges.join(smallest, "u")
         .select(F.when(F.col("v") > F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v"))

@@ -24,6 +24,10 @@ _RANDOM = np.random.default_rng(7)
 _FACTORS = (_RANDOM.integers(0, 2**31, REGISTERS, dtype=np.uint32) << 1) + np.uint32(1)
 _SHIFTS = _RANDOM.integers(0, 2**32, REGISTERS, dtype=np.uint32)
 _CHUNK = 1 << 12
+_PLACES = mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64)) | np.uint64(1)  # a factor for each place of a word
+_STEP = np.uint64(0xA0761D6478BD642F)
+PAIRED_UPTO = 16  # classes in a bucket whose pairs are joined; larger buckets are compared in blocks
+BLOCK_ROWS = 400
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -94,11 +98,11 @@ def near_duplicates(
     a sketch; each band of four registers puts it into a bucket. At a similarity
     of 0.8 a pair misses all 30 bands once in ten million. Buckets do not emit
     their pairs: each class is tested against bucket leaders, in rounds with
-    different leaders, and once links have joined most of a bucket, only pairs
-    across components that are still apart are tested, all of them. So a bucket
-    of thousands of near copies costs a few tests a member, and no link between
-    components is lost. Pairs are first screened by size and by the likelihood
-    estimate, then verified on the full sets.
+    different leaders; such pairs are screened by size and by the likelihood estimate,
+    then verified on the full sets. What is still apart in a bucket after that is compared in
+    full, by joined pairs in a bucket of up to ``PAIRED_UPTO`` classes, and in blocks that
+    emit links alone in larger ones. So a bucket of thousands of near copies costs a few
+    tests a member, and no link between components is lost.
 
     A null or empty text has an empty set and no link. Rows that share a doc_id
     count as one node: a link of any of them links the id. A row without a doc_id
@@ -107,7 +111,11 @@ def near_duplicates(
     """
     sketches = materialise(_sketches(ids_and_texts(docs, id_column, text_column), shingle_words), "sketches")
     known = sketches.filter("doc_id IS NOT NULL")
-    classes = known.filter("n_shingles > 0").groupBy("words").agg(F.min("doc_id").alias("node"))
+    # small tables that hot keys are joined with are stored: a join of two exchanges can be split, one
+    # that sits on an aggregate cannot
+    classes = materialise(
+        known.filter("n_shingles > 0").groupBy("words").agg(F.min("doc_id").alias("node")), "class-ids"
+    )
     # several rows may share the id; any one of a class has the same sketch
     members = known.join(classes, "words").select("doc_id", "node")
     inside = members.filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b")).distinct()
@@ -157,12 +165,13 @@ def _sketches(texts: DataFrame, k: int) -> DataFrame:
 
 def _digest(words: np.ndarray) -> bytes:
     """128 bits of the word sequence."""
-    one = int(ngrams(words, len(words))[0]) if len(words) else 0
-    two = int(np.bitwise_xor.reduce(mix(words + np.arange(1, len(words) + 1, dtype=np.uint64) * _STEP))) if len(words) else 0
-    return one.to_bytes(8, "little") + two.to_bytes(8, "little")
-
-
-_STEP = np.uint64(0xA0761D6478BD642F)
+    one = two = np.uint64(len(words))
+    with np.errstate(over="ignore"):
+        for at in range(0, len(words), len(_PLACES)):
+            own = words[at : at + len(_PLACES)]
+            one = mix(one * _STEP + np.sum(own * _PLACES[: len(own)]))
+            two = mix(two * _STEP + np.sum(mix(own + _PLACES[: len(own)])))
+    return one.tobytes() + two.tobytes()
 
 
 def _band_keys(sketches: list) -> pa.Array:
@@ -183,7 +192,7 @@ def _buckets(leaders: DataFrame) -> DataFrame:
     """(bucket, node) of buckets with two classes or more."""
     rows = leaders.select("node", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("bucket")
-    return rows.join(shared, "bucket").select("bucket", "node")
+    return rows.join(materialise(shared, "shared-buckets"), "bucket").select("bucket", "node")
 
 
 def _components(docs, leaders, buckets, inside, k, percent, id_column, text_column) -> DataFrame:
@@ -200,29 +209,98 @@ def _components(docs, leaders, buckets, inside, k, percent, id_column, text_colu
     components, tested = inside, None
     labelled = buckets.withColumn("component", F.col("node"))
     for turn in range(LEADER_ROUNDS + 1):
-        pairs = (_leader_pairs(labelled, turn) if turn < LEADER_ROUNDS else _pairs_across(labelled)).distinct()
+        if turn < LEADER_ROUNDS:
+            pairs = _leader_pairs(labelled, turn)
+        else:
+            sizes = materialise(_bucket_sizes(labelled), "bucket-sizes")
+            pairs = _pairs_across(labelled.join(sizes, "bucket").filter(F.col("size") <= PAIRED_UPTO))
+        pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
         tested = pairs if tested is None else tested.union(pairs)
         found = _verify(_screen(pairs, texts, percent), texts, k, percent)
+        if turn == LEADER_ROUNDS:
+            large = labelled.join(sizes, "bucket").filter(F.col("size") > PAIRED_UPTO)
+            found = found.union(_links_across(large, leaders, texts, k, percent))
         components = connected_components(components.toDF("a", "b").union(found))
+        if turn == LEADER_ROUNDS:
+            break
         joined = buckets.join(components, "node", "left").select(
             "bucket", "node", F.coalesce("component", "node").alias("component")
         )
         apart = joined.groupBy("bucket").agg(
             F.min("component").alias("low"), F.max("component").alias("high")
         ).filter("low < high").select("bucket")
-        labelled = materialise(joined.join(apart, "bucket"), "apart")
+        labelled = materialise(joined.join(materialise(apart, "apart-buckets"), "bucket"), "apart")
         if labelled.isEmpty():
             break
     return components
 
 
+def _bucket_sizes(labelled: DataFrame) -> DataFrame:
+    """Per bucket its classes, its most frequent component and how many classes are outside of it."""
+    counted = labelled.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("members"))
+    return counted.groupBy("bucket").agg(
+        F.sum("members").alias("size"),
+        F.max_by("component", F.struct("members", "component")).alias("main"),
+        (F.sum("members") - F.max("members")).alias("minor"),
+    )
+
+
+def _links_across(large: DataFrame, leaders: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links between components that share a large bucket, one for each class and component it reaches.
+
+    Every class outside the bucket's main component is compared with all classes of the
+    bucket on the full sets, in blocks of ``BLOCK_ROWS`` by ``BLOCK_ROWS`` classes, so a task holds two blocks
+    and no pair is emitted but a link. A pair that shares several bands is compared in the first.
+    """
+    blocks = lambda count: F.ceil(F.col(count) / BLOCK_ROWS).cast("int")
+    whole = large.filter("minor > 0").withColumn("alls", blocks("size")).withColumn("minors", blocks("minor"))
+    deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    rows = whole.select("bucket", "node", "component", F.lit(False).alias("minor"), deal("alls").alias("x"), every("minors").alias("y"))
+    rows = rows.union(
+        whole.filter("component <> main").select(
+            "bucket", "node", "component", F.lit(True).alias("minor"), every("alls").alias("x"), deal("minors").alias("y")
+        )
+    )
+    full = rows.join(leaders.select("node", "bands"), "node").join(texts.select("node", "text"), "node")
+
+    def compared(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        node, component = (group.column(c).to_numpy() for c in ("node", "component"))
+        minor = group.column("minor").to_numpy()
+        text = group.column("text").chunk(0)
+        sets = [found for _, _, found in shingle_sets(text, k)]
+        bands = group.column("bands").chunk(0).flatten().to_numpy().reshape(-1, BANDS)
+        here = int((bands[0] == group.column("bucket")[0].as_py()).argmax())
+        alls = np.flatnonzero(~minor)
+        sizes = np.array([len(sets[i]) for i in alls])
+        pool = np.concatenate([sets[i] for i in alls]) if len(alls) else np.empty(0, np.uint64)
+        owner = np.repeat(np.arange(len(alls)), sizes)
+        a, b = [], []
+        for i in np.flatnonzero(minor):
+            own = sets[i]
+            wanted = ((bands[alls] == bands[i]).argmax(axis=1) == here) & (component[alls] != component[i])
+            wanted &= 100 * np.minimum(sizes, len(own)) >= percent * np.maximum(sizes, len(own))
+            if not wanted.any():
+                continue
+            at = np.minimum(np.searchsorted(own, pool), len(own) - 1)
+            common = np.bincount(owner[own[at] == pool], minlength=len(alls))
+            linked = np.flatnonzero(wanted & (100 * common >= percent * (sizes + len(own) - common)))
+            _, one = np.unique(component[alls[linked]], return_index=True)
+            a += [int(node[i])] * len(one)
+            b += node[alls[linked[one]]].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return full.groupBy("bucket", "x", "y").applyInArrow(compared, "a long, b long")
+
+
 def _leader_pairs(labelled: DataFrame, turn: int) -> DataFrame:
     """Every class of a bucket with the bucket's leader of this round, if they are in different components."""
     rank = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node", "component")
-    leader = labelled.groupBy("bucket").agg(F.min(rank).alias("leader"))
+    leader = materialise(labelled.groupBy("bucket").agg(F.min(rank).alias("leader")), "bucket-leaders")
     return (
         labelled.join(leader, "bucket")
         .filter("component <> leader.component")
@@ -231,7 +309,7 @@ def _leader_pairs(labelled: DataFrame, turn: int) -> DataFrame:
 
 
 def _pairs_across(labelled: DataFrame) -> DataFrame:
-    """All pairs of one bucket whose components are still apart."""
+    """All pairs of one small bucket whose components are still apart."""
     other = labelled.select("bucket", F.col("node").alias("b"), F.col("component").alias("c"))
     return (
         labelled.withColumnRenamed("node", "a")

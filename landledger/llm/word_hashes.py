@@ -64,6 +64,18 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return bytes_, offsets.astype(np.int64)
 
 
+def byte_sums(data: np.ndarray) -> np.ndarray:
+    """Prefix sums of the hash terms of at most ``BLOCK`` bytes."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * _UP[: len(data)], out=sums[1:])
+    return sums
+
+
+def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of spans of the bytes behind ``sums``; they depend on the bytes alone, not on the place."""
+    return mix((sums[ends] - sums[starts]) * _DOWN[starts])
+
+
 def _block(data: np.ndarray, cuts: np.ndarray, word_byte: np.ndarray, prefix: int):
     """Starts, ends, raw hashes and raw prefix hashes of the words of one block; words end at ``cuts``."""
     text = _LOWER[data]
@@ -77,9 +89,7 @@ def _block(data: np.ndarray, cuts: np.ndarray, word_byte: np.ndarray, prefix: in
     first[cuts] |= inside[cuts]
     last[cuts - 1] |= inside[cuts - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    sums = np.empty(n + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(_BYTE[text] * _UP[:n], out=sums[1:])
+    sums = byte_sums(text)
     low = sums[starts]
     hashes = (sums[ends] - low) * _DOWN[starts]
     heads = (sums[np.minimum(ends, starts + prefix)] - low) * _DOWN[starts] if prefix else None
