@@ -1,0 +1,327 @@
+"""Operators on small tables: nulls, empty and long texts, ties, repeated rows, empty tables, extra columns."""
+
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from brute_force import brute_contamination, components, docs_of, prose, shingle_set
+from pyspark.sql import functions as F
+
+from landledger.llm import chat_template, mixing, word_windows
+from landledger.llm.chat_format import format_conversations, formatted_digests, locate_turns
+from landledger.llm.components import connected_components
+from landledger.llm.decontamination import contamination, drop_contaminated, remove_spans
+from landledger.llm.exact_dedup import exact_dedup
+from landledger.llm.license_scan import license_scan
+from landledger.llm.mixing import mix
+from landledger.llm.near_dedup import REGISTERS, estimate, near_duplicates, registers
+from landledger.llm.resharding import reshard, rewrite_shards, transfers
+from landledger.llm.substring_dedup import repeated_passages
+from landledger.llm.toxicity import toxicity
+from landledger.llm.url_filter import host_and_path, url_filter
+from landledger.llm.word_hashes import ALNUM, BLOCK, NOT_SPACE, document_words, ngrams
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls everywhere, empty, tiny and very long texts, repeated rows and ids."""
+    long = prose(150_000, 1)
+    rows = [(1, None, "src1"), (2, "", None), (3, "one", "src1"), (3, "one", "src1"), (4, "one", "x"), (None, "one", "src2")]
+    rows += [(None, None, None), (5, long, "src2"), (6, long + " more", "src2"), (7, "a" * (BLOCK * 2 + 5), "src3")]
+    rows += [(8, "Straße é 日本語 ONE", "src3"), (9, " \t\n", "src9"), (10, "!!! ???", "src1")]
+    return docs_of(spark, rows).cache()
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return docs_of(spark, [])
+
+
+def test_words_of_long_texts_and_words():
+    texts = ["", "Ab  cd", "x" * (BLOCK + 7) + " tail", " ".join(["word"] * 200_000), "é日 a\x0bb", "q" * BLOCK + "rs t"]
+    for table, pattern in ((NOT_SPACE, rb"[^\x20\x09-\x0D]+"), (ALNUM, rb"[0-9A-Za-z\x80-\xff]+")):
+        seen, heads_seen = {}, {}
+        found = list(document_words(pa.array(texts), table, 5))
+        rows = {first + i: (h[a:b], p[a:b]) for first, o, h, p in found for i, (a, b) in enumerate(zip(o, o[1:]))}
+        for i, text in enumerate(texts):
+            words = [re.sub(rb"[A-Z]", lambda m: m[0].lower(), w) for w in re.findall(pattern, text.encode())]
+            assert len(rows[i][0]) == len(words)
+            for w, h, p in zip(words, *rows[i]):
+                assert seen.setdefault(w, h) == h and heads_seen.setdefault(w[:5], p) == p
+        assert len(set(seen.values())) == len(seen) and len(set(heads_seen.values())) == len(heads_seen)
+
+
+def test_ngrams_depend_on_order():
+    a, b = np.array([1, 2, 3], np.uint64), np.array([2, 1, 3], np.uint64)
+    assert ngrams(a, 3)[0] != ngrams(b, 3)[0] and len(ngrams(a, 4)) == 0
+    assert len(ngrams(a, 2, gap=2)) == 1
+
+
+def test_exact_dedup(spark, odd, none):
+    rows = exact_dedup(odd).collect()
+    assert len(rows) == odd.count() and exact_dedup(none).collect() == []
+    ones = [r for r in rows if r.group_size == 4]
+    assert len(ones) == 4 and {r.keep_id for r in ones} == {4} and [r.doc_id for r in ones if r.kept] == [4]
+    empty = [r for r in rows if r.group_size == 3]  # null and empty texts
+    assert {r.keep_id for r in empty} == {2} and sum(r.kept for r in empty) == 1
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 17])
+def test_exact_dedup_stitches_runs_over_ranges(spark, partitions):
+    rng = random.Random(partitions)
+    texts = ["hot"] * 300 + [f"t{i % 40}" for i in range(200)] + [None, ""]
+    rng.shuffle(texts)
+    docs = docs_of(spark, [(i, t, "s") for i, t in enumerate(texts)]).repartition(5)
+    groups = {}
+    for i, t in enumerate(texts):
+        groups.setdefault(t or "", []).append(i)
+    for row in exact_dedup(docs, partitions=partitions).collect():
+        own = groups[texts[row.doc_id] or ""]
+        assert (row.keep_id, row.group_size, row.kept) == (max(own), len(own), row.doc_id == max(own))
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 160)] + [(7, 7), (300, 200), (200, 300)]
+    found = {r.node: r.component for r in connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert {found[i] for i in range(61)} == {0} and {found[i] for i in range(100, 160)} == {100}
+    assert found[300] == found[200] == 200
+    assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_near_dedup_odd_rows(spark, odd, none):
+    rows = near_duplicates(odd, shingle_words=4).collect()
+    assert len(rows) == odd.count() and near_duplicates(none).collect() == []
+    by = {r.doc_id: r for r in rows}
+    assert by[1].n_shingles == by[2].n_shingles == by[9].n_shingles == 0 and by[1].kept and by[2].kept
+    assert by[4].component_id == 3 and not by[4].kept and by[3].kept and by[3].n_shingles == 1
+    assert by[6].component_id == 5
+    assert all(r.kept and r.component_id is None for r in rows if r.doc_id is None)
+
+
+def test_near_dedup_of_a_large_group(spark):
+    """Chains and stars of near copies whose ends are not alike, against all pairs."""
+    base = prose(120, 5).split()
+    rng = random.Random(3)
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for _ in range(rng.randint(0, 5)):
+            words[rng.randrange(len(words))] = f"w{rng.randint(0, 10**6)}"
+        rows.append((1000 - i, " ".join(words), "s"))
+    words = prose(100, 9).split()
+    for i in range(40):  # each differs a little from the one before
+        words[(i * 2) % 100] = f"c{i}"
+        rows.append((2000 + (i * 7) % 40, " ".join(words), "s"))
+    wanted = components({i: shingle_set(t, 5) for i, t, _ in rows}, 80)
+    found = {r.doc_id: r.component_id for r in near_duplicates(docs_of(spark, rows)).collect()}
+    assert found == wanted
+
+
+def test_sketch_estimates():
+    rng = np.random.default_rng(1)
+    for share in (0.0, 0.5, 0.8, 0.95):
+        common = rng.integers(0, 2**63, int(1000 * share), dtype=np.uint64)
+        sets = [np.concatenate([common, rng.integers(0, 2**63, 1000 - len(common), dtype=np.uint64)]) for _ in range(2)]
+        a, b = (registers(s)[None, :] for s in sets)
+        true = len(common) / (2000 - len(common))
+        assert abs(estimate(a, b, np.array([1000.0]), np.array([1000.0]))[0] - true) < 5 * (0.25 / REGISTERS) ** 0.5
+        # sketches merge by the larger register
+        assert (np.maximum(a, b) == registers(np.concatenate(sets))[None, :]).all()
+
+
+def test_substring_dedup(spark, odd, none):
+    assert repeated_passages(none).collect() == []
+    passage = prose(60, 77)
+    rows = [(i, prose(80, i) + (" " + passage if i % 3 == 0 else "") + " " + prose(30, 1000 + i), "s") for i in range(30)]
+    found = repeated_passages(docs_of(spark, rows)).collect()
+    assert {r.doc_id for r in found} == {i for i in range(30) if i % 3 == 0}
+    texts = {i: t.encode() for i, t, _ in rows}
+    for row in found:
+        assert texts[row.doc_id][row.start : row.end].decode().strip() in passage
+        assert row.first_doc_id == 0 and row.kept == (row.doc_id == 0)
+    assert {r.doc_id for r in repeated_passages(odd).collect()} == {5, 6}
+    twice = docs_of(spark, [(1, passage + " x " + passage, "s"), (2, prose(50, 3), "s")])
+    assert repeated_passages(twice).collect() == []  # repeats within one document do not count
+
+
+@pytest.mark.parametrize("most_broadcast", [1_000, 4])
+@pytest.mark.parametrize("block", [2_000, 7])
+def test_contamination_equals_brute_force(spark, monkeypatch, most_broadcast, block):
+    import hashlib
+
+    monkeypatch.setattr(word_windows, "BLOCK_WORDS", block)
+    rng = random.Random(4)
+    words = lambda n: " ".join(rng.choice("abcd") for _ in range(n))
+    items = [(i, words(rng.choice([1, 2, 5, 6, 9]))) for i in range(6)] + [(6, None), (7, ""), (None, "d d d d d"), (6, "É a!b")]
+    texts = [(i, words(rng.choice([0, 1, 5, 30, 60]))) for i in range(25)] + [(25, None), (26, "x É A b y"), (3, "a b c")]
+    docs = docs_of(spark, [(i, t, "s") for i, t in texts])
+    found = contamination(docs, spark.createDataFrame(items, "item_id int, text string"), words=5, most_broadcast=most_broadcast)
+    got = sorted((r.doc_id, r.n_words, r.n_hit, r.items_sha256) for r in found.collect())
+    wanted = sorted((d, n, h, hashlib.sha256(i.encode()).hexdigest()) for d, n, h, i in brute_contamination(texts, items, 5))
+    assert got == wanted
+
+
+def test_contamination_odd_rows(spark, odd, none):
+    items = spark.createDataFrame([(1, "straße É 日本語"), (2, None)], "item_id int, text string")
+    rows = contamination(odd, items).collect()
+    assert len(rows) == odd.count() and [r.doc_id for r in rows if r.contaminated] == [8]
+    assert contamination(none, items).collect() == []
+    assert not any(r.contaminated for r in contamination(odd, items.filter("false")).collect())
+    left = drop_contaminated(odd, items)
+    assert left.columns == odd.columns and left.count() == odd.count() - 1
+    one = docs_of(spark, [(1, "a Straße é 日本語 b", "s")])
+    assert remove_spans(one, contamination(one, items)).first().clean_text == "a b"
+
+
+def test_license_scan(spark, odd, none):
+    assert license_scan(none).collect() == []
+    rows = license_scan(odd).collect()
+    assert len(rows) == odd.count() and all(r.labels == "" and r.n_base == 0 for r in rows)
+    texts = [
+        (1, "x MIT License, mit license", "mit", "mit", 2, 1, 3),
+        (2, "GNU general public license and general public", "gpl", "gpl", 1, 1, 1),
+        (3, "Redistribution and use in source and binary forms, with or without new modification, are permitted", "", "bsd", 0, None, None),
+        (4, "permission of the software", "", "", 0, None, None),
+        (5, "Licensed under CC BY-NC 4.0.", "", "cc-by-nc", 0, None, None),
+    ]
+    found = {r.doc_id: r for r in license_scan(docs_of(spark, [(t[0], t[1], "s") for t in texts])).collect()}
+    for i, _, base, labels, n, first, last in texts:
+        r = found[i]
+        assert (r.base_labels, r.labels, r.n_base, r.first_word, r.last_word) == (base, labels, n, first, last)
+        assert 0.0 <= r.score <= 1.0
+
+
+def test_template_round_trip():
+    rng = random.Random(2)
+    parts = ["<|im_end|>", "<|im_start|>", "<", "|", "\\", "\n", "a", "<\\|", "<|nl|>", "é"]
+    for _ in range(500):
+        messages = [("".join(rng.choices(parts, k=rng.randint(0, 4))), "".join(rng.choices(parts, k=rng.randint(0, 9)))) for _ in range(3)]
+        output, spans, rewrites = locate_turns(messages, chat_template.render)
+        assert chat_template.parse(output) == messages and rewrites == 0
+        assert [chat_template.unescape(output[a:b]) for a, b in spans] == [t for _, t in messages]
+
+
+def test_templates_that_rewrite_history_are_told():
+    def forgetful(messages):  # keeps the last answer alone, as templates do that strip earlier thoughts
+        last = len(messages) - 1
+        return "".join(f"[{r}]{t if r == 'user' or i == last else ''}\n" for i, (r, t) in enumerate(messages))
+
+    _, spans, rewrites = locate_turns([("user", "a"), ("assistant", "b"), ("user", "c")], forgetful)
+    assert rewrites == 1 and spans == [None, None, None]
+
+
+def test_long_conversations(spark):
+    import hashlib
+
+    turns = [(1, i, ["user", "assistant"][i % 2], f"text {i} <|im_end|>") for i in range(500)]
+    turns += [(2, 0, "user", None), (None, None, None, None), (3, 1, "assistant", "b"), (3, 1, "assistant", "b"), (3, 0, "user", "a")]
+    df = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").withColumn("part", F.lit("x"))
+    rows = {r.conv_id: r for r in formatted_digests(df, partitions=6).collect()}
+    assert set(rows) == {1, 2, 3, None}
+    said = "".join(t for _, i, r, t in turns[:500] if r == "assistant")
+    assert (rows[1].n_turns, rows[1].loss_chars) == (500, len(said))
+    assert rows[1].loss_sha256 == hashlib.sha256(said.encode()).hexdigest()
+    assert rows[1].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for _, _, r, t in turns[:500]).encode()).hexdigest()
+    assert rows[3].turns_sha256 == hashlib.sha256(b"user\na\nassistant\nb\nassistant\nb\n").hexdigest()
+    assert formatted_digests(df.filter("false")).collect() == []
+
+    def numbered(messages):
+        return "".join(f"{i}:{t}\n" for i, (_, t) in enumerate(messages))
+
+    with pytest.raises(Exception, match="cut into pieces"):
+        format_conversations(df, numbered).collect()
+
+
+def test_urls(spark):
+    rows = [(1, None), (2, "no scheme"), (3, "HTTP://A.Com?x"), (4, "http://"), (5, "a://b://c/d"), (6, ""), (6, ""), (None, "x://b.net/es/")]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("rule", F.lit(1))
+    found = {(r.page_id, r.host, r.path, r.rule, r.verdict) for r in url_filter(pages).collect()}
+    assert (1, "", "", None, "block") in found and (3, "a.com", "", None, "block") in found  # one side labelled
+    assert (5, "b:", "//c/d", None, "block") in found and (None, "b.net", "/es/", "net/es/", "block") in found
+    assert url_filter(pages).count() == len(rows) and url_filter(pages.filter("false")).collect() == []
+    assert {r.verdict for r in url_filter(pages.filter("page_id < 5")).collect()} == {"allow"}
+    host, path = host_and_path(F.col("url"))
+    assert pages.select(host, path).count() == len(rows)
+
+
+def test_urls_beyond_the_rules(spark):
+    """Trees trained on rule labels carry a lexical difference over to hosts without a rule."""
+    rng = random.Random(6)
+    good = lambda h: f"https://{prose(1, rng.random())}.{h}/about/{prose(1, rng.random())}"
+    bad = lambda h: f"http://{rng.randint(10**6, 10**9)}.{h}/x/{rng.randint(10**6, 10**9)}?a={rng.randint(0, 9)}&b=1&c=2"
+    rows = [(good("ok.test"), 0, 1) for _ in range(300)] + [(bad("bad.test"), 1, 1) for _ in range(300)]
+    rows += [(good("new.test"), 0, 0) for _ in range(200)] + [(bad("new.test"), 1, 0) for _ in range(200)]
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, bad int, known int")
+    found = {r.page_id: r for r in url_filter(pages, [("ok.test/", "allow"), ("bad.test/", "block")]).collect()}
+    new = [(found[i].verdict == "block") == bool(r[1]) for i, r in enumerate(rows) if not r[2]]
+    assert sum(new) >= 0.95 * len(new)
+
+
+def test_mixing_budgets(spark):
+    leaves = [("a", "en", "s1", 1000), ("a", "en", "s2", 10), ("a", "de", "s3", 50), ("b", "en", "s4", 300), ("b", "fr", "s5", 0)]
+    tokens = spark.createDataFrame(leaves, "domain string, lang string, source string, tokens long")
+    rows = mixing.budgets(tokens, F.lit(600), {"domain": {"a": 3}, "lang": {"de": 2}}, 1).collect()
+    got = {r.source: r.budget for r in rows}
+    # a gets 450 of 600; de can take its 50 of 300 only, the rest goes to en; s2 is full, s1 takes what is left
+    assert got == {"s1": 390, "s2": 10, "s3": 50, "s4": 150, "s5": 0}
+    rows = mixing.budgets(tokens, F.lit(1300), {"domain": {"b": 9}}, 1).collect()
+    assert {r.source: r.budget for r in rows} == {"s1": 940, "s2": 10, "s3": 50, "s4": 300, "s5": 0}  # b's shortage goes to a
+
+
+def test_mixing(spark, odd, none):
+    assert mix(none).collect() == []
+    rows = mix(odd).collect()
+    assert len(rows) == odd.count()
+    total = sum(r.tokens for r in rows)
+    assert sum(r.tokens_taken for r in rows) == total * 3 // 5
+    docs = docs_of(spark, [(i, prose(1 + i % 7, i), f"src{i % 3}") for i in range(200)])
+    for share, epochs in (((1, 3), 1), ((3, 2), 2), ((9, 1), 2)):
+        rows = mix(docs, {}, share, epochs).collect()
+        total = sum(r.tokens for r in rows)
+        assert sum(r.tokens_taken for r in rows) == min(total * share[0] // share[1], total * epochs)
+        assert all((r.copies - 1) * r.tokens <= r.tokens_taken <= r.copies * r.tokens and r.kept == (r.copies > 0) for r in rows)
+        assert max(r.copies for r in rows) <= epochs
+
+
+def test_transfers_move_the_fewest_bytes():
+    rng = random.Random(8)
+    for _ in range(50):
+        sizes = [rng.randint(0, 100) for _ in range(rng.randint(1, 6))]
+        count = rng.randint(1, 6)
+        capacities = [sum(sizes) // count + (i < sum(sizes) % count) for i in range(count)]
+        flow = transfers(sizes, capacities)
+        for i, size in enumerate(sizes):
+            assert sum(f for a, _, f in flow if a == i) == size
+        for i, room in enumerate(capacities):
+            assert sum(f for _, b, f in flow if b == i) == room
+        # no flow can move less than what the shards hold beyond their new capacities
+        least = sum(max(0, s - (capacities[i] if i < count else 0)) for i, s in enumerate(sizes))
+        assert sum(f for a, b, f in flow if a != b) == least
+    with pytest.raises(ValueError, match="sum"):
+        transfers([1], [2])
+
+
+def test_resharding_odd_rows(spark, odd, none, tmp_path):
+    assert reshard(none).collect() == []
+    rows = reshard(odd).collect()
+    assert len(rows) == odd.count() and all(0 <= r.shard < 24 for r in rows)
+    docs = docs_of(spark, [(i, prose(20, i), "src1") for i in range(300)])
+    plan = reshard(docs, old_shard=F.col("doc_id") % 3, shards=4).cache()
+    sums = [r[1] for r in plan.groupBy("shard").agg(F.sum("size")).collect()]
+    assert len(sums) == 4 and max(sums) - min(sums) <= 60
+    assert plan.filter("old_shard <> shard").count() <= 85  # a fourth of the rows must move
+    numbers = rewrite_shards(docs, plan, str(tmp_path / "out"))
+    assert numbers == [0, 1, 2, 3] and spark.read.parquet(str(tmp_path / "out")).count() == 300
+
+
+def test_toxicity_odd_rows(spark, odd, none):
+    labels = spark.createDataFrame([(3, None), (None, 1)], "doc_id long, toxic int").withColumn("score", F.lit(1))
+    assert {(r.score, r.predicted) for r in toxicity(odd, labels).collect()} == {(0.0, 0)}
+    assert toxicity(none, labels).collect() == []
+    docs = docs_of(spark, [(i, prose(30, i) + (" slur " if i % 4 == 0 else " ") + prose(10, -i), "s") for i in range(400)])
+    labels = docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic"))
+    rows = toxicity(docs.unionByName(odd), labels).collect()
+    assert len(rows) == 400 + odd.count()
+    held = [r for r in rows if r.held_out and r.doc_id is not None and r.doc_id > 10]
+    assert all(r.predicted == int(r.doc_id % 4 == 0) for r in held) and len(held) > 50

@@ -1,0 +1,59 @@
+"""Stages of the corpus pipeline against brute force."""
+
+import os
+import re
+
+import duckdb
+import pytest
+from brute_force import brute_contamination, components, docs_of, prose, shingle_set
+
+import corpus_pipeline as pipeline
+
+SF_DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
+
+def test_stages(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    items = duckdb.sql(f"SELECT item_id, text FROM '{SF_DIR}/benchmark.parquet'").fetchall()
+    after = []
+    for name, stage in pipeline.STAGES:
+        docs = stage(spark, docs, SF_DIR).cache()
+        after.append((name, docs.columns, docs.collect()))
+    assert [name for name, _, _ in after] == ["toxicity", "near_dedup", "decontamination", "mixing", "sharding"]
+    assert all(columns == pipeline.COLUMNS for _, columns, _ in after[:-1])
+    clean, unique, unleaked, mixed, placed = (rows for _, _, rows in after)
+
+    wanted = components({r.doc_id: shingle_set(r.text, 5) for r in clean}, 80)
+    assert {r.doc_id for r in unique} == {i for i, c in wanted.items() if i == c}
+
+    hits = {d for d, _, n, _ in brute_contamination([(r.doc_id, r.text) for r in unique], items, 10) if n}
+    assert {r.doc_id for r in unleaked} == {r.doc_id for r in unique} - hits
+
+    tokens = lambda rows: sum(len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for r in rows)
+    assert {r.doc_id for r in mixed} <= {r.doc_id for r in unleaked}
+    assert tokens(mixed) >= tokens(unleaked) * 4 // 5
+    assert sorted(r.doc_id for r in placed) == sorted(r.doc_id for r in mixed)
+
+    again = pipeline.run(spark, SF_DIR)
+    assert sorted(again.collect()) == sorted(placed)
+
+
+def test_odd_rows(spark, tmp_path):
+    """Nulls in any column, repeated rows and ids, empty tables."""
+    folder = str(tmp_path)
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(None, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    rows = [(1, "a b", "s"), (1, "a b", "s"), (1, "other words here", "s"), (None, "a b", None), (None, None, None), (2, "", "s")]
+    rows += [(10 + i, prose(30, i), "src1") for i in range(20)]
+    docs = docs_of(spark, rows)
+    counts = []
+    for _, stage in pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder).cache()
+        counts.append(docs.count())
+    assert counts[0] == 26 and counts[1] == counts[2] == 24  # one row stays of the three with the same id
+    assert counts[3] <= 24 and pipeline.STAGES[-1][1](spark, docs, folder).count() == counts[3]
+    docs = docs.filter("false")
+    for _, stage in pipeline.STAGES:
+        docs = stage(spark, docs, folder)
+        assert docs.count() == 0

@@ -1,0 +1,122 @@
+"""Registered queries against their SQL on the smallest tables, and against brute force where SQL has no words."""
+
+import hashlib
+import os
+import re
+import zlib
+
+import duckdb
+import pytest
+from brute_force import components, lower, shingle_set, word_grams
+
+from landledger.llm.queries import ORACLES, QUERIES
+from landledger.llm.url_filter import RULES
+from tools.check_oracles import TABLES, differences
+
+SF_DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
+    return con
+
+
+@pytest.mark.parametrize("key", sorted(ORACLES))
+def test_query_equals_oracle(spark, duck, key):
+    df = QUERIES[key](spark, SF_DIR)
+    assert differences(df, df.collect(), duck.sql(ORACLES[key])) == []
+
+
+def test_near_dedup_equals_all_pairs(spark, duck):
+    sets = {i: shingle_set(t, 4) for i, t in duck.sql("SELECT doc_id, text FROM documents").fetchall()}
+    wanted = components(sets, 80)
+    for row in QUERIES["op10_near_dedup"](spark, SF_DIR).collect():
+        assert (row.n_shingles, row.component_id) == (len(sets[row.doc_id]), wanted[row.doc_id])
+        assert row.kept == (row.doc_id == row.component_id)
+
+
+def test_toxicity_columns_and_held_out_rows(spark, duck):
+    rows = QUERIES["op2_toxicity"](spark, SF_DIR).collect()
+    assert sorted(r.doc_id for r in rows) == [r[0] for r in duck.sql("SELECT doc_id FROM documents ORDER BY 1").fetchall()]
+    for row in rows:
+        assert row.held_out == (zlib.crc32(str(row.doc_id).encode()) % 4 == 2)
+        assert 0.0 <= row.score <= 1.0 and row.predicted == int(row.score >= 0.3)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test tables")
+def test_toxicity_on_held_out_rows(spark):
+    folder = "/root/testdata/sf0.1"
+    labels = dict(duckdb.sql(f"SELECT doc_id, toxic FROM '{folder}/labels.parquet' WHERE toxic IS NOT NULL").fetchall())
+    rows = [r for r in QUERIES["op2_toxicity"](spark, folder).collect() if r.held_out and r.doc_id in labels]
+    hits = sum(r.predicted and labels[r.doc_id] for r in rows)
+    assert hits >= 0.95 * sum(labels[r.doc_id] for r in rows)
+    assert hits >= 0.95 * sum(r.predicted for r in rows)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_substring_dedup_finds_repeats_of_sixty_words(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = duckdb.sql(f"SELECT doc_id, text FROM '{folder}/documents.parquet'").fetchall()
+    holders = {}
+    for i, text in docs:
+        for gram in word_grams(text, 60):
+            holders.setdefault(gram, set()).add(i)
+    wanted = {i for ids in holders.values() if len(ids) > 1 for i in ids}
+    # what repeats fewer than twenty words may not be reported
+    short = {}
+    for i, text in docs:
+        for gram in word_grams(text, 20):
+            short.setdefault(gram, set()).add(i)
+    allowed = {i for ids in short.values() if len(ids) > 1 for i in ids}
+    found = {r.doc_id for r in QUERIES["op3_substring_dedup"](spark, folder).collect()}
+    assert wanted - found == set()
+    assert found - allowed == set()
+
+
+def test_url_rules(spark, duck):
+    rows = {r.page_id: r for r in QUERIES["op7_url_filter"](spark, SF_DIR).collect()}
+    pages = duck.sql("SELECT page_id, url FROM pages").fetchall()
+    assert len(rows) == len(pages)
+    for page_id, url in pages:
+        rest = url.split("://", 1)[1] if url and "://" in url else ""
+        host = lower(re.match("[^/?#]*", rest)[0])
+        path = re.match("[^?#]*", rest[len(host) :])[0]
+        fits = []
+        for rule, says in RULES:
+            at, _, below = rule.partition("/")
+            if (host == at or host.endswith("." + at)) and path.startswith("/" + below):
+                fits.append((len(rule), rule, says))
+        row = rows[page_id]
+        assert (row.host, row.path) == (host, path)
+        assert row.verdict in ("allow", "block")
+        if fits:
+            assert (row.rule, row.verdict) == max(fits)[1:]
+        else:
+            assert row.rule is None
+
+
+def test_resharding(spark, duck):
+    rows = QUERIES["op9_resharding"](spark, SF_DIR).collect()
+    texts = dict(duck.sql("SELECT doc_id, text FROM documents").fetchall())
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    shards = {}
+    for row in rows:
+        body = (texts[row.doc_id] or "").encode()
+        assert (row.size, row.text_crc32) == (len(body) + 8, zlib.crc32(body))
+        assert row.law == "bytes" and row.grown_shard is None
+        shards.setdefault(row.shard, []).append(row)
+    assert sorted(shards) == list(range(24))
+    sums = [sum(r.size for r in own) for own in shards.values()]
+    assert max(sums) - min(sums) <= max(r.size for r in rows)
+    for own in shards.values():
+        assert sorted(r.slot for r in own) == list(range(len(own)))
+
+
+def test_exact_digests(spark, duck):
+    texts = dict(duck.sql("SELECT doc_id, text FROM documents").fetchall())
+    for row in QUERIES["op1_exact_dedup"](spark, SF_DIR).collect():
+        assert row.text_sha256 == hashlib.sha256((texts[row.doc_id] or "").encode()).hexdigest()
