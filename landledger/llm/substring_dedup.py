@@ -15,10 +15,10 @@ from landledger.llm.text_tables import ids_and_texts
 from landledger.llm.word_hashes import BLOCK, NOT_SPACE, buffers, byte_sums, span_hashes
 from landledger.storage import materialise
 
-GEAR_WINDOW = 16  # bytes that decide about a cut
-CUT_ONE_IN = 16  # share of places that may be cuts
-LEAST_BYTES, MOST_BYTES = 16, 4096
-RUN_WORDS = 20
+GEAR_WINDOW = 8  # bytes that decide about a cut
+CUT_ONE_IN = 12  # share of places that may be cuts
+LEAST_BYTES, MOST_BYTES = 8, 4096
+RUN_WORDS = 24
 _GEAR = np.random.default_rng(11).integers(0, 2**32, 256, dtype=np.uint32)
 _CUT_BELOW = np.uint32(2**32 // CUT_ONE_IN)
 _CONTEXT = GEAR_WINDOW + LEAST_BYTES + 1
@@ -27,16 +27,18 @@ _CONTEXT = GEAR_WINDOW + LEAST_BYTES + 1
 def cuts(data: np.ndarray, row_starts: np.ndarray) -> np.ndarray:
     """Ends of chunks in some bytes, besides the ends of rows.
 
-    The gear hash of a place sums the table values of the last 16 bytes, each
+    The gear hash of a place sums the table values of the last 8 bytes, each
     shifted by its distance; a place is a candidate where the sum is small, and a
-    cut if no other candidate lies in the 16 bytes before. Both depend on a few
+    cut if no other candidate lies in the 8 bytes before. Both depend on a few
     bytes before the place only, so equal passages are cut alike wherever they stand.
     """
     sums = _GEAR[data]
-    for step in (1, 2, 4, 8):
+    step = 1
+    while step < GEAR_WINDOW:
         shifted = np.zeros_like(sums)
         shifted[step:] = sums[:-step] << np.uint32(step)
         sums = sums + shifted
+        step *= 2
     found = np.flatnonzero(sums < _CUT_BELOW) + 1
     begin = row_starts[np.searchsorted(row_starts, found - 1, "right") - 1]
     found = found[found - begin >= GEAR_WINDOW]  # the window lies in one row
@@ -121,11 +123,11 @@ def repeated_passages(
     UTF-8 text), n_words, n_chunks, first_doc_id (smallest document that holds a part of
     it) and kept (every part has its first document here; elsewhere the passage is a repeat).
 
-    Texts are cut where a rolling hash of their last 16 bytes says so, into chunks
-    of about 45 bytes; chunks are compared by digest. Consecutive chunks that each stand
+    Texts are cut where a rolling hash of their last 8 bytes says so, into chunks
+    of about 24 bytes; chunks are compared by digest. Consecutive chunks that each stand
     in another document too form a passage if they hold ``run_words`` words. The
     first and last words of a repeated passage lie in chunks that reach beyond it, so a
-    repeat of fifty words shows as a run of about thirty: the default finds those and
+    repeat of fifty words shows as a run of about forty: the default finds those and
     leaves repeated single lines alone.
 
     Digests are counted by partial aggregation and the repeated ones joined back, a join
@@ -135,20 +137,21 @@ def repeated_passages(
     is left out. An empty table gives no rows.
     """
     schema = "doc_id long, ends array<int>, digests array<long>, words array<int>"
+    # cut anew for each use: cheaper than to store a row for every chunk
     cut = map_arrow(ids_and_texts(docs, id_column, text_column).filter("doc_id IS NOT NULL"), chunks, schema)
-    stored = materialise(cut.filter(F.size("ends") > 0), "chunks")
-    counted = stored.select("doc_id", F.explode("digests").alias("digest")).groupBy("digest").agg(
+    counted = cut.select("doc_id", F.explode("digests").alias("digest")).groupBy("digest").agg(
         F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last")
     )
     # stored, so that the join below reads both sides through exchanges and can split hot digests
     repeated = materialise(counted.filter("first_doc_id < last").select("digest", "first_doc_id"), "repeated-chunks")
     starts = F.concat(F.array(F.lit(0)), F.slice("ends", 1, F.size("ends") - 1))
+    chunk = F.arrays_zip(
+        starts.alias("start"), F.col("ends").alias("end"), F.col("digests").alias("digest"), F.col("words").alias("n_words")
+    )
     places = (
-        stored.select(
-            F.monotonically_increasing_id().alias("row"), "doc_id",
-            F.explode(F.arrays_zip(starts.alias("start"), F.col("ends").alias("end"), F.col("digests").alias("digest"), F.col("words").alias("n_words"))).alias("c"),
-        )
-        .select("row", "doc_id", "c.*")
+        cut.filter(F.size("ends") > 0)
+        .withColumn("row", F.monotonically_increasing_id())
+        .select("row", "doc_id", F.inline(chunk))
         .join(repeated, "digest")
         .drop("digest")
     )

@@ -50,10 +50,11 @@ def matches(docs: DataFrame, windows: DataFrame, lengths: Sequence[int], id_colu
     longest = lengths[-1]
     # explode keeps the optimizer from putting an array's expression in place of its name, where a
     # lambda would work it out again for every element
-    texts = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col(id_column).cast("long").alias("doc_id"),
-        F.explode(F.array(alnum_words(F.col(text_column).cast("string")))).alias("words"),
+    numbered = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
+    )
+    texts = numbered.select(
+        "row", "doc_id", F.explode(F.array(alnum_words(F.col("text").cast("string")))).alias("words")
     ).withColumn("n_words", F.size("words").cast("long"))
     last = F.floor(F.greatest(F.size("words") - 1, F.lit(0)) / BLOCK_WORDS).cast("int")
     blocks = texts.select(
