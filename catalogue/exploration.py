@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import functions as F
+
 from catalogue import bindings as b
 from catalogue.aggregates import (
     HISTOGRAM_SQL,
@@ -13,8 +17,13 @@ from catalogue.aggregates import (
     r6,
 )
 from catalogue.bindings import FLOAT_MEAN, FLOAT_MEDIAN
-from catalogue.registry import cte, query
+from catalogue import layers  # noqa: F401 - its SQL is used below
+from catalogue.registry import ORACLES, cte, query
+from landledger import storage
+from landledger.functions.numbers import plain_number
 from landledger.plans import exploration as eda
+from landledger.plans.rebuild import explore
+from landledger.sources.writers import Warehouse
 
 _F = f"""count(*) AS transactions, CAST(sum(price_eur) AS DECIMAL(28,2)) AS total_value,
     {FLOAT_MEAN} AS mean_price, {FLOAT_MEDIAN} AS median_price"""
@@ -41,8 +50,12 @@ def _num(expr: str) -> str:
     UNION ALL SELECT 'median_transaction_price', {_num(f'CAST({FLOAT_MEDIAN} AS DECIMAL(38,4))')} FROM b_tx""",
 )
 def dataset_summary(spark, d):
-    df = _eda(spark, d, "sale_date", "price_eur")
-    return eda.dataset_summary(df, column_count=len(eda.schemas.TX_COLUMNS))
+    """Rounded to four decimals for comparison only."""
+    value = F.when(
+        F.col("metric").isin("mean_transaction_price", "median_transaction_price"),
+        plain_number(F.col("value").try_cast("decimal(38,12)"), 4),
+    ).otherwise(F.col("value"))
+    return eda.dataset_summary(_eda(spark, d, *eda.schemas.TX_COLUMNS)).withColumn("value", value)
 
 
 def _missing_sql(columns, table, name=lambda c: c):
@@ -269,3 +282,58 @@ def eda_quality_summary(spark, d):
         "is_vat_exclusive", "is_new_property", "is_second_hand_property",
     ]
     return eda.eda_quality_summary(_eda(spark, d, *columns))
+
+
+# table of the exploration job -> (query with its SQL, column whose sum is compared)
+JOB_TABLES = {
+    "dataset_summary": ("dataset_summary", None),
+    "missing_values": ("missing_values", "missing_count"),
+    "eda_quality_summary": ("eda_quality_summary", "value"),
+    "annual_market_analysis": ("annual_market_analysis", "transactions"),
+    "monthly_market_analysis": ("monthly_market_analysis", "transactions"),
+    "quarterly_market_analysis": ("quarterly_market_analysis", "transactions"),
+    "monthly_seasonality": ("monthly_seasonality", "transactions"),
+    "county_market_analysis": ("county_market_analysis", "transactions"),
+    "county_price_growth": ("county_price_growth", "latest_year_transactions"),
+    "new_vs_second_hand": ("new_vs_second_hand", "transactions"),
+    "property_description_analysis": ("property_description_analysis", "transactions"),
+    "property_size_analysis": ("property_size_analysis", "transactions"),
+    "non_full_market_price_analysis": ("non_full_market_price", "transactions"),
+    "vat_exclusive_analysis": ("vat_exclusive", "transactions"),
+    "price_percentiles": ("price_percentiles", "price_eur"),
+    "extreme_transactions_99_9th_percentile": ("extreme_transactions", "price_eur"),
+    "extreme_transaction_comparison": ("extreme_comparison", "transactions"),
+    "price_histogram": ("price_histogram", "transactions"),
+}
+
+
+def _job_sql() -> str:
+    parts = []
+    # the job reports no minimum and maximum, and its table keeps an unknown flag unknown
+    sources = {key: ORACLES[key] for key, _ in JOB_TABLES.values()} | {
+        "price_percentiles": f"SELECT * FROM ({ORACLES['price_percentiles']}) WHERE percentile NOT IN ('min', 'max')",
+        "missing_values": " UNION ALL ".join(
+            f"SELECT '{c}' AS c, count(*) FILTER (WHERE {c} IS NULL) AS missing_count FROM ({ORACLES['load_tx_eda']})"
+            for c in eda.schemas.TX_COLUMNS
+        ),
+    }
+    for name, (key, column) in JOB_TABLES.items():
+        total = f"CAST(sum(CAST({column} AS DECIMAL(28,2))) AS DECIMAL(38,2))" if column else "CAST(NULL AS DECIMAL(38,2))"
+        parts.append(f"SELECT '{name}' AS table_name, count(*) AS row_count, {total} AS total FROM ({sources[key]})")
+    return " UNION ALL ".join(parts)
+
+
+@query("exploration_job", _job_sql())
+def exploration_job(spark, d):
+    """Register to stored analysis table to eighteen written tables, read back from their files."""
+    folder = storage.fresh_path(spark, "exploration")
+    warehouse = Warehouse(spark, storage.fresh_path(spark, "exploration-tables"))
+    explore(b.tx_raw(spark, d), warehouse, folder)
+    parts = []
+    for name, (_, column) in JOB_TABLES.items():
+        table = spark.read.option("header", True).option("escape", '"').csv(f"{folder}/{name}")
+        total = F.sum(F.col(column).cast("decimal(28,2)")) if column else F.lit(None)
+        parts.append(
+            table.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"), total.cast("decimal(38,2)").alias("total"))
+        )
+    return reduce(lambda x, y: x.unionByName(y), parts)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalogue import bindings as b
 from catalogue.bindings import YEARS
@@ -28,7 +31,11 @@ cte(
 cte("b_lines_typed", "SELECT * EXCLUDE (is_vat_exclusive, cents, eda_size_category) FROM b_tx")
 
 
-@query("clean_tx", "SELECT * FROM b_clean_tx")
+# cleaned tables keep every digit; staging and later layers have two
+cte("b_clean_wide", "SELECT * REPLACE (CAST(price_eur AS DECIMAL(38,10)) AS price_eur) FROM b_clean_tx")
+
+
+@query("clean_tx", "SELECT * FROM b_clean_wide")
 def clean_tx(spark, d):
     return cleaning.clean_tx(b.tx_raw(spark, d))
 
@@ -36,7 +43,7 @@ def clean_tx(spark, d):
 cte("b_clean_ix", "SELECT DISTINCT * FROM b_ix")
 
 
-@query("clean_index", "SELECT * FROM b_clean_ix")
+@query("clean_index", "SELECT * REPLACE (CAST(rppi_value AS DECIMAL(38,10)) AS rppi_value) FROM b_clean_ix")
 def clean_index(spark, d):
     return cleaning.clean_index(b.ix_raw(spark, d))
 
@@ -70,7 +77,7 @@ def raw_tx(spark, d):
 
 
 def raw_ix(spark, d):
-    text_layer = cleaning.as_text_layer(cleaning.clean_index(b.ix_raw(spark, d), check=False))
+    text_layer = cleaning.as_text_layer(cleaning.clean_index(b.ix_raw(spark, d)))
     return storage.materialise(text_layer, "raw-index")
 
 
@@ -135,7 +142,7 @@ def dense_row_id_query(spark, d):
     FROM (SELECT DISTINCT * EXCLUDE (cents) FROM b_tx)""",
 )
 def load_tx_eda(spark, d):
-    return exploration.load_tx_eda(cleaning.clean_tx(b.tx_raw(spark, d)), check=False)
+    return exploration.load_tx_eda(cleaning.clean_tx(b.tx_raw(spark, d)))
 
 
 # ---- scans and sinks -----------------------------------------------------------
@@ -202,7 +209,7 @@ _TX_TEXT = ", ".join(
 )
 
 
-@query("scan_text_raw", f"SELECT {_TX_TEXT} FROM b_clean_tx")
+@query("scan_text_raw", f"SELECT {_TX_TEXT} FROM b_clean_wide")
 def scan_text_raw(spark, d):
     path = _scratch(spark, "clean-csv")
     writers.sink_clean(cleaning.clean_tx(b.tx_raw(spark, d)), path, "csv")
@@ -216,65 +223,75 @@ def scan_mart(spark, d):
     return readers.scan_mart(spark, path, "monthly_market")
 
 
-def written_reports(spark, d):
-    """All ten reports written as CSV from marts built once, then scanned."""
+def written_reports(spark, d, change=dict):
+    """All ten reports written as CSV from marts built once, then scanned; ``change`` may damage them first."""
     marts = b.marts(spark, d).written()
     folder = _scratch(spark, "reports")
-    writers.sink_reports(reports.all_reports(marts, YEARS), folder)
+    writers.sink_reports(change(reports.all_reports(marts, YEARS)), folder)
     last = reports.comparison_year(marts.county, YEARS)
     expected = schemas.report_schemas(YEARS.baseline, last)
     return readers.scan_reports(spark, folder, expected), marts, last
 
 
-_REPORT_ROWS = " UNION ALL ".join(
-    f"SELECT '{name}' AS report, count(*) AS row_count FROM {table}" for name, table in REPORT_CTES.items()
-)
+_REPORT_SCHEMAS = schemas.report_schemas(YEARS.baseline, LATEST)
 
 
-def _report_rows(found):
-    out = None
-    for name, df in found.items():
-        part = df.agg(F.lit(name).alias("report"), F.count(F.lit(1)).alias("row_count"))
-        out = part if out is None else out.unionByName(part)
-    return out
+def _is_number(field) -> bool:
+    return isinstance(field.dataType, T.NumericType)
 
 
-@query("sink_reports", _REPORT_ROWS)
-def sink_reports(spark, d):
-    return _report_rows(written_reports(spark, d)[0])
+def _report_content_sql() -> str:
+    """Every column of every report: filled cells, and the sum or the ends of its values."""
+    parts = []
+    for name, table in REPORT_CTES.items():
+        for field in _REPORT_SCHEMAS[name].fields:
+            c = field.name
+            total, low, high = f"CAST(sum(CAST({c} AS DECIMAL(28,4))) AS DECIMAL(38,4))", "NULL", "NULL"
+            if not _is_number(field):
+                total, low, high = "NULL", f"CAST(min({c}) AS VARCHAR)", f"CAST(max({c}) AS VARCHAR)"
+            parts.append(
+                f"""SELECT '{name}' AS report, '{c}' AS "column", count({c}) AS cells, CAST({total} AS DECIMAL(38,4)) AS total,
+                CAST({low} AS VARCHAR) AS lowest, CAST({high} AS VARCHAR) AS highest FROM {table}"""
+            )
+    return " UNION ALL ".join(parts)
+
+
+def _report_content(found):
+    parts = []
+    for name, df in found.items():
+        cells = []
+        for field in df.schema.fields:
+            c, number = F.col(field.name), _is_number(field)
+            total = F.sum(c.cast("decimal(28,4)")) if number else F.lit(None)
+            ends = [F.lit(None), F.lit(None)] if number else [F.min(c), F.max(c)]
+            cells.append(
+                F.struct(
+                    F.lit(name).alias("report"), F.lit(field.name).alias("column"), F.count(c).alias("cells"),
+                    total.cast("decimal(38,4)").alias("total"),
+                    ends[0].cast("string").alias("lowest"), ends[1].cast("string").alias("highest"),
+                )
+            )
+        parts.append(df.agg(F.array(*cells).alias("cells")).select(F.inline("cells")))
+    return reduce(lambda x, y: x.unionByName(y), parts)
 
 
 @query(
-    "scan_reports",
-    """SELECT 'county_market' AS report, county AS name, CAST(mean_price AS DOUBLE) AS value FROM b_county_latest
-    UNION ALL SELECT 'planning_authority', planning_authority, grant_rate_pct FROM b_authority
-    UNION ALL SELECT 'market_planning_correlation', market_metric || '/' || planning_metric, pearson_correlation FROM b_corr
-    UNION ALL SELECT 'annual_market', CAST(year AS VARCHAR), avg_monthly_mean_price FROM b_annual
-    UNION ALL SELECT 'price_growth', CAST(year AS VARCHAR), mean_price_yoy_pct FROM b_growth""",
+    "sink_reports",
+    " UNION ALL ".join(f"SELECT '{name}' AS report, count(*) AS row_count FROM {t}" for name, t in REPORT_CTES.items()),
 )
+def sink_reports(spark, d):
+    found = written_reports(spark, d)[0]
+    counts = [df.agg(F.lit(n).alias("report"), F.count(F.lit(1)).alias("row_count")) for n, df in found.items()]
+    return reduce(lambda x, y: x.unionByName(y), counts)
+
+
+@query("scan_reports", _report_content_sql())
 def scan_reports(spark, d):
-    found, _, _ = written_reports(spark, d)
-    picked = [
-        ("county_market", F.col("county"), F.col("mean_price").cast("double")),
-        ("planning_authority", F.col("planning_authority"), F.col("grant_rate_pct")),
-        (
-            "market_planning_correlation",
-            F.concat_ws("/", "market_metric", "planning_metric"),
-            F.col("pearson_correlation"),
-        ),
-        ("annual_market", F.col("year").cast("string"), F.col("avg_monthly_mean_price")),
-        ("price_growth", F.col("year").cast("string"), F.col("mean_price_yoy_pct")),
-    ]
-    out = None
-    for report, name, value in picked:
-        part = found[report].select(
-            F.lit(report).alias("report"), name.alias("name"), value.alias("value")
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+    """All ten reports and all their columns."""
+    return _report_content(written_reports(spark, d)[0])
 
 
-@query("sink_clean", "SELECT * FROM b_clean_tx")
+@query("sink_clean", "SELECT * FROM b_clean_wide")
 def sink_clean(spark, d):
     path = _scratch(spark, "clean")
     writers.sink_clean(cleaning.clean_tx(b.tx_raw(spark, d)), path)
@@ -301,13 +318,24 @@ _LAYERS = " UNION ALL ".join(
 )
 
 
-@query("full_refresh", _LAYERS)
+@query("full_refresh", f"SELECT *, true AS unchanged FROM ({_LAYERS})")
 def full_refresh(spark, d):
-    """Two rebuilds into the same folder; the second replaces the first."""
+    """Two rebuilds into the same folder: the second replaces the first with the same content."""
     warehouse = writers.Warehouse(spark, _scratch(spark, "warehouse"))
+    seen = []
     for _ in range(2):
         tables = rebuild(sources(spark, d), warehouse, b.SERIES, b.UNIT)
-    return writers.layer_row_counts({n: tables[n] for n in writers.LAYER_TABLES})
+        rows = []
+        for name in writers.LAYER_TABLES:
+            df = tables[name]
+            digest = F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(20,0)"))
+            rows.append(df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"), digest.alias("digest")))
+        seen.append(storage.materialise(reduce(lambda x, y: x.unionByName(y), rows), "layer-content"))
+    before, after = seen
+    return after.alias("a").join(before.alias("b"), "table_name").select(
+        "table_name", F.col("a.row_count").alias("row_count"),
+        (F.col("a.row_count").eqNullSafe(F.col("b.row_count")) & F.col("a.digest").eqNullSafe(F.col("b.digest"))).alias("unchanged"),
+    )
 
 
 @query("layer_row_counts", _LAYERS)

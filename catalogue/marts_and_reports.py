@@ -286,7 +286,7 @@ def planning_authority_latest(spark, d):
 @query("market_planning_correlation", "SELECT * FROM b_corr")
 def market_planning_correlation(spark, d):
     marts = b.stored(spark, d, "monthly", "planning")
-    return reports.market_planning_correlation(*marts, check=False)
+    return reports.market_planning_correlation(*marts)
 
 
 @query("key_kpis", "SELECT * FROM b_kpi")

@@ -7,15 +7,27 @@ from pyspark.sql import functions as F
 from catalogue import bindings as b
 from catalogue.aggregates import q6, r6
 from catalogue.exploration import _missing_sql
-from catalogue.registry import query
+from catalogue.registry import cte, query
 from landledger import schemas
 from landledger.operators import profile
 from landledger.plans import exploration as eda
+from landledger.storage import materialise
 
 DATE, PRICE = "Date of Sale (dd/mm/yyyy)", "Price (€)"
-# columns in which the given tables hold equal rows
-LOOSE = [DATE, "Not Full Market Price", "VAT Exclusive", "Description of Property", "Property Size Description"]
-LOOSE_SQL = ", ".join(f'"{c}"' for c in LOOSE)
+# the register with the rows of every fiftieth order delivered twice
+ALL = schemas.REGISTER_SOURCE_COLUMNS
+ALL_SQL = ", ".join(f'"{c}"' for c in ALL)
+cte(
+    "b_tx_twice",
+    """SELECT * FROM b_tx_raw UNION ALL
+    SELECT * FROM b_tx_raw WHERE CAST(split_part("Address", '-', 1) AS BIGINT) % 50 = 0""",
+)
+
+
+def tx_twice(spark, d):
+    rows = b.tx_raw(spark, d)
+    again = F.substring_index("Address", "-", 1).cast("bigint") % 50 == 0
+    return rows.unionByName(rows.filter(again))
 
 
 @query(
@@ -46,24 +58,24 @@ def missing_summary(spark, d):
 @query(
     "duplicate_count",
     f"""SELECT CAST(sum(n) AS BIGINT) AS row_count, count(*) AS unique_rows, CAST(sum(n - 1) AS BIGINT) AS duplicate_rows
-    FROM (SELECT {LOOSE_SQL}, count(*) AS n FROM b_tx_raw GROUP BY ALL)""",
+    FROM (SELECT {ALL_SQL}, count(*) AS n FROM b_tx_twice GROUP BY ALL)""",
 )
 def duplicate_count(spark, d):
-    return profile.duplicate_count(b.tx_raw(spark, d, *LOOSE))
+    return profile.duplicate_count(tx_twice(spark, d))
 
 
 @query(
     "duplicate_rows",
-    f"""SELECT {LOOSE_SQL} FROM (SELECT {LOOSE_SQL}, count(*) OVER (PARTITION BY {LOOSE_SQL}) AS n FROM b_tx_raw)
-    WHERE n > 1 ORDER BY {', '.join(f'"{c}" NULLS LAST' for c in LOOSE)} LIMIT 10""",
+    f"""SELECT {ALL_SQL} FROM (SELECT {ALL_SQL}, count(*) OVER (PARTITION BY {ALL_SQL}) AS n FROM b_tx_twice)
+    WHERE n > 1 ORDER BY {', '.join(f'"{c}" NULLS LAST' for c in ALL)} LIMIT 10""",
 )
 def duplicate_rows(spark, d):
-    return profile.duplicate_rows(b.tx_raw(spark, d, *LOOSE), limit=10)
+    return profile.duplicate_rows(tx_twice(spark, d), limit=10)
 
 
-@query("drop_exact_duplicates", f"SELECT DISTINCT {LOOSE_SQL} FROM b_tx_raw")
+@query("drop_exact_duplicates", f"SELECT DISTINCT {ALL_SQL} FROM b_tx_raw")
 def drop_exact_duplicates(spark, d):
-    return profile.drop_exact_duplicates(b.tx_raw(spark, d, *LOOSE))
+    return profile.drop_exact_duplicates(tx_twice(spark, d))
 
 
 @query(
@@ -121,7 +133,9 @@ def classification_counts(spark, d):
     UNION ALL SELECT 'non-positive prices', count(*) FILTER (WHERE price_eur <= 0) FROM b_tx""",
 )
 def guard_invalid(spark, d):
-    return profile.violation_counts(b.tx(spark, d, "sale_date", "price_eur"), eda.eda_rules())
+    """The guard itself, which raises on a broken rule, then its counts from the same stored rows."""
+    rows = materialise(b.tx(spark, d, "sale_date", "price_eur"), "guarded")
+    return profile.violation_counts(profile.guard(rows, eda.eda_rules()), eda.eda_rules())
 
 
 @query(

@@ -42,7 +42,7 @@ def parse_sale_date(spark, d):
 @query(
     "parse_price",
     """SELECT "Address" AS address, TRY_CAST(trim(replace(replace("Price (€)", '€', ''), ',', ''))
-    AS DECIMAL(14,2)) AS price_eur FROM b_tx_raw""",
+    AS DECIMAL(38,10)) AS price_eur FROM b_tx_raw""",
 )
 def parse_price(spark, d):
     df = _from_raw(spark, d, "Price (€)")

@@ -15,9 +15,26 @@ def parse_number(c: Column | str, data_type: str = "double") -> Column:
     return trim_text(c).try_cast(data_type)
 
 
-def parse_price(c: Column | str, data_type: str = "decimal(14,2)") -> Column:
-    """Currency text to a number; unreadable text becomes null."""
-    return parse_number(F.regexp_replace(column(c), _CURRENCY_MARKS, ""), data_type)
+def parse_wide(c: Column | str) -> Column:
+    """Text to decimal(38,10): no digit of a value is cut here.
+
+    Unreadable text becomes null; a number that the type cannot hold raises.
+    """
+    # false for NaN and for text that is no number
+    number = F.abs(parse_number(c)) <= F.lit(float("inf"))
+    return F.coalesce(parse_number(c, "decimal(38,10)"), F.when(number, F.raise_error(F.lit("number out of range"))))
+
+
+def parse_price(c: Column | str) -> Column:
+    """Currency text to decimal(38,10); unreadable text becomes null."""
+    return parse_wide(F.regexp_replace(column(c), _CURRENCY_MARKS, ""))
+
+
+def as_money(c: Column | str) -> Column:
+    """Amount as decimal(14,2), rounded half up; one that does not fit raises, whatever the session's cast rules."""
+    c = column(c)
+    large = F.raise_error(F.lit("amount does not fit decimal(14,2)"))
+    return F.coalesce(F.round(c, 2).try_cast("decimal(14,2)"), F.when(c.isNotNull(), large))
 
 
 def round_even(c: Column | str, digits: int) -> Column:

@@ -18,6 +18,12 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df
 
 
+def require_rows(df: DataFrame) -> DataFrame:
+    if df.isEmpty():
+        raise ValueError("dataset contains no rows")
+    return df
+
+
 def _quoted(name: str) -> Column:
     return F.col(f"`{name}`")
 
@@ -94,7 +100,7 @@ def invalid_dates(df: DataFrame, column: str) -> DataFrame:
 
 def invalid_prices(df: DataFrame, column: str) -> DataFrame:
     return df.agg(
-        F.count_if(parse_price(_quoted(column), "double").isNull()).alias("invalid_prices")
+        F.count_if(parse_price(_quoted(column)).isNull()).alias("invalid_prices")
     )
 
 
@@ -149,6 +155,32 @@ def guard(df: DataFrame, rules: Mapping[str, Column], allow_empty: bool = False)
     return df
 
 
+def guarded(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """The same rows of an aggregate; a row that breaks a rule raises.
+
+    The rules are part of the plan, so nothing is evaluated twice. They sit in a
+    filter, which column pruning keeps.
+    """
+    sound = F.lit(True)
+    for rule, bad in rules.items():
+        message = F.lit(f"dataset breaks rule: {rule}")
+        sound = sound & F.when(F.coalesce(bad, F.lit(False)), F.raise_error(message).cast("boolean")).otherwise(True)
+    return df.filter(sound)
+
+
+def checked(c: Column | str, rules: Mapping[str, Column]) -> Column:
+    """The column's value; a row that breaks a rule raises when the column is read.
+
+    A part of the projection, not a filter: the optimizer would move a filter below the
+    projections that parse the column and put their expressions in its place.
+    """
+    value = F.col(c) if isinstance(c, str) else c
+    for rule, bad in rules.items():
+        message = F.lit(f"dataset breaks rule: {rule}")
+        value = F.when(F.coalesce(bad, F.lit(False)), F.raise_error(message)).otherwise(value)
+    return value
+
+
 def index_profile(df: DataFrame, month: str) -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).alias("row_count"),

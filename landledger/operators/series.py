@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from landledger.functions.numbers import round_even
+from landledger.operators.profile import guarded
+from landledger.storage import materialise
 
 
 def growth_pct(
@@ -29,10 +31,16 @@ def growth_pct(
 
 
 def share_of_total(df: DataFrame, column: str, target: str, digits: int | None = None) -> DataFrame:
-    """Share of the column's own total in %, on an aggregate (null groups included)."""
-    total = F.sum(column).over(Window.partitionBy())
-    share = F.try_divide(F.col(column).cast("double"), total.cast("double")) * F.lit(100.0)
-    return df.withColumn(target, share if digits is None else round_even(share, digits))
+    """Share of the column's own total in %, on an aggregate (null groups included).
+
+    The total is one row joined back, so groups that are many, like free texts, stay where they are. The
+    aggregate is stored first: groups and total come from one evaluation.
+    """
+    df = materialise(df, "shares")
+    total = df.agg(F.sum(column).alias("_total"))
+    share = F.try_divide(F.col(column).cast("double"), F.col("_total").cast("double")) * F.lit(100.0)
+    out = df.crossJoin(F.broadcast(total)).withColumn(target, share if digits is None else round_even(share, digits))
+    return out.drop("_total")
 
 
 def first_and_last(
@@ -64,8 +72,12 @@ def correlation_table(
     month: str,
     digits: int = 4,
     least_pairs: int = 3,
+    rules: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """All left x right pairs: r, number of complete pairs, period covered."""
+    """All left x right pairs: r, number of complete pairs, period covered.
+
+    ``rules`` are aggregates that must be false; one that is true raises.
+    """
     aggregates = [F.min(month).alias("period_start"), F.max(month).alias("period_end")]
     pairs = []
     for i, a in enumerate(left):
@@ -82,7 +94,10 @@ def correlation_table(
                     n.alias("observations"),
                 )
             )
-    return df.agg(*aggregates).select(F.inline(F.array(*pairs)), "period_start", "period_end")
+    broken = {f"_b{i}": (message, bad) for i, (message, bad) in enumerate((rules or {}).items())}
+    figures = df.agg(*aggregates, *[bad.alias(name) for name, (_, bad) in broken.items()])
+    figures = guarded(figures, {message: F.col(name) for name, (message, _) in broken.items()})
+    return figures.select(F.inline(F.array(*pairs)), "period_start", "period_end")
 
 
 def latest(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from landledger import schemas
 from landledger.functions import dates, numbers, text
-from landledger.operators.profile import drop_exact_duplicates, guard, require_columns
+from landledger.operators.profile import checked, drop_exact_duplicates, require_columns, require_rows
 
 # Source headers (one also in damaged form) and cleaned names.
 REGISTER_NAMES = {
@@ -23,6 +23,7 @@ REGISTER_NAMES = {
     "Description of Property": "property_description",
     "Property Size Description": "property_size_description",
 }
+# The register's text columns.
 TEXT_COLUMNS = [
     "address",
     "county",
@@ -81,8 +82,11 @@ def clean_tx(raw: DataFrame) -> DataFrame:
     return reorder_project(df)
 
 
-def clean_index(raw: DataFrame, check: bool = True) -> DataFrame:
-    """Cleaned price index: 12 columns; an unreadable month raises, a missing value stays."""
+def clean_index(raw: DataFrame) -> DataFrame:
+    """Cleaned price index: 12 columns; an unreadable month raises, a missing value stays.
+
+    The check is part of the plan: the rows are worked out once.
+    """
     require_columns(raw, schemas.INDEX_SOURCE_COLUMNS)
     df = drop_exact_duplicates(raw)
     label, month_text, kind, unit, value = (F.col(f"`{c}`") for c in schemas.INDEX_SOURCE_COLUMNS)
@@ -93,23 +97,23 @@ def clean_index(raw: DataFrame, check: bool = True) -> DataFrame:
         text.trim_text(unit).alias("unit"),
         value.alias("source_value"),
     )
-    df = df.withColumn("month", dates.parse_index_month("source_month_label")).withColumns(
+    month = checked("month", {"invalid index month": F.col("month").isNull()})
+    df = df.withColumn("month", dates.parse_index_month("source_month_label")).withColumn("month", month).withColumns(
         {
             "year": F.year("month"),
             "month_number": F.month("month"),
             "quarter": F.quarter("month"),
             "year_month": dates.year_month("month"),
             "property_series": F.col("residential_property_type"),
-            "rppi_value": numbers.parse_number("source_value", "decimal(10,2)"),
+            "rppi_value": numbers.parse_wide("source_value"),
         }
     )
-    if check:
-        guard(df, {"invalid index month": F.col("month").isNull()}, allow_empty=True)
     return df.select(*schemas.INDEX_COLUMNS)
 
 
 def clean_planning(raw: DataFrame) -> DataFrame:
-    """Planning rows without exact copies, text columns trimmed."""
+    """Planning rows without exact copies, text columns trimmed; no rows at all raise."""
+    require_rows(raw)
     texts = {
         f.name: text.trim_text(f"`{f.name}`")
         for f in raw.schema.fields

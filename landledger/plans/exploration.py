@@ -20,8 +20,8 @@ from landledger.operators.grouped_stats import (
     split_at_quantile,
 )
 from landledger.operators.profile import (
+    checked,
     drop_exact_duplicates,
-    guard,
     missing_summary,
     require_columns,
 )
@@ -43,11 +43,12 @@ EXTREME_COLUMNS = [
 ]
 
 
-def load_tx_eda(df: DataFrame, check: bool = True) -> DataFrame:
+def load_tx_eda(df: DataFrame) -> DataFrame:
     """Analysis table from a cleaned (or source-named) register table.
 
     Removes copies again, retypes, and uses the exploration flags and size
-    classes. Invalid dates, unreadable and non-positive prices raise.
+    classes. Invalid dates, unreadable and non-positive prices raise; the checks
+    are part of the plan.
     """
     df = rename_columns(drop_exact_duplicates(df), REGISTER_NAMES)
     require_columns(df, ["sale_date", "address", "county", "price_eur", "property_description"])
@@ -57,9 +58,12 @@ def load_tx_eda(df: DataFrame, check: bool = True) -> DataFrame:
     df = df.withColumns(
         {
             "sale_date": F.col("sale_date").try_cast("date"),
-            "price_eur": numbers.parse_price(F.col("price_eur").cast("string")),
+            "price_eur": numbers.as_money(numbers.parse_price(F.col("price_eur").cast("string"))),
         }
     )
+    rules = eda_rules()
+    dated = {rule: rules.pop(rule) for rule in ["invalid sale dates"]}
+    df = df.withColumns({"sale_date": checked("sale_date", dated), "price_eur": checked("price_eur", rules)})
     df = df.withColumns(
         {
             **dates.calendar_parts("sale_date", "sale_"),
@@ -72,8 +76,6 @@ def load_tx_eda(df: DataFrame, check: bool = True) -> DataFrame:
             "property_size_category": text.size_category_eda("property_size_description"),
         }
     )
-    if check:
-        guard(df, eda_rules(), allow_empty=True)
     return reorder_project(df, schemas.TX_COLUMNS)
 
 
@@ -85,21 +87,18 @@ def eda_rules() -> dict[str, Column]:
     }
 
 
-def dataset_summary(tx: DataFrame, column_count: int | None = None) -> DataFrame:
-    """Seven (metric, value) rows, values as text.
-
-    ``column_count`` states the table's width when only the needed columns are given.
-    """
+def dataset_summary(tx: DataFrame) -> DataFrame:
+    """Seven (metric, value) rows, values as text, unrounded to twelve decimals."""
     price = grouped_stats(tx, [], "price_eur", MEDIAN)
     span = tx.agg(F.min("sale_date").alias("first"), F.max("sale_date").alias("last"))
     figures = [
         ("rows", F.col("rows").cast("string")),
-        ("columns", F.lit(str(column_count or len(tx.columns)))),
+        ("columns", F.lit(str(len(tx.columns)))),
         ("start_date", F.col("first").cast("string")),
         ("end_date", F.col("last").cast("string")),
         ("total_transaction_value", plain_number(F.col("total"))),
-        ("mean_transaction_price", plain_number(float_mean(F.col("total"), F.col("value_rows")), 4)),
-        ("median_transaction_price", plain_number(as_float("median"), 4)),
+        ("mean_transaction_price", plain_number(float_mean(F.col("total"), F.col("value_rows")), 12)),
+        ("median_transaction_price", plain_number(as_float("median"), 12)),
     ]
     table = F.array(*[F.struct(F.lit(m).alias("metric"), v.alias("value")) for m, v in figures])
     return price.join(F.broadcast(span)).select(F.inline(table))

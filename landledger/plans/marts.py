@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landledger.functions.dates import month_start, year_month
+from landledger.functions.numbers import as_money
 from landledger.functions.text import contains_any
 from landledger.operators.grouped_stats import float_stats, money_stats
+from landledger.operators.profile import checked
 
 # The published national series.
 NATIONAL_SERIES = "National - all residential properties"
@@ -123,11 +125,13 @@ def property_market_summary(tx: DataFrame, ix: DataFrame, pl: DataFrame) -> Data
 def combined_tx_index(
     tx: DataFrame, ix: DataFrame, series: str = NATIONAL_SERIES, unit: str = NATIONAL_UNIT
 ) -> DataFrame:
-    """Monthly statistics from the cleaned tables as floats, with the index."""
+    """Monthly statistics from the cleaned tables as floats, with the index.
+
+    A row without a sale date raises: its month is not known.
+    """
+    dated = checked("sale_date", {"invalid sale dates": F.col("sale_date").isNull()})
     by_month = float_stats(
-        tx.filter(F.col("sale_date").isNotNull()).select(
-            year_month("sale_date").alias("year_month"), "price_eur"
-        ),
+        tx.select(year_month(dated).alias("year_month"), as_money("price_eur").alias("price_eur")),
         ["year_month"],
         "price_eur",
     )

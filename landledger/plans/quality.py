@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,15 +72,14 @@ def euros(amount: Column) -> Column:
 
 # ---- shape checks on the ten report tables ------------------------------
 
-def _static(df: DataFrame, name: str, passed: bool, details: str) -> DataFrame:
-    spark = df.sparkSession
-    return spark.range(1).select(
-        F.lit(name).alias("check_name"),
-        F.lit("PASS" if passed else "FAIL").alias("status"),
-        F.lit(details).alias("details"),
-    )
+_ROWS = "check_name string, status string, details string"
+
+
+def _failed(names: Sequence[str], details: str) -> list[tuple[str, str, str]]:
+    return [(name, "FAIL", details) for name in names]
 
 
+# Names and texts of the shape checks.
 # kind -> (check name prefix, passed, details when passed, details when failed)
 _SHAPE_CHECKS = {
     "exists": ("Stage 3 file exists: ", "true", "concat(format_number(n, 0), ' rows')", "''"),
@@ -104,7 +103,9 @@ def _shape_checks(
     The reports are small and differ in columns, so their rows become one table
     of (report, row text, missing cells): one aggregation serves them all.
     """
-    spark = next(iter(reports.values())).sparkSession
+    spark = SparkSession.active()
+    if not reports:
+        return spark.createDataFrame([], _ROWS)
     cells = []
     for name, df in reports.items():
         gaps = " + ".join(f"IF(`{c}` IS NULL, 1, 0)" for c in df.columns)
@@ -142,12 +143,19 @@ def _labels(reports: Mapping[str, DataFrame], years: Years) -> dict[str, dict[st
     return {kind: named for kind in _SHAPE_CHECKS}
 
 
-def _absent(
-    reports: Mapping[str, DataFrame], expected: Sequence[str], files: Mapping[str, str], years: Years
-) -> list[DataFrame]:
-    found = next(iter(reports.values()))
-    missing = [files[_check_name(n, years)] for n in expected if n not in reports]
-    return [_static(found, f"Stage 3 file exists: {f}", False, f"Missing file: {f}") for f in missing]
+def _not_read(
+    reports: Mapping[str, DataFrame], expected: Sequence[str], files: Mapping[str, str], years: Years, kinds: Sequence[str]
+) -> DataFrame:
+    """FAIL rows of the asked kinds for every report that is absent or cannot be read."""
+    problems, rows = getattr(reports, "problems", {}), []
+    for report in expected:
+        if report in reports:
+            continue
+        name, file = _check_name(report, years), files[_check_name(report, years)]
+        details = f"Unreadable file: {file}: {problems[report]}" if report in problems else f"Missing file: {file}"
+        prefixes = {kind: _SHAPE_CHECKS[kind][0] for kind in _SHAPE_CHECKS} | {"columns": "Columns: "}
+        rows += _failed([prefixes[kind] + (file if kind == "exists" else name) for kind in kinds], details)
+    return SparkSession.active().createDataFrame(rows, _ROWS)
 
 
 def _file_labels(reports, files, years) -> dict[str, dict[str, str]]:
@@ -157,23 +165,26 @@ def _file_labels(reports, files, years) -> dict[str, dict[str, str]]:
 def qa_file_exists(
     reports: Mapping[str, DataFrame], expected: Sequence[str], files: Mapping[str, str], years: Years
 ) -> DataFrame:
-    """One row per expected report with its row count; an absent report fails."""
+    """One row per expected report with its row count; an absent or unreadable report fails."""
     present = _shape_checks(reports, ["exists"], _file_labels(reports, files, years))
-    return union_all([present, *_absent(reports, expected, files, years)])
+    return present.unionByName(_not_read(reports, expected, files, years, ["exists"]))
+
+
+def _missing_columns(report: DataFrame, expected: T.StructType) -> list[str]:
+    wanted = [c for c in expected.fieldNames() if c not in _OPTIONAL_COLUMNS]
+    return [c for c in wanted if c not in report.columns]
 
 
 def qa_columns(
     reports: Mapping[str, DataFrame], expected: Mapping[str, T.StructType], years: Years
 ) -> DataFrame:
-    """Expected columns present, from the schemas alone: one literal row per report."""
+    """Expected columns present, by the names the reports carry: one literal row per report."""
     rows = []
     for name, df in reports.items():
-        wanted = [c for c in expected[name].fieldNames() if c not in _OPTIONAL_COLUMNS]
-        missing = [c for c in wanted if c not in df.columns]
+        missing = _missing_columns(df, expected[name])
         details = f"Missing columns: {missing}" if missing else "All expected columns present"
         rows.append((f"Columns: {_check_name(name, years)}", "FAIL" if missing else "PASS", details))
-    spark = next(iter(reports.values())).sparkSession
-    return spark.createDataFrame(rows, "check_name string, status string, details string")
+    return SparkSession.active().createDataFrame(rows, _ROWS)
 
 
 def qa_duplicates(reports: Mapping[str, DataFrame], years: Years) -> DataFrame:
@@ -368,41 +379,52 @@ def qa_corr_observations(report: DataFrame, marts: Marts) -> DataFrame:
 def qa_report(
     reports: Mapping[str, DataFrame], marts: Marts, years: Years, latest: int
 ) -> DataFrame:
-    """All checks. Checks whose report is absent fail instead of stopping the run."""
+    """All 61 checks, always.
+
+    Checks of a report that is absent, cannot be read or lacks columns fail instead
+    of stopping the run.
+    """
     expected = schemas.report_schemas(years.baseline, latest)
     files = report_files(years, latest)
+    kinds = list(_SHAPE_CHECKS)
     parts = [
-        _shape_checks(
-            reports,
-            list(_SHAPE_CHECKS),
-            {**_labels(reports, years), **_file_labels(reports, files, years)},
-        ),
-        *_absent(reports, list(expected), files, years),
+        _shape_checks(reports, kinds, {**_labels(reports, years), **_file_labels(reports, files, years)}),
+        _not_read(reports, list(expected), files, years, [*kinds, "columns"]),
         qa_columns(reports, expected, years),
     ]
+    # Names of the recomputation checks.
+    market = [
+        f"{label} {kind} reconciliation"
+        for label in (latest, f"{years.partial} YTD")
+        for kind in ("transaction", "transaction-value")
+    ]
     recomputed = [
-        (["annual_market", "market_ytd"], "market reconciliation",
+        (["annual_market", "market_ytd"], market,
          lambda: qa_market_reconcile(reports, marts.monthly, years, latest)),
-        (["county_market"], f"{latest} county coverage",
+        (["county_market"], [f"{latest} county coverage"],
          lambda: qa_county_coverage(reports["county_market"], marts.county, latest)),
-        (["county_property_mix"], "County property-mix shares",
+        (["county_property_mix"], ["County property-mix shares"],
          lambda: qa_mix_shares(reports["county_property_mix"])),
-        (["county_price_change"], "County price-change calculation",
+        (["county_price_change"], [f"County {years.baseline}-{latest} price-change calculation"],
          lambda: qa_price_change(reports["county_price_change"], years, latest)),
-        (["annual_planning"], f"{latest} planning applications",
+        (["annual_planning"], [f"{latest} planning applications"],
          lambda: qa_planning_total(reports["annual_planning"], marts.planning, latest)),
-        (["annual_planning"], "Planning rate calculation",
+        (["annual_planning"], ["Planning grant-rate calculation", "Planning refusal-rate calculation"],
          lambda: qa_rates(reports["annual_planning"], latest)),
-        (["market_planning_correlation"], "Correlation observation count",
+        (["market_planning_correlation"], ["Correlation observation count"],
          lambda: qa_corr_observations(reports["market_planning_correlation"], marts)),
     ]
-    for needed, name, build in recomputed:
+    failed = []
+    for needed, names, build in recomputed:
         absent = [n for n in needed if n not in reports]
+        short = [n for n in needed if n in reports and _missing_columns(reports[n], expected[n])]
         if absent:
-            parts.append(_static(marts.monthly, name, False, f"Missing reports: {absent}"))
+            failed += _failed(names, f"Missing reports: {absent}")
+        elif short:
+            failed += _failed(names, f"Reports without their columns: {short}")
         else:
             parts.append(build())
-    return union_all(parts)
+    return union_all([*parts, SparkSession.active().createDataFrame(failed, _ROWS)])
 
 
 def qa_summary(report: DataFrame) -> DataFrame:

@@ -6,9 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from landledger.plans import cleaning, marts, staging
-from landledger.sources.writers import Warehouse
-from landledger.storage import run_together
+from landledger.plans import cleaning, exploration, marts, quality, staging
+from landledger.plans.reports import Marts, Years
+from landledger.sources.writers import Warehouse, sink_reports, write_csv
+from landledger.storage import run_together, scratch
 
 
 @dataclass
@@ -29,7 +30,9 @@ def rebuild(
     """Replace every layer and return its tables by name.
 
     Each layer is written once and the next one reads the written table, so a
-    source is cleaned once however many marts follow.
+    source is cleaned once however many marts follow. Scratch goes when its layer is
+    written. At the end the table tests run over the new tables; their rows are
+    saved as ``quality.table_tests``, and a failed one raises.
     """
     raw = {
         "raw.ppr_transactions": cleaning.as_text_layer(cleaning.clean_tx(sources.register)),
@@ -42,7 +45,8 @@ def rebuild(
         # tables of one layer do not depend on each other
         names = list(builds)
         jobs = [lambda n=n: warehouse.save(n, builds[n]()) for n in names]
-        tables.update(zip(names, run_together(jobs)))
+        with scratch(warehouse.spark):
+            tables.update(zip(names, run_together(jobs)))
 
     save_all({name: lambda df=df: df for name, df in raw.items()})
     tx, ix, pl = "staging.ppr_transactions", "staging.rppi_series", "staging.planning_applications"
@@ -63,4 +67,41 @@ def rebuild(
             ),
         }
     )
+    save_all({TABLE_TESTS: lambda: table_tests(tables)})
+    failed = [r.check_name for r in tables[TABLE_TESTS].filter("status = 'FAIL'").collect()]
+    if failed:
+        raise RuntimeError(f"table tests failed: {sorted(failed)}")
     return tables
+
+
+TABLE_TESTS = "quality.table_tests"
+
+
+def table_tests(tables: dict[str, DataFrame]) -> DataFrame:
+    """The declared not-null and unique tests over the staging and mart tables of a rebuild."""
+    named = {
+        "stg_ppr_transactions": tables["staging.ppr_transactions"],
+        "stg_rppi_series": tables["staging.rppi_series"],
+        "stg_planning_applications": tables["staging.planning_applications"],
+        **{name.split(".")[1]: df for name, df in tables.items() if name.startswith("analytics.")},
+    }
+    return quality.check_not_null(named).unionByName(quality.check_unique(named))
+
+
+def explore(register: DataFrame, warehouse: Warehouse, folder: str) -> dict[str, DataFrame]:
+    """The exploration as one job: the analysis table stored once, then every table written from it."""
+    save = "analytics.exploration_transactions"
+    with scratch(warehouse.spark):
+        tx = warehouse.save(save, exploration.load_tx_eda(cleaning.clean_tx(register)))
+        tables = exploration.all_tables(tx)
+        sink_reports(tables, folder)
+    return tables
+
+
+def save_quality_report(reports, tables: Marts, years: Years, latest: int, folder: str) -> DataFrame:
+    """Write the quality report as one CSV and return its summary, taken from the written rows."""
+    spark = tables.monthly.sparkSession
+    report = quality.qa_report(reports, tables, years, latest)
+    path = write_csv(report, f"{folder}/qa_report", one_file=True)
+    stored = spark.read.schema(report.schema).option("header", True).option("escape", '"').csv(path)
+    return quality.qa_summary(stored)

@@ -121,12 +121,16 @@ def latest_completed(df: DataFrame, year: str, years: Years) -> DataFrame:
     The year is a one-row aggregate joined back, so nothing visits the driver.
     The table is read twice: pass a stored mart, not its whole build.
     """
-    last = (
-        df.filter(F.col(year) < years.partial).agg(F.max(year).alias("_last")).select("_last")
-    )
+    last = df.filter(F.col(year) < years.partial).agg(F.max(year).alias("_last")).select(_known_year("_last"))
     return df.join(F.broadcast(last), F.col(year) == F.col("_last")).drop("_last")
 
 
+def _known_year(column: str) -> Column:
+    """The year of a one-row aggregate; raises where there is no completed year."""
+    none = F.raise_error(F.lit("no completed year available")).cast("int")
+    return F.coalesce(F.col(column), none).alias(column)
+
+
 def county_market_latest(county: DataFrame, years: Years) -> DataFrame:
     kept = county.dropna(subset=["county", "sale_year"])
     return latest_completed(kept, "sale_year", years).orderBy(F.desc("transactions"), "county")
@@ -229,20 +233,19 @@ def market_with_planning(monthly: DataFrame, planning: DataFrame) -> DataFrame:
     )
 
 
-def market_planning_correlation(
-    monthly: DataFrame, planning: DataFrame, check: bool = True
-) -> DataFrame:
-    """Pearson r of every market / planning metric pair over common months."""
+def market_planning_correlation(monthly: DataFrame, planning: DataFrame) -> DataFrame:
+    """Pearson r of every market / planning metric pair over common months.
+
+    No common month, or fewer than three complete ones, raises; both are counted
+    by the aggregation that gives the correlations.
+    """
     merged = market_with_planning(monthly, planning)
-    if check:
-        cells = F.array(*[F.col(c).isNull() for c in MARKET_METRICS + PLANNING_METRICS])
-        complete = F.count_if(~F.array_contains(cells, True))
-        seen = merged.agg(F.count(F.lit(1)).alias("months"), complete.alias("complete")).first()
-        if seen["months"] == 0:
-            raise ValueError("no common months between market and planning")
-        if seen["complete"] < 3:
-            raise ValueError("fewer than three complete months for correlation")
-    return correlation_table(merged, MARKET_METRICS, PLANNING_METRICS, "month_start")
+    cells = F.array(*[F.col(c).isNull() for c in MARKET_METRICS + PLANNING_METRICS])
+    rules = {
+        "no common months between market and planning": F.count(F.lit(1)) == 0,
+        "fewer than three complete months for correlation": F.count_if(~F.array_contains(cells, True)) < 3,
+    }
+    return correlation_table(merged, MARKET_METRICS, PLANNING_METRICS, "month_start", rules=rules)
 
 
 def key_kpis(marts: Marts, years: Years) -> DataFrame:
@@ -261,10 +264,10 @@ def key_kpis(marts: Marts, years: Years) -> DataFrame:
     completed = F.when(F.col("year") < years.partial, F.col("year"))
     partial = F.when(F.col("year") == years.partial, figures)
     head = per_year.agg(
-        last_year.alias("my"),
+        last_year.alias("_my"),
         F.max_by(figures, completed).alias("m"),
         F.max(partial).alias("y"),
-    )
+    ).select(_known_year("_my").alias("my"), "m", "y")
     # counties are ranked in every year; the latest completed market year picks one
     best = (
         marts.county.dropna(subset=["county", "sale_year"])
@@ -319,7 +322,6 @@ def key_kpis(marts: Marts, years: Years) -> DataFrame:
     return (
         head.join(best, F.col("my") == F.col("sale_year"), "left")
         .join(F.broadcast(plans), one, "left")
-        .filter(F.col("my").isNotNull())
         .select(F.inline(table))
     )
 

@@ -13,7 +13,7 @@ from landledger.operators.row_ids import dense_row_id
 def typed_tx(raw: DataFrame) -> DataFrame:
     """Typed transactions without the surrogate id, all the marts need."""
     out = []
-    for field in schemas.CLEAN_TX.fields:
+    for field in schemas.TYPED_TX.fields:
         kind = field.dataType.simpleString()
         if kind == "boolean":
             out.append(flag_or_false(field.name).alias(field.name))

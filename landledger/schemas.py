@@ -53,7 +53,7 @@ PLANNING_SOURCE_COLUMNS = [
     "Shape__Area", "Shape__Length",
 ]
 
-# ---- raw layer: all text ------------------------------------------------
+# ---- raw layer: all text (fixed values) ----------------------------------
 TX_COLUMNS = [
     "sale_date", "sale_year", "sale_month", "sale_quarter", "sale_year_month", "address",
     "county", "eircode", "price_eur", "not_full_market_price", "is_not_full_market_price",
@@ -85,14 +85,18 @@ FEATURE_PAGE = T.StructType(
 CLEAN_TX = _struct(
     sale_date=T.DateType(), sale_year=T.IntegerType(), sale_month=T.IntegerType(),
     sale_quarter=T.IntegerType(), sale_year_month=T.StringType(), address=T.StringType(),
-    county=T.StringType(), eircode=T.StringType(), price_eur=PRICE,
+    county=T.StringType(), eircode=T.StringType(), price_eur=OPEN_NUMERIC,
     not_full_market_price=T.StringType(), is_not_full_market_price=T.BooleanType(),
     vat_exclusive=T.StringType(), is_vat_exclusive=T.BooleanType(),
     property_description=T.StringType(), is_new_property=T.BooleanType(),
     is_second_hand_property=T.BooleanType(), property_size_description=T.StringType(),
     property_size_category=T.StringType(),
 )
-STAGING_TX = T.StructType([T.StructField("ppr_id", T.LongType(), True), *CLEAN_TX.fields])
+# the cleaned table keeps every digit of a price; staging gives it its type
+TYPED_TX = T.StructType(
+    [T.StructField(f.name, PRICE if f.name == "price_eur" else f.dataType, True) for f in CLEAN_TX.fields]
+)
+STAGING_TX = T.StructType([T.StructField("ppr_id", T.LongType(), True), *TYPED_TX.fields])
 STAGING_INDEX = _struct(
     rppi_id=T.LongType(), statistic_label=T.StringType(), source_month_label=T.StringType(),
     residential_property_type=T.StringType(), unit=T.StringType(), source_value=T.StringType(),
@@ -100,7 +104,7 @@ STAGING_INDEX = _struct(
     quarter=T.IntegerType(), year_month=T.StringType(), property_series=T.StringType(),
     rppi_value=INDEX_VALUE,
 )
-# staging name -> (raw column, target type); epoch columns are tagged "epoch".
+# Staging name -> (raw column, target type); epoch columns are tagged "epoch".
 PLANNING_CASTS = {
     "object_id": ("OBJECTID", "bigint"),
     "planning_authority": ("PlanningAuthority", "string"),
@@ -170,7 +174,7 @@ MART_ORDER = {
     "property_market_summary": ["metric_name"],
 }
 
-# ---- reports ------------------------------------------------------------
+# ---- reports (fixed values: column lists) ---------------------------------
 _LONG, _DBL, _STR, _INT, _DATE = (
     T.LongType(), T.DoubleType(), T.StringType(), T.IntegerType(), T.DateType()
 )

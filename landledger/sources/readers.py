@@ -17,6 +17,7 @@ from landledger.functions.text import (
     missing_to_null,
 )
 from landledger.operators.profile import require_columns
+from landledger.storage import materialise, run_together
 
 
 def _csv(spark: SparkSession, encoding: str, multi_line: bool):
@@ -34,15 +35,18 @@ def _csv(spark: SparkSession, encoding: str, multi_line: bool):
 
 
 def scan_tx_csv(
-    spark: SparkSession, path: str, multi_line: bool = True, missing=MISSING_TOKENS
+    spark: SparkSession, path: str, multi_line: bool = False, missing=MISSING_TOKENS
 ) -> DataFrame:
     """Sale register CSV in code page 1252, all text, columns taken by header name.
 
     The bytes are read as Latin-1 and the few signs that differ are translated,
-    which needs no session setting. ``multi_line`` honours quoted line breaks at
-    one task per file; a feed without them can switch it off to split files.
+    which needs no session setting. Files are split. A quoted line break then
+    raises, as its parts are no whole rows; pass ``multi_line`` for a feed that has them, at
+    one task per file. The header of every file is compared with the first one's; a
+    file with other columns or another order raises: scan such groups of files apart and union them by name.
     """
-    df = _csv(spark, "ISO-8859-1", multi_line).csv(path)
+    names = _csv(spark, "ISO-8859-1", multi_line).csv(path).columns
+    df = _csv(spark, "ISO-8859-1", multi_line).schema(schemas.text_schema(names)).option("enforceSchema", False).csv(path)
     df = df.toDF(*[decode_header(c) for c in df.columns])
     require_columns(df, schemas.REGISTER_SOURCE_COLUMNS)
     return df.select(
@@ -75,7 +79,7 @@ def scan_feature_pages(
 
     An ``error`` payload or no feature at all raises, as a failed download does.
     """
-    pages = spark.read.schema(page_schema).option("multiLine", multi_line).json(path)
+    pages = materialise(spark.read.schema(page_schema).option("multiLine", multi_line).json(path), "pages")
     seen = pages.agg(
         F.max("error").alias("error"), F.sum(F.coalesce(F.size("features"), F.lit(0))).alias("features")
     ).first()
@@ -87,9 +91,12 @@ def scan_feature_pages(
 
 
 def scan_text_raw(
-    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
 ) -> DataFrame:
-    """Cleaned CSV as text by position; no missing tokens besides the empty text."""
+    """Cleaned CSV as text by position; no missing tokens besides the empty text.
+
+    Files are split; a quoted line break raises unless ``multi_line`` is set.
+    """
     return (
         _csv(spark, "UTF-8", multi_line)
         .schema(schema)
@@ -121,15 +128,39 @@ def scan_mart(
     return df.orderBy(*keys).select(*coerced)
 
 
+class Reports(dict):
+    """Readable report tables by name; ``problems`` says of others why they are not."""
+
+    def __init__(self, tables: Mapping[str, DataFrame], problems: Mapping[str, str]):
+        super().__init__(tables)
+        self.problems = dict(problems)
+
+
+def _scan_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A report by its own header: known columns get their types, others stay text."""
+    names = _csv(spark, "UTF-8", True).csv(path).columns
+    text = _csv(spark, "UTF-8", True).schema(schemas.text_schema(names)).option("enforceSchema", False).csv(path)
+    types = {f.name: f.dataType for f in schema.fields}
+    return materialise(text.select(*[F.col(f"`{c}`").cast(types.get(c, T.StringType())).alias(c) for c in names]), "report")
+
+
 def scan_reports(
     spark: SparkSession, folder: str, report_schemas: Mapping[str, T.StructType]
-) -> dict[str, DataFrame]:
-    """Report tables by name with their declared schemas; absent ones are left out."""
-    found = {}
-    for name, schema in report_schemas.items():
+) -> Reports:
+    """Report tables by name, each read once, by the names in its own header.
+
+    An absent report is left out. One that cannot be read, because rows are too
+    short or a value is not of the column's type, is left out too and named in ``problems``.
+    """
+
+    def scan(name: str):
         try:
-            found[name] = scan_text_raw(spark, f"{folder}/{name}", schema)
-        except Exception as problem:  # noqa: BLE001 - Spark raises AnalysisException subclasses
-            if "PATH_NOT_FOUND" not in str(problem):
-                raise
-    return found
+            return name, _scan_report(spark, f"{folder}/{name}", report_schemas[name]), None
+        except Exception as problem:  # noqa: BLE001 - Spark's errors have no common narrower class
+            return name, None, None if "PATH_NOT_FOUND" in str(problem) else str(problem).split("\n")[0][:200]
+
+    found = run_together([lambda n=n: scan(n) for n in report_schemas])
+    return Reports(
+        {name: table for name, table, _ in found if table is not None},
+        {name: problem for name, _, problem in found if problem},
+    )

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landledger import schemas
-from landledger.storage import run_together
+from landledger.storage import materialise, replace_folder, run_together, scratch
 
 
 def _with_flags_as_words(df: DataFrame) -> DataFrame:
@@ -40,10 +41,21 @@ def sink_clean(df: DataFrame, path: str, file_format: str = "parquet") -> str:
     return path
 
 
-def sink_reports(reports: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
-    """One CSV folder per report; reports are small aggregates, one file each."""
+# Exploration tables that grow with the register, by rows or by its free texts.
+GROWING_TABLES = frozenset(
+    {"extreme_transactions_99_9th_percentile", "property_description_analysis"}
+)
+
+
+def sink_reports(
+    reports: Mapping[str, DataFrame], folder: str, growing: Collection[str] = GROWING_TABLES
+) -> dict[str, str]:
+    """One CSV folder per report, with one file: periods, counties and the like are few.
+
+    Those named in ``growing`` are written in parallel, a file per task.
+    """
     jobs = [
-        lambda name=name, df=df: write_csv(df, f"{folder}/{name}", one_file=True)
+        lambda name=name, df=df: write_csv(df, f"{folder}/{name}", one_file=name not in growing)
         for name, df in reports.items()
     ]
     return dict(zip(reports, run_together(jobs)))
@@ -52,7 +64,8 @@ def sink_reports(reports: Mapping[str, DataFrame], folder: str) -> dict[str, str
 class Warehouse:
     """Tables of the raw, staging and analytics layers under one folder.
 
-    Every save replaces the table, so a rerun gives the same layers.
+    Every save replaces the table when the new one is complete, so a rerun gives
+    the same layers and a failed one leaves the old layers whole.
     """
 
     # Column the large staging table is laid out by, in place of indexes.
@@ -66,11 +79,14 @@ class Warehouse:
         return f"{self.root}/{table.replace('.', '/')}"
 
     def save(self, table: str, df: DataFrame) -> DataFrame:
-        writer = df.write.mode("overwrite")
+        path = self.path(table)
+        new = f"{path}.new-{uuid.uuid4().hex}"
+        writer = df.write
         part = self.LAYOUT.get(table)
         if part in df.columns:
             writer = writer.partitionBy(part)
-        writer.parquet(self.path(table))
+        writer.parquet(new)
+        replace_folder(self.spark, new, path)
         # a layout column comes back last and with a guessed type
         return self.load(table).select(*[F.col(f.name).cast(f.dataType) for f in df.schema.fields])
 
@@ -130,8 +146,11 @@ def export_marts(
             else:
                 columns.append(col.cast(field.dataType).alias(field.name))
         path = f"{folder}/{target}"
-        source.select(*columns).write.mode("overwrite").format(file_format).save(path)
-        sent = source.count()
+        # stored first: what is sent and what is counted are then the same rows
+        with scratch(spark):
+            sending = materialise(source.select(*columns), "export")
+            sending.write.mode("overwrite").format(file_format).save(path)
+            sent = sending.count()
         stored = spark.read.format(file_format).schema(schema).load(path).count()
         if sent != stored:
             raise RuntimeError(f"row-count mismatch for {target}: sent {sent}, stored {stored}")

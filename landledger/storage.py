@@ -8,14 +8,18 @@ unlike cached blocks.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_WRITTEN: list[str] = []  # scratch folders of this process that still exist
+_LOCK = threading.Lock()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,6 +32,8 @@ def shared_folder(spark: SparkSession) -> str:
         CHECKPOINT_SETTING, None
     )
     if folder:
+        if folder.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"{CHECKPOINT_SETTING} is {folder}: executors of a cluster do not share such a folder")
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
@@ -37,8 +43,64 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """Unused path in the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """Unused path in the shared folder, removed by ``release`` or at the end of a ``scratch`` block."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    with _LOCK:
+        _WRITTEN.append(path)
+    return path
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder if it exists."""
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
+
+
+def replace_folder(spark: SparkSession, new: str, target: str) -> None:
+    """Put the complete folder ``new`` where ``target`` is; until then the old one stays readable."""
+    files, to = _file_system(spark, target)
+    _, source = _file_system(spark, new)
+    _, old = _file_system(spark, f"{target}.old-{uuid.uuid4().hex}")
+    replaces = files.exists(to)
+    if replaces and not files.rename(to, old):
+        raise OSError(f"cannot move {target} aside")
+    if not files.rename(source, to):
+        raise OSError(f"cannot move {new} to {target}")
+    if replaces:
+        files.delete(old, True)
+
+
+def release(spark: SparkSession, since: int = 0) -> int:
+    """Delete the scratch folders written so far, from the ``since``-th on, and return their number.
+
+    Call it when results that read them have been written.
+    """
+    with _LOCK:
+        paths = _WRITTEN[since:]
+        del _WRITTEN[since:]
+    for path in paths:
+        remove(spark, path)
+    return len(paths)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Scratch written inside the block goes at its end, when the block has written its results.
+
+    Blocks may be nested, but not run side by side.
+    """
+    with _LOCK:
+        since = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        release(spark, since)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from landledger import schemas
+from landledger.operators import profile
 from landledger.plans import cleaning, exploration, marts, reports, staging
 from landledger.plans.reports import Marts, Years
 
@@ -48,14 +49,14 @@ def test_clean_tx_does_not_depend_on_row_order(spark):
 
 def test_eda_load_removes_copies_again_and_guards(spark):
     cleaned = cleaning.clean_tx(register(spark, ROWS))
-    with pytest.raises(ValueError, match="invalid sale dates"):
-        exploration.load_tx_eda(cleaned)
+    with pytest.raises(Exception, match="invalid sale dates"):
+        exploration.load_tx_eda(cleaned).collect()
     good = exploration.load_tx_eda(cleaned.filter(F.col("sale_date").isNotNull()))
     row = good.collect()
     assert len(row) == 1 and row[0].property_size_category == "Less than 38 sq m"
     priced = cleaned.filter(F.col("sale_date").isNotNull()).withColumn("price_eur", F.lit(D("-1.00")))
-    with pytest.raises(ValueError, match="non-positive"):
-        exploration.load_tx_eda(priced)
+    with pytest.raises(Exception, match="non-positive"):
+        exploration.load_tx_eda(priced).collect()
 
 
 def test_eda_load_accepts_source_names_and_missing_columns(spark):
@@ -72,8 +73,76 @@ def test_clean_index(spark):
     assert [(r.month, r.property_series, r.rppi_value) for r in got] == [
         (dt.date(2005, 1, 1), "National", D("100.50")), (dt.date(2005, 2, 1), "National", None)
     ]
-    with pytest.raises(ValueError, match="invalid index month"):
-        cleaning.clean_index(spark.createDataFrame([("l", "2005 Foo", "N", "u", "1")], source))
+    with pytest.raises(Exception, match="invalid index month"):
+        cleaning.clean_index(spark.createDataFrame([("l", "2005 Foo", "N", "u", "1")], source)).collect()
+
+
+def test_no_digit_is_lost_at_ingest(spark):
+    prices = ["€1,234,567,890,123.45", "10.005", "abc", None]
+    rows = [("01/03/2020", f"a{i}", "b", None, p, None, None, NEW, None) for i, p in enumerate(prices)]
+    raw = register(spark, rows)
+    cleaned = cleaning.clean_tx(raw)
+    got = {r.address: r.price_eur for r in cleaned.collect()}
+    assert got == {"a0": D("1234567890123.45"), "a1": D("10.005"), "a2": None, "a3": None}
+    # the same parser counts what is unreadable
+    assert profile.invalid_prices(raw, "Price (€)").first()[0] == 2
+    # staging gives the type: what does not fit raises
+    text_layer = cleaning.as_text_layer(cleaned)
+    assert staging.typed_tx(text_layer.filter("address = 'a1'")).first().price_eur == D("10.01")
+    with pytest.raises(Exception, match="(?i)out_of_range|cannot be represented"):
+        staging.typed_tx(text_layer).collect()
+    with pytest.raises(Exception, match="does not fit"):
+        exploration.load_tx_eda(cleaned.filter("address = 'a0'")).collect()
+    huge = register(spark, [("01/03/2020", "a", "b", None, "1" + "0" * 40, None, None, NEW, None)])
+    with pytest.raises(Exception, match="number out of range"):
+        cleaning.clean_tx(huge).collect()
+    source = schemas.text_schema(schemas.INDEX_SOURCE_COLUMNS)
+    index = [("l", "2005 January", "N", "u", v) for v in ("123456789.5", "1.005", "x")]
+    found = cleaning.clean_index(spark.createDataFrame(index, source)).collect()
+    assert sorted(str(r.rppi_value) for r in found) == ["1.0050000000", "123456789.5000000000", "None"]
+
+
+def test_combined_table_raises_on_a_missing_date(spark):
+    tx = spark.createDataFrame([(dt.date(2020, 1, 1), D("5.00")), (None, D("6.00"))], "sale_date date, price_eur decimal(38,10)")
+    ix = spark.createDataFrame([], "year_month string, property_series string, unit string, rppi_value decimal(38,10)")
+    with pytest.raises(Exception, match="invalid sale dates"):
+        marts.combined_tx_index(tx, ix).collect()
+    assert marts.combined_tx_index(tx.filter("sale_date IS NOT NULL"), ix).first().transactions == 1
+
+
+def test_reports_without_a_completed_year_raise(spark):
+    empty = Marts(*[spark.createDataFrame([], s) for s in (schemas.MONTHLY_MARKET, schemas.COUNTY_MARKET, schemas.PLANNING_ACTIVITY)])
+    years = Years(2026, 2010)
+    for build in (
+        lambda: reports.county_market_latest(empty.county, years),
+        lambda: reports.planning_authority_latest(empty.planning, years),
+        lambda: reports.key_kpis(empty, years),
+    ):
+        with pytest.raises(Exception, match="no completed year"):
+            build().collect()
+    with pytest.raises(Exception, match="no common months"):
+        reports.market_planning_correlation(empty.monthly, empty.planning).collect()
+
+
+def test_planning_without_rows_raises(spark):
+    with pytest.raises(ValueError, match="no rows"):
+        cleaning.clean_planning(spark.createDataFrame([], schemas.RAW_PLANNING))
+
+
+def test_exploration_tables_scan_the_stored_table_once(spark, tmp_path):
+    """Of the stored analysis table; the two summaries and the extremes need a second look at it."""
+    row = (dt.date(2020, 3, 1), 2020, 3, 1, "2020-03", "a", "c", None, D("5.00"), "No", False, "No", False, "x", True, False, None, "Unknown")
+    spark.createDataFrame([row] * 3, schemas.TYPED_TX).write.parquet(str(tmp_path / "tx"))
+    tx = spark.read.parquet(str(tmp_path / "tx"))
+    twice = {"dataset_summary", "monthly_seasonality", "extreme_transactions_99_9th_percentile"}
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)  # whole paths in plans
+    for name, table in exploration.all_tables(tx).items():
+        table.collect()
+        plan = table._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        scans = sum("FileScan parquet" in line and str(tmp_path) in line for line in plan.splitlines())
+        assert scans <= (2 if name in twice else 1), (name, scans, plan)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
 
 
 def test_staging_roundtrip(spark):
@@ -172,8 +241,8 @@ def test_reports(built):
     assert len(kpis) == 12
     assert kpis["2011 Transactions"] == "2" and kpis["2012 YTD Period"] == "January-January"
     assert kpis["Highest Average Price County 2011"] == "Dublin" and kpis["2011 Residential Units in Applications"] == "4.0"
-    with pytest.raises(ValueError, match="fewer than three"):
-        reports.market_planning_correlation(m.monthly, m.planning)
+    with pytest.raises(Exception, match="fewer than three"):
+        reports.market_planning_correlation(m.monthly, m.planning).collect()
 
 
 def test_published_mix_change_and_rates(spark):

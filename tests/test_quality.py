@@ -48,9 +48,45 @@ def test_absent_report_fails_instead_of_stopping(inputs):
     found, marts = inputs
     fewer = {n: df for n, df in found.items() if n not in ("annual_market", "county_price_change")}
     got = statuses(quality.qa_report(fewer, marts, YEARS, 2025))
+    assert len(got) == 61
     assert got["Stage 3 file exists: annual_market_summary.csv"] == ("FAIL", "Missing file: annual_market_summary.csv")
-    assert got["market reconciliation"][0] == "FAIL"
-    assert got["County price-change calculation"][0] == "FAIL"
+    assert got["Columns: annual_market"] == ("FAIL", "Missing file: annual_market_summary.csv")
+    for name in ("2025 transaction", "2025 transaction-value", "2026 YTD transaction", "2026 YTD transaction-value"):
+        assert got[f"{name} reconciliation"] == ("FAIL", "Missing reports: ['annual_market']")
+    assert got["County 2010-2025 price-change calculation"][0] == "FAIL"
+
+
+def test_no_report_at_all(inputs):
+    _, marts = inputs
+    got = statuses(quality.qa_report({}, marts, YEARS, 2025))
+    assert len(got) == 61 and {s for s, _ in got.values()} == {"FAIL"}
+    expected = list(schemas.report_schemas(2010, 2025))
+    rows = quality.qa_file_exists({}, expected, quality.report_files(YEARS, 2025), YEARS).collect()
+    assert len(rows) == 10 and {r.status for r in rows} == {"FAIL"}
+
+
+def test_damaged_files_end_as_fail_rows(spark, inputs, tmp_path):
+    from landledger.sources import readers, writers
+
+    found, marts = inputs
+    writers.sink_reports(found, str(tmp_path))
+
+    def rewrite(report, text):
+        for old in (tmp_path / report).iterdir():
+            old.unlink()
+        (tmp_path / report / "part.csv").write_text(text)
+
+    rewrite("key_kpis", "wrong_a,value,unit\na,1,x\n")
+    rewrite("price_growth", "year,avg_mean_price\n2020\n")  # too short a row
+    rewrite("annual_planning", "year,applications\nabc,1\n")  # a text in a number's place
+    scanned = readers.scan_reports(spark, str(tmp_path), schemas.report_schemas(2010, 2025))
+    assert set(scanned.problems) == {"price_growth", "annual_planning"}
+    got = statuses(quality.qa_report(scanned, marts, YEARS, 2025))
+    assert len(got) == 61
+    assert got["Columns: key_kpis"] == ("FAIL", "Missing columns: ['kpi']")
+    assert got["Stage 3 file exists: price_growth.csv"][1].startswith("Unreadable file: price_growth.csv")
+    assert got["2025 planning applications"][0] == got["Planning refusal-rate calculation"][0] == "FAIL"
+    assert got["2025 transaction reconciliation"][0] == "PASS"
 
 
 def test_wrong_figures_fail(inputs):

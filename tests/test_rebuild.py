@@ -3,11 +3,13 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
-from landledger import schemas
+from landledger import schemas, storage
 from landledger.plans import cleaning, exploration, quality, reports
 from landledger.plans.marts import NATIONAL_SERIES, NATIONAL_UNIT
-from landledger.plans.rebuild import Sources, rebuild
+from landledger.plans.rebuild import TABLE_TESTS, Sources, explore, rebuild, save_quality_report
+from landledger.storage import fresh_path, materialise, release, scratch
 from landledger.plans.reports import Marts, Years
 from landledger.sources import readers, writers
 
@@ -76,6 +78,36 @@ def test_table_tests_pass(built):
     assert quality.check_not_null(found).count() == 22 and quality.check_unique(found).count() == 5
 
 
+def test_rebuild_ends_with_its_tests(spark, built, tmp_path):
+    tables, sources = built
+    assert tables[TABLE_TESTS].count() == 27
+    index = sources.index.unionByName(sources.index.withColumn("Statistic Label", F.lit("other")))
+    with pytest.raises(RuntimeError, match="unique: monthly_market.year_month"):
+        rebuild(Sources(sources.register, index, sources.planning), writers.Warehouse(spark, str(tmp_path)))
+
+
+def test_failed_save_leaves_the_old_table(spark, tmp_path):
+    warehouse = writers.Warehouse(spark, str(tmp_path))
+    warehouse.save("a.t", spark.range(3).toDF("id"))
+    with pytest.raises(Exception, match="broken"):
+        warehouse.save("a.t", spark.range(5).select(F.when(F.col("id") > 3, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).alias("id")))
+    assert warehouse.load("a.t").count() == 3
+    # a table may be made from itself
+    assert warehouse.save("a.t", warehouse.load("a.t").filter("id > 0")).count() == 2
+
+
+def test_scratch_goes_at_the_end_of_its_block(spark, tmp_path):
+    import os
+
+    since = len(storage._WRITTEN)
+    kept = materialise(spark.range(2), "kept")
+    with scratch(spark):
+        path = fresh_path(spark, "inside")
+        spark.range(1).write.parquet(path)
+    assert not os.path.exists(path) and kept.count() == 2
+    assert release(spark, since) == 1 and not os.path.exists(kept.inputFiles()[0].removeprefix("file://"))
+
+
 def test_reports_and_quality_from_files(spark, built, tmp_path):
     tables, _ = built
     marts = Marts(*[tables[f"analytics.{n}"] for n in ("monthly_market", "county_market", "planning_activity")])
@@ -84,6 +116,8 @@ def test_reports_and_quality_from_files(spark, built, tmp_path):
     report = quality.qa_report(found, marts, YEARS, 2011)
     failed = [r for r in report.collect() if r.status != "PASS"]
     assert failed == [] and report.count() == 61
+    summary = save_quality_report(found, marts, YEARS, 2011, str(tmp_path / "quality")).first()
+    assert (summary.total_checks, summary.failed) == (61, 0)
     observed = {r.market_metric: r.observations for r in found["market_planning_correlation"].collect()}
     assert observed["transactions"] == 9 and observed["national_rppi"] == 8
 
@@ -92,7 +126,8 @@ def test_all_exploration_tables(spark, built, tmp_path):
     _, sources = built
     tx = exploration.load_tx_eda(cleaning.clean_tx(sources.register))
     tables = exploration.all_tables(tx)
-    assert len(tables) == 18
-    writers.sink_reports(tables, str(tmp_path))
+    assert len(tables) == 18 and writers.GROWING_TABLES < set(tables)
+    stored = explore(sources.register, writers.Warehouse(spark, str(tmp_path / "warehouse")), str(tmp_path))
+    assert list(stored) == list(tables)
     for name in tables:
         assert len(spark.read.option("header", True).csv(f"{tmp_path}/{name}").take(1)) == 1

@@ -24,8 +24,10 @@ def test_register_in_code_page_1252(spark, tmp_path):
         + '02/03/2020,"two\r\nlines",Cork,E1,€5,Yes,No,nan,less than 38\r\n'
     )
     path = write(tmp_path / "register.csv", body, "cp1252")
-    got = readers.scan_tx_csv(spark, path).orderBy("Date of Sale (dd/mm/yyyy)").collect()
+    got = readers.scan_tx_csv(spark, path, multi_line=True).orderBy("Date of Sale (dd/mm/yyyy)").collect()
     first, second = got
+    with pytest.raises(Exception, match="(?i)malformed"):  # split files cannot hold quoted line breaks
+        readers.scan_tx_csv(spark, path).collect()
     assert first["Address"] == '1 "The Elms", Main St' and first["County"] == " Dún Laoghaire "
     assert first["Price (€)"] == "€1,000.00" and first["Description of Property"] == "x’y"
     assert first["Eircode"] is None and first["VAT Exclusive"] is None and first["Property Size Description"] is None
@@ -43,6 +45,17 @@ def test_register_columns_may_come_in_any_order(spark, tmp_path):
     assert row["Property Size Description"] == "v0" and list(row.asDict()) == schemas.REGISTER_SOURCE_COLUMNS
 
 
+def test_register_files_must_agree_on_their_columns(spark, tmp_path):
+    names = schemas.REGISTER_SOURCE_COLUMNS
+    values = ",".join(f"v{i}" for i in range(9))
+    write(tmp_path / "r" / "a.csv", f"{HEADER}\n{values}\n", "cp1252")
+    write(tmp_path / "r" / "b.csv", f"{HEADER}\n{values}\n", "cp1252")
+    assert readers.scan_tx_csv(spark, str(tmp_path / "r")).count() == 2
+    write(tmp_path / "r" / "c.csv", ",".join(names[::-1]) + f"\n{values}\n", "cp1252")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.scan_tx_csv(spark, str(tmp_path / "r")).collect()
+
+
 def test_index_folder_holds_one_file(spark, tmp_path):
     text = "Statistic Label,Month,Type of Residential Property,UNIT,VALUE\nl,2005 January,N,u,\n"
     write(tmp_path / "ix" / "a.csv", text)
