@@ -16,9 +16,10 @@ from landledger.llm.word_hashes import ALNUM, document_words, ngrams
 BITS = 20  # log2 of the number of weights
 STEM_BYTES = 4
 TRAIN_ROWS = 12_000
+_RANKS = 10**9
 EPOCHS = 8
 # FTRL-proximal: per-coordinate rate ALPHA / (BETA + sqrt(sum of squared gradients)), L1 and L2 strength
-ALPHA, BETA, L1, L2 = 1.0, 1.0, 4.0, 0.0
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 0.0
 _SALTS = [np.uint64(0x9E3779B97F4A7C15 * k % (1 << 64)) for k in (1, 3, 5, 7)]
 
 
@@ -56,7 +57,7 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ]
     if not rows:
         return
-    rows.sort(key=lambda row: row[0])
+    rows.sort(key=lambda row: row[:2])
     z = np.zeros((1 << BITS) + 1)  # the last weight is the intercept
     n = np.zeros_like(z)
     size = 1 << BITS
@@ -92,23 +93,24 @@ def fit(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Sparse weights (slot numbers, values) learnt from at most ``train_rows`` labelled rows.
 
-    The rows are those with the smallest digests of their ids among the labelled
+    The rows are those with the smallest hashes of their ids among the labelled
     rows outside the held-out quarter. FTRL is an online method, so the bounded
-    sample is one task's work; L1 leaves a few thousand weights, which are small
+    sample is one task's work; L1 leaves a few hundred weights, which are small
     enough to broadcast. Rows with a null label or id lend nothing. Without any
     labelled row the weights are empty.
     """
     key = F.col(id_column).cast("long")
-    chosen = (
+    eligible = (
         labels.select(key.alias("doc_id"), F.col(label_column).cast("int").alias("label"))
         .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out("doc_id"))
-        .withColumn("rank", F.md5(F.col("doc_id").cast("string").cast("binary")))
-        .orderBy("rank", "label")
-        .limit(train_rows)
+        .withColumn("rank", F.pmod(F.xxhash64("doc_id"), F.lit(_RANKS)))
     )
+    # few more than needed are sorted, however many labels there are
+    near = min(1.0, 1.2 * train_rows / max(eligible.count(), 1)) * _RANKS
+    chosen = eligible.filter(F.col("rank") < int(near)).orderBy("rank", "doc_id", "label").limit(train_rows)
     # the hint is safe: train_rows bounds this side
     rows = ids_and_texts(docs, id_column, text_column).join(F.broadcast(chosen), "doc_id")
-    slots = map_arrow(rows.select("rank", "label", "text"), _features, "rank string, label int, slots binary")
+    slots = map_arrow(rows.select("rank", "label", "text"), _features, "rank long, label int, slots binary")
     model = map_arrow(slots.repartition(1), _fit, "slot int, weight double").toPandas()
     return model["slot"].to_numpy(np.int32), model["weight"].to_numpy(np.float64)
 
