@@ -21,19 +21,26 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct(),
         "links",
     )
-    state = None
     for _ in range(max_rounds):
-        edges = _small_star(_large_star(edges))
-        edges = materialise(edges, "links")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if now == state:
+        if _are_stars(edges):
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
                 edges.select(F.col("v"), F.col("v")).distinct()
             )
-        state = now
+        edges = materialise(_small_star(_large_star(edges)), "links")
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most, and no node has both smaller and larger ones."""
+    seen = edges.select(F.col("u").alias("node"), F.col("v").alias("parent")).union(
+        edges.select(F.col("v"), F.lit(None).cast("long"))
+    )
+    twisted = seen.groupBy("node").agg(
+        F.min("parent").alias("low"), F.max("parent").alias("high"), F.bool_or(F.col("parent").isNull()).alias("centre")
+    ).filter("low < high OR (centre AND low IS NOT NULL)")
+    return twisted.isEmpty()
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the smallest node around it."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -41,11 +48,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
     smallest = materialise(
         both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "links"
     )
-    return both.filter("v > u").join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    # links come out twice at most; the next step folds them
+    return both.filter("v > u").join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link every smaller neighbour of a node, and the node, to the smallest of them."""
+    edges = materialise(edges, "links")
     smallest = materialise(edges.groupBy("u").agg(F.min("v").alias("m")), "links")
     return (
         edges.join(smallest, "u")

@@ -18,7 +18,7 @@ from landledger.storage import materialise
 BASE = 1.001  # spacing of the register values
 BANDS, BAND_REGISTERS = 30, 4
 REGISTERS = BANDS * BAND_REGISTERS
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 1
 DEVIATIONS = 5.0  # pairs whose estimate lies this many standard deviations too low are dropped
 _RANDOM = np.random.default_rng(7)
 _FACTORS = (_RANDOM.integers(0, 2**31, REGISTERS, dtype=np.uint32) << 1) + np.uint32(1)
@@ -97,8 +97,7 @@ def near_duplicates(
     Texts with the same words are one class and go on as one row. Every class gets
     a sketch; each band of four registers puts it into a bucket. At a similarity
     of 0.8 a pair misses all 30 bands once in ten million. Buckets do not emit
-    their pairs: each class is tested against bucket leaders, in rounds with
-    different leaders; such pairs are screened by size and by the likelihood estimate,
+    their pairs: each class is tested against the leaders of its buckets; such pairs are screened by size and by the likelihood estimate,
     then verified on the full sets. What is still apart in a bucket after that is compared in
     full, by joined pairs in a bucket of up to ``PAIRED_UPTO`` classes, and in blocks that
     emit links alone in larger ones. So a bucket of thousands of near copies costs a few
