@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from landledger import schemas
 from landledger.functions.numbers import ratio_pct, round_even
-from landledger.operators.series import set_coverage
 from landledger.plans.reports import (
     MARKET_METRICS,
     PLANNING_METRICS,
@@ -19,7 +18,6 @@ from landledger.plans.reports import (
     Years,
     by_year,
     market_with_planning,
-    money_total,
     total_of,
 )
 
@@ -210,52 +208,66 @@ def _source_output(source: Column, output: Column, show) -> tuple[Column, Column
     )
 
 
+def _rows_of(df: DataFrame, checks: Sequence[Sequence[Column]]) -> DataFrame:
+    """Several checks of a one-row table as rows, from one evaluation of it."""
+    return df.select(F.inline(F.array(*[F.struct(*check) for check in checks])))
+
+
 def qa_market_reconcile(
     reports: Mapping[str, DataFrame], monthly: DataFrame, years: Years, latest: int
 ) -> DataFrame:
-    """Counts and values of the latest completed and the partial year."""
-    parts = []
-    for year, report, label in (
-        (latest, "annual_market", f"{latest}"),
-        (years.partial, "market_ytd", f"{years.partial} YTD"),
-    ):
-        source = (
-            by_year(monthly)
-            .filter(F.col("year") == year)
-            .agg(total_of("transactions").alias("s_n"), money_total("total_value").alias("s_v"))
-        )
+    """Counts and values of the latest completed and the partial year; the mart is read once."""
+    compared = [
+        (0, latest, "annual_market", f"{latest}"),
+        (1, years.partial, "market_ytd", f"{years.partial} YTD"),
+    ]
+
+    def of_year(year: int, c: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("year") == year, F.col(c))), F.lit(0))
+
+    both = by_year(monthly).agg(
+        *[of_year(year, "transactions").alias(f"s_n{i}") for i, year, _, _ in compared],
+        *[of_year(year, "total_value").cast("decimal(28,2)").alias(f"s_v{i}") for i, year, _, _ in compared],
+    )
+    checks = []
+    for i, year, report, label in compared:
         output = (
             reports[report]
             .filter(F.col("year") == year)
-            .agg(F.max("transactions").alias("o_n"), F.max("total_value").alias("o_v"))
+            .agg(F.max("transactions").alias(f"o_n{i}"), F.max("total_value").alias(f"o_v{i}"))
         )
-        both = source.join(F.broadcast(output))
+        both = both.join(F.broadcast(output))
         for kind, s, o, show, suffix in (
-            ("transaction", "s_n", "o_n", grouped, " transactions"),
-            ("transaction-value", "s_v", "o_v", euros, ""),
+            ("transaction", f"s_n{i}", f"o_n{i}", grouped, " transactions"),
+            ("transaction-value", f"s_v{i}", f"o_v{i}", euros, ""),
         ):
             good, bad = _source_output(F.col(s), F.col(o), show)
-            parts.append(
-                both.select(
-                    *_result(
-                        f"{label} {kind} reconciliation",
-                        F.col(s) == F.col(o).cast("decimal(28,2)"),
-                        F.concat(good, F.lit(suffix)),
-                        bad,
-                    )
+            checks.append(
+                _result(
+                    f"{label} {kind} reconciliation",
+                    F.col(s) == F.col(o).cast("decimal(28,2)"),
+                    F.concat(good, F.lit(suffix)),
+                    bad,
                 )
             )
-    return union_all(parts)
+    return _rows_of(both, checks)
 
 
 def qa_county_coverage(report: DataFrame, county: DataFrame, latest: int) -> DataFrame:
+    """Counties of the latest year on both sides; each side is read once."""
     source = county.filter(F.col("sale_year") == latest)
-    gaps = set_coverage(source, report, "county").agg(
-        F.sort_array(F.collect_set(F.when(F.col("side") == "missing", F.col("county")))).alias("m"),
-        F.sort_array(F.collect_set(F.when(F.col("side") == "extra", F.col("county")))).alias("x"),
+    sides = (
+        source.select("county", F.lit(1).alias("s"), F.lit(0).alias("r"))
+        .unionByName(report.select("county", F.lit(0).alias("s"), F.lit(1).alias("r")))
+        .filter(F.col("county").isNotNull())
+        .groupBy("county")
+        .agg(F.max("s").alias("s"), F.max("r").alias("r"))
     )
-    counted = source.agg(F.countDistinct("county").alias("n"))
-    return gaps.join(F.broadcast(counted)).select(
+    return sides.agg(
+        F.count_if(F.col("s") == 1).alias("n"),
+        F.sort_array(F.collect_set(F.when(F.col("r") == 0, F.col("county")))).alias("m"),
+        F.sort_array(F.collect_set(F.when(F.col("s") == 0, F.col("county")))).alias("x"),
+    ).select(
         *_result(
             f"{latest} county coverage",
             (F.size("m") == 0) & (F.size("x") == 0),
@@ -319,21 +331,19 @@ def qa_rates(report: DataFrame, latest: int) -> DataFrame:
     def pct(c: Column) -> Column:
         return F.coalesce(F.format_string("%.2f%%", c), F.lit("none"))
 
-    parts = []
+    checks = []
     for kind, part in (("grant", "granted_applications"), ("refusal", "refused_applications")):
         expected = ratio_pct(part, "applications")
         actual = round_even(f"{kind}_rate_pct", 2)
-        parts.append(
-            row.select(
-                *_result(
-                    f"Planning {kind}-rate calculation",
-                    expected == actual,
-                    pct(actual),
-                    F.concat(F.lit("Expected="), pct(expected), F.lit(", Actual="), pct(actual)),
-                )
+        checks.append(
+            _result(
+                f"Planning {kind}-rate calculation",
+                expected == actual,
+                pct(actual),
+                F.concat(F.lit("Expected="), pct(expected), F.lit(", Actual="), pct(actual)),
             )
         )
-    return union_all(parts)
+    return _rows_of(row, checks)
 
 
 def qa_corr_observations(report: DataFrame, marts: Marts) -> DataFrame:
