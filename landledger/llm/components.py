@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from landledger.llm.text_tables import narrow
 from landledger.storage import materialise
 
 
@@ -46,7 +47,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     # stored, as below: a join of two exchanges can be split at hot nodes, one on an aggregate cannot
     smallest = materialise(
-        both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "links"
+        narrow(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))), "links"
     )
     # links come out twice at most; the next step folds them
     return both.filter("v > u").join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -55,7 +56,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link every smaller neighbour of a node, and the node, to the smallest of them."""
     edges = materialise(edges, "links")
-    smallest = materialise(edges.groupBy("u").agg(F.min("v").alias("m")), "links")
+    smallest = materialise(narrow(edges.groupBy("u").agg(F.min("v").alias("m"))), "links")
     return (
         edges.join(smallest, "u")
         .select(F.when(F.col("v") > F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from landledger.llm.arrow_tasks import map_arrow
 from landledger.llm.components import connected_components
-from landledger.llm.text_tables import ids_and_texts
+from landledger.llm.text_tables import ids_and_texts, narrow
 from landledger.llm.word_hashes import NOT_SPACE, document_words, mix, ngrams
 from landledger.storage import materialise
 
@@ -191,7 +191,7 @@ def _buckets(leaders: DataFrame) -> DataFrame:
     """(bucket, node) of buckets with two classes or more."""
     rows = leaders.select("node", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("bucket")
-    return rows.join(materialise(shared, "shared-buckets"), "bucket").select("bucket", "node")
+    return rows.join(materialise(narrow(shared), "shared-buckets"), "bucket").select("bucket", "node")
 
 
 def _components(docs, leaders, buckets, inside, k, percent, id_column, text_column) -> DataFrame:
@@ -211,7 +211,7 @@ def _components(docs, leaders, buckets, inside, k, percent, id_column, text_colu
         if turn < LEADER_ROUNDS:
             pairs = _leader_pairs(labelled, turn)
         else:
-            sizes = materialise(_bucket_sizes(labelled), "bucket-sizes")
+            sizes = materialise(narrow(_bucket_sizes(labelled)), "bucket-sizes")
             pairs = _pairs_across(labelled.join(sizes, "bucket").filter(F.col("size") <= PAIRED_UPTO))
         pairs = pairs.distinct()
         if tested is not None:
@@ -231,7 +231,7 @@ def _components(docs, leaders, buckets, inside, k, percent, id_column, text_colu
         apart = joined.groupBy("bucket").agg(
             F.min("component").alias("low"), F.max("component").alias("high")
         ).filter("low < high").select("bucket")
-        labelled = materialise(joined.join(materialise(apart, "apart-buckets"), "bucket"), "apart")
+        labelled = materialise(joined.join(materialise(narrow(apart), "apart-buckets"), "bucket"), "apart")
         if labelled.isEmpty():
             break
     return components
@@ -299,7 +299,7 @@ def _links_across(large: DataFrame, leaders: DataFrame, texts: DataFrame, k: int
 def _leader_pairs(labelled: DataFrame, turn: int) -> DataFrame:
     """Every class of a bucket with the bucket's leader of this round, if they are in different components."""
     rank = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node", "component")
-    leader = materialise(labelled.groupBy("bucket").agg(F.min(rank).alias("leader")), "bucket-leaders")
+    leader = materialise(narrow(labelled.groupBy("bucket").agg(F.min(rank).alias("leader"))), "bucket-leaders")
     return (
         labelled.join(leader, "bucket")
         .filter("component <> leader.component")

@@ -17,6 +17,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def narrow(df: DataFrame) -> DataFrame:
+    """An aggregate of short rows in an eighth of the shuffle's partitions, without a further shuffle.
+
+    Such tables hold a few numbers where the texts behind them hold thousands of bytes.
+    """
+    return df.coalesce(max(1, shuffle_partitions(df.sparkSession) // 8))
+
+
 def ids_and_texts(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The two columns as (doc_id long, text string, never null)."""
     return df.select(
