@@ -122,6 +122,8 @@ def repeated_passages(
     Result, one row per passage and document: doc_id, start and end (bytes of the
     UTF-8 text), n_words, n_chunks, first_doc_id (smallest document that holds a part of
     it) and kept (every part has its first document here; elsewhere the passage is a repeat).
+    A run of which some chunks have their first document here and some elsewhere gives a passage
+    for each such piece, however short.
 
     Texts are cut where a rolling hash of their last 8 bytes says so, into chunks
     of about 24 bytes; chunks are compared by digest. Consecutive chunks that each stand
@@ -156,11 +158,15 @@ def repeated_passages(
         .drop("digest")
     )
     along = Window.partitionBy("row").orderBy("start")
+    own = F.col("first_doc_id") == F.col("doc_id")
     apart = F.coalesce(F.lag("end").over(along) != F.col("start"), F.lit(True))
-    return (
-        places.withColumn("new", apart.cast("int"))
+    pieces = (
+        places.withColumn("own", own)
+        .withColumn("new", apart.cast("int"))
+        .withColumn("turns", (apart | (F.lag("own").over(along) != F.col("own"))).cast("int"))
         .withColumn("run", F.sum("new").over(along))
-        .groupBy("row", "run")
+        .withColumn("piece", F.sum("turns").over(along))
+        .groupBy("row", "run", "piece")
         .agg(
             F.first("doc_id").alias("doc_id"),
             F.min("start").cast("long").alias("start"),
@@ -168,11 +174,12 @@ def repeated_passages(
             F.sum("n_words").alias("n_words"),
             F.count(F.lit(1)).alias("n_chunks"),
             F.min("first_doc_id").alias("first_doc_id"),
-            F.max("first_doc_id").alias("_last_first"),
-        )
-        .filter(F.col("n_words") >= run_words)
-        .select(
-            "doc_id", "start", "end", "n_words", "n_chunks", "first_doc_id",
-            (F.col("_last_first") == F.col("doc_id")).alias("kept"),
+            F.first("own").alias("kept"),
         )
     )
+    # the whole run is judged, so that its pieces are not lost for being short
+    return (
+        pieces.withColumn("run_words", F.sum("n_words").over(Window.partitionBy("row", "run")))
+        .filter(F.col("run_words") >= run_words)
+        .select("doc_id", "start", "end", "n_words", "n_chunks", "first_doc_id", "kept")
+    )

@@ -145,6 +145,22 @@ def test_substring_dedup(spark, odd, none):
     assert repeated_passages(twice).collect() == []  # repeats within one document do not count
 
 
+def test_substring_dedup_of_a_copy_that_embeds_a_passage(spark):
+    """A passage of an earlier document is a repeat in the first member of a group of copies, too."""
+    passage, text = prose(60, 7), prose(80, 8)
+    rows = [(1, passage, "s"), (7, text + " " + passage, "s"), (9, text + " " + passage, "s")]
+    found = sorted(repeated_passages(docs_of(spark, rows)).collect(), key=lambda r: (r.doc_id, r.start))
+    of = lambda i: [r for r in found if r.doc_id == i]
+    assert [(r.first_doc_id, r.kept) for r in of(7)] == [(7, True), (1, False)]
+    first, repeat = of(7)
+    assert (first.start, first.end, repeat.end) == (0, repeat.start, len(rows[1][1]))
+    assert len(text) < repeat.start < len(text) + 100 and repeat.n_words > 40
+    assert all(r.kept for r in of(1)) and len(of(9)) == 1 and not of(9)[0].kept
+    # pieces shorter than run_words stay if their run is long enough
+    short = {(r.doc_id, r.start, r.end) for r in repeated_passages(docs_of(spark, rows), run_words=100).collect()}
+    assert {k for k in short if k[0] == 7} == {(7, r.start, r.end) for r in of(7)} and repeat.n_words < 100
+
+
 @pytest.mark.parametrize("most_broadcast", [1_000, 4])
 @pytest.mark.parametrize("block", [2_000, 7])
 def test_contamination_equals_brute_force(spark, monkeypatch, most_broadcast, block):
