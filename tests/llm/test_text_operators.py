@@ -249,6 +249,40 @@ def test_long_conversations(spark):
         format_conversations(df, numbered).collect()
 
 
+def test_conversations_are_not_cut_between_tasks(spark):
+    """What a template puts before the first turn stands once, and rewrites are counted, however many tasks there are."""
+
+    def begun(messages):
+        return "<bos>" + "".join(f"[{r}]{t}\n" for r, t in messages)
+
+    def forgetful(messages):
+        last = len(messages) - 1
+        return "".join(f"[{r}]{t if r == 'user' or i == last else ''}\n" for i, (r, t) in enumerate(messages))
+
+    turns = [(c, i, ["user", "assistant"][i % 2], f"text {c} {i}") for c in range(40) for i in range(4)]
+    turns += [(100, i, ["user", "assistant"][i % 2], f"text {i}") for i in range(60)]
+    df = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")
+    wanted = {c: [(r, t) for own, _, r, t in turns if own == c] for c in [*range(40), 100]}
+    for render, rewrites in ((begun, lambda n: 0), (forgetful, lambda n: n // 2 - 1)):
+        rows = format_conversations(df, render, partitions=23).collect()
+        assert sorted((r.conv_id, r.n_turns, r.formatted) for r in rows) == sorted((c, len(m), render(m)) for c, m in wanted.items())
+        assert all(r.rewrites == rewrites(r.n_turns) for r in rows)
+
+
+def test_seams_of_long_conversations(spark):
+    def begun(messages):
+        return "<bos>" + "".join(f"[{r}]{t}\n" for r, t in messages)
+
+    def reminded(messages):  # tells the first turn again after every hundred
+        return "".join(f"{t}\n" + (f"({messages[0][1]})\n" if i % 100 == 99 else "") for i, (_, t) in enumerate(messages))
+
+    turns = [(1, i, ["user", "assistant"][i % 2], f"text {i}") for i in range(300)]
+    df = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")
+    for render, partitions in ((begun, 40), (reminded, 1)):  # no task of the first has as many turns as a piece
+        with pytest.raises(Exception, match="cut into pieces"):
+            format_conversations(df, render, partitions=partitions).collect()
+
+
 def test_urls(spark):
     rows = [(1, None), (2, "no scheme"), (3, "HTTP://A.Com?x"), (4, "http://"), (5, "a://b://c/d"), (6, ""), (6, ""), (None, "x://b.net/es/")]
     pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("rule", F.lit(1))
