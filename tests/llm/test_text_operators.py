@@ -308,6 +308,28 @@ def test_urls_beyond_the_rules(spark):
     assert sum(new) >= 0.95 * len(new)
 
 
+def test_repeated_urls_leave_the_training_rows(spark, monkeypatch):
+    """Verdicts and scores do not depend on how often each url is repeated, and training takes all rows it may."""
+    import landledger.llm.url_filter as module
+
+    trained = []
+
+    def noted(df, label):
+        stored = df.localCheckpoint()
+        if label == "url-train":
+            trained.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(module, "materialise", noted)
+    urls = [(i, f"https://h{i}.{'ok' if i % 2 else 'bad'}.test/{prose(2, i).replace(' ', '/')}") for i in range(400)]
+    urls += [(1000 + i, f"http://x{i}.new.test/{prose(1, -i)}") for i in range(20)]
+    rules = [("ok.test/", "allow"), ("bad.test/", "block")]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    repeated = pages.crossJoin(spark.range(100).select(F.col("id").alias("copy"))).drop("copy")
+    found = [{(r.page_id, r.verdict, r.score) for r in url_filter(p, rules, train_rows=200).collect()} for p in (pages, repeated)]
+    assert trained == [200, 200] and found[0] == found[1]
+
+
 def test_mixing_budgets(spark):
     leaves = [("a", "en", "s1", 1000), ("a", "en", "s2", 10), ("a", "de", "s3", 50), ("b", "en", "s4", 300), ("b", "fr", "s5", 0)]
     tokens = spark.createDataFrame(leaves, "domain string, lang string, source string, tokens long")
