@@ -19,6 +19,7 @@ GEAR_WINDOW = 8  # bytes that decide about a cut
 CUT_ONE_IN = 12  # share of places that may be cuts
 LEAST_BYTES, MOST_BYTES = 8, 4096
 RUN_WORDS = 24
+RUN_BYTES = 150  # what 24 words take
 _GEAR = np.random.default_rng(11).integers(0, 2**32, 256, dtype=np.uint32)
 _CUT_BELOW = np.uint32(2**32 // CUT_ONE_IN)
 _CONTEXT = GEAR_WINDOW + LEAST_BYTES + 1
@@ -115,7 +116,11 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_passages(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", run_words: int = RUN_WORDS
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    run_words: int = RUN_WORDS,
+    run_bytes: int = RUN_BYTES,
 ) -> DataFrame:
     """Passages that stand in two documents or more.
 
@@ -127,8 +132,8 @@ def repeated_passages(
 
     Texts are cut where a rolling hash of their last 8 bytes says so, into chunks
     of about 24 bytes; chunks are compared by digest. Consecutive chunks that each stand
-    in another document too form a passage if they hold ``run_words`` words. The
-    first and last words of a repeated passage lie in chunks that reach beyond it, so a
+    in another document too form a passage if they hold ``run_words`` words or ``run_bytes`` bytes,
+    which counts where a script or data has no spaces. The first and last words of a repeated passage lie in chunks that reach beyond it, so a
     repeat of fifty words shows as a run of about forty: the default finds those and
     leaves repeated single lines alone.
 
@@ -178,8 +183,10 @@ def repeated_passages(
         )
     )
     # the whole run is judged, so that its pieces are not lost for being short
+    whole = Window.partitionBy("row", "run")
     return (
-        pieces.withColumn("run_words", F.sum("n_words").over(Window.partitionBy("row", "run")))
-        .filter(F.col("run_words") >= run_words)
+        pieces.withColumn("run_words", F.sum("n_words").over(whole))
+        .withColumn("run_bytes", F.sum(F.col("end") - F.col("start")).over(whole))
+        .filter((F.col("run_words") >= run_words) | (F.col("run_bytes") >= run_bytes))
         .select("doc_id", "start", "end", "n_words", "n_chunks", "first_doc_id", "kept")
     )

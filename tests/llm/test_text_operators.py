@@ -161,6 +161,19 @@ def test_substring_dedup_of_a_copy_that_embeds_a_passage(spark):
     assert {k for k in short if k[0] == 7} == {(7, r.start, r.end) for r in of(7)} and repeat.n_words < 100
 
 
+def test_substring_dedup_without_spaces(spark):
+    """Repeats in scripts without spaces have few words, however long they are."""
+    rng = random.Random(12)
+    signs = lambda n: "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(n))
+    passage, short = signs(150), signs(20)
+    rows = [(i, signs(100) + (passage if i < 3 else short) + signs(100), "s") for i in range(6)]
+    found = repeated_passages(docs_of(spark, rows)).collect()
+    assert sorted((r.doc_id, r.kept) for r in found) == [(0, True), (1, False), (2, False)]
+    texts = {i: t.encode() for i, t, _ in rows}
+    for r in found:
+        assert texts[r.doc_id][r.start : r.end] in passage.encode() and r.end - r.start >= 300 and r.n_words < 24
+
+
 @pytest.mark.parametrize("most_broadcast", [1_000, 4])
 @pytest.mark.parametrize("block", [2_000, 7])
 def test_contamination_equals_brute_force(spark, monkeypatch, most_broadcast, block):
