@@ -93,8 +93,9 @@ def fit(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Sparse weights (slot numbers, values) learnt from at most ``train_rows`` labelled rows.
 
-    The rows are those with the smallest hashes of their ids among the labelled
-    rows outside the held-out quarter. FTRL is an online method, so the bounded
+    The rows are those with the smallest hashes of their ids among the distinct labelled
+    rows outside the held-out quarter, each with one text: of documents that share an id the one
+    with the smallest digest. FTRL is an online method, so the bounded
     sample is one task's work; L1 leaves a few hundred weights, which are small
     enough to broadcast. Rows with a null label or id lend nothing. Without any
     labelled row the weights are empty.
@@ -106,10 +107,16 @@ def fit(
         .withColumn("rank", F.pmod(F.xxhash64("doc_id"), F.lit(_RANKS)))
     )
     # few more than needed are sorted, however many labels there are
-    near = min(1.0, 1.2 * train_rows / max(eligible.count(), 1)) * _RANKS
-    chosen = eligible.filter(F.col("rank") < int(near)).orderBy("rank", "doc_id", "label").limit(train_rows)
+    ids = eligible.agg(F.approx_count_distinct("doc_id", 0.02)).first()[0]
+    near = min(1.0, 1.2 * train_rows / max(ids, 1)) * _RANKS
+    chosen = eligible.filter(F.col("rank") < int(near)).distinct().orderBy("rank", "doc_id", "label").limit(train_rows)
     # the hint is safe: train_rows bounds this side
-    rows = ids_and_texts(docs, id_column, text_column).join(F.broadcast(chosen), "doc_id")
+    rows = (
+        ids_and_texts(docs, id_column, text_column)
+        .join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "rank", "label")
+        .agg(F.min_by("text", F.sha2(F.col("text").cast("binary"), 256)).alias("text"))
+    )
     slots = map_arrow(rows.select("rank", "label", "text"), _features, "rank long, label int, slots binary")
     model = map_arrow(slots.repartition(1), _fit, "slot int, weight double").toPandas()
     return model["slot"].to_numpy(np.int32), model["weight"].to_numpy(np.float64)

@@ -410,3 +410,24 @@ def test_toxicity_odd_rows(spark, odd, none):
     assert len(rows) == 400 + odd.count()
     held = [r for r in rows if r.held_out and r.doc_id is not None and r.doc_id > 10]
     assert all(r.predicted == int(r.doc_id % 4 == 0) for r in held) and len(held) > 50
+
+
+def test_toxicity_training_rows_are_bounded(spark, monkeypatch):
+    """Documents that share a labelled id lend one text, and repeated labels take one place."""
+    import landledger.llm.toxicity as module
+
+    sizes, map_arrow = [], module.map_arrow
+
+    def noted(df, function, schema):
+        if function is module._fit:
+            sizes.append(df.count())
+        return map_arrow(df, function, schema)
+
+    monkeypatch.setattr(module, "map_arrow", noted)
+    # each id has two documents and five labels
+    docs = docs_of(spark, [(i % 200, prose(10, i), "s") for i in range(400)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200) for _ in range(5)], "doc_id long, toxic int")
+    open_ids = docs.select("doc_id").distinct().filter(~module.held_out()).count()
+    for most, wanted in ((1_000, open_ids), (50, 50)):
+        module.fit(docs, labels, train_rows=most)
+        assert sizes.pop() == wanted
