@@ -14,6 +14,7 @@ from landledger.llm.license_scan import license_scan
 from landledger.llm.license_texts import NOTICES, PHRASES
 from landledger.llm.mixing import WEIGHTS, mix
 from landledger.llm.near_dedup import near_duplicates
+from landledger.llm.packing import pack
 from landledger.llm.resharding import reshard
 from landledger.llm.substring_dedup import repeated_passages
 from landledger.llm.text_tables import table
@@ -207,3 +208,13 @@ def op9_resharding(spark, sf_dir):
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "old_shard",
     )
+
+
+@query("op12_packing")
+def op12_packing(spark, sf_dir):
+    import public_tokenizers  # only this query needs the vocabulary files
+
+    pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
