@@ -15,6 +15,7 @@ from landledger.llm.license_texts import NOTICES, PHRASES
 from landledger.llm.mixing import WEIGHTS, mix
 from landledger.llm.near_dedup import near_duplicates
 from landledger.llm.packing import pack
+from landledger.llm.phrase_mining import mine_phrases
 from landledger.llm.resharding import reshard
 from landledger.llm.substring_dedup import repeated_passages
 from landledger.llm.text_tables import table
@@ -218,3 +219,32 @@ def op12_packing(spark, sf_dir):
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query(
+    "op13_phrase_mining",
+    r"""WITH pieces AS (SELECT lang, row_number() OVER () AS piece, string_split_regex(p, '[\x20\x09]+') AS parts FROM (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+    words AS (SELECT lang, [x FOR x IN parts IF x <> ''] AS w FROM pieces),
+    totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+    places AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+        FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM words, (VALUES (1), (2), (3), (4)) AS v(m))),
+    often AS (SELECT lang, phrase, any_value(m) AS m, count(*) AS f FROM places GROUP BY lang, phrase HAVING count(*) >= 30),
+    candidates AS (SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS w FROM often WHERE m > 1),
+    cuts AS (SELECT c.lang, c.phrase, a, k, l.f AS l, r.f AS r,
+            (CAST(a AS HUGEINT) * 2000000) // (CAST(l.f AS HUGEINT) + r.f) AS score
+        FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates) c
+        JOIN often l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:k], ' ')
+        JOIN often r ON r.lang = c.lang AND r.phrase = array_to_string(w[k + 1:c.m], ' ')),
+    lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    inner_ones AS (SELECT lang, a, array_to_string(w[i:i + s - 1], ' ') AS phrase
+        FROM (SELECT *, unnest(range(1, m - s + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS s FROM candidates WHERE m > 2))),
+    covers AS (SELECT lang, phrase, max(a) AS longer FROM inner_ones GROUP BY lang, phrase),
+    ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+            phrase, a, l, r, score FROM lowest LEFT JOIN covers USING (lang, phrase)
+        WHERE coalesce(100 * CAST(longer AS HUGEINT) < 80 * CAST(a AS HUGEINT), true))
+    SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
+)
+def op13_phrase_mining(spark, sf_dir):
+    return mine_phrases(table(spark, sf_dir, "documents"))
