@@ -26,7 +26,8 @@ PIECES = (
 )
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_TOKENIZERS: dict[str, object] = {}
+MOST_KNOWN = 500_000  # words whose ids a worker process keeps from slice to slice
+_TOKENIZERS: dict[str, _Words] = {}
 
 
 def pack(
@@ -54,7 +55,7 @@ def pack(
     Every partition of ``docs`` is packed where it lies: nothing is shuffled, a hot source or group of copies makes
     no difference, and sequence ids begin with the partition's number. A task that is run again gives the same
     pieces if its rows come in the same order, as those of a stored table do; store other inputs first.
-    Memory: a slice of text, ``OPEN_WINDOWS`` windows, and the ids of one document.
+    Memory: a slice of text, the ids of ``MOST_KNOWN`` words and of ``OPEN_WINDOWS`` windows, and those of one document.
 
     The tokenizer file is read on the driver and broadcast (its size is its vocabulary's, some megabytes). Texts
     are cut at ASCII white space and distinct words are tokenised once a slice; a tokenizer that joins words across
@@ -69,15 +70,15 @@ def pack(
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(shared.value)
+        words = _words(shared.value)
         packer = _Packer(capacity, TaskContext.get().partitionId() << 40)
         tested = False
         for batch in batches:
             texts, doc_ids = batch.column("text"), batch.column("doc_id").to_pylist()
             if not tested and batch.num_rows:
-                _test_words(tokenizer, texts[0].as_py())
+                _test_words(words, texts[0].as_py())
                 tested = True
-            for row, ids, offsets in _token_slices(texts, tokenizer):
+            for row, ids, offsets in _token_slices(texts, words):
                 for i in range(len(offsets) - 1):
                     packer.add(doc_ids[row + i], np.append(ids[offsets[i] : offsets[i + 1]], np.uint32(end_id)))
                 if packer.done:
@@ -98,48 +99,74 @@ def sequences(pieces: DataFrame) -> DataFrame:
     )
 
 
-def _tokenizer(content: str):
-    """The tokenizer, built once a worker process."""
-    key = hashlib.sha256(content.encode()).hexdigest()
-    if key not in _TOKENIZERS:
+class _Words:
+    """Ids of words: those seen first are kept, up to ``MOST_KNOWN``, the others are tokenised again in each slice."""
+
+    def __init__(self, content: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
-        _TOKENIZERS[key] = Tokenizer.from_str(content)
+        self.tokenizer = Tokenizer.from_str(content)
+        self.known = pa.array([], pa.large_string())
+        self.ids, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64)
+
+    def ids_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and for each of the distinct ``words`` the place of its first id and their number."""
+        words = words.cast(pa.large_string())
+        at = pc.index_in(words, self.known)
+        new = words.filter(at.is_null())
+        new_ids, new_sizes = self._tokenise(new.to_pylist())
+        ids, sizes = np.concatenate([self.ids, new_ids]), np.concatenate([self.sizes, new_sizes])
+        place = at.fill_null(-1).to_numpy().astype(np.int64)
+        place[place < 0] = len(self.known) + np.arange(len(new))
+        keep = min(len(new), MOST_KNOWN - len(self.known))
+        if keep > 0:
+            self.known = pa.concat_arrays([self.known, new.slice(0, keep)])
+            self.sizes = sizes[: len(self.known)].copy()
+            self.ids = ids[: self.sizes.sum()].copy()
+        return ids, (np.cumsum(sizes) - sizes)[place], sizes[place]
+
+    def _tokenise(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        for i in range(0, len(words), WORDS_A_CALL):
+            some = words[i : i + WORDS_A_CALL]
+            found = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(found.ids, np.uint32))
+            sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+
+def _words(content: str) -> _Words:
+    """The tokenizer of a file's content, built once a worker process."""
+    key = hashlib.sha256(content.encode()).hexdigest()
+    if key not in _TOKENIZERS:
+        _TOKENIZERS[key] = _Words(content)
     return _TOKENIZERS[key]
 
 
-def _test_words(tokenizer, text: str) -> None:
+def _test_words(words: _Words, text: str) -> None:
     """Raise if the words of a text have other ids alone than in the text (its first 64 KB, cut at a blank)."""
     if len(text) > 1 << 16:
         text = text[: 1 << 16].rsplit(" ", 1)[0]
-    ids, _ = _encode(pa.array([text], pa.large_string()), tokenizer)
-    if ids.tolist() != tokenizer.encode(text, add_special_tokens=False).ids:
+    ids, _ = _encode(pa.array([text], pa.large_string()), words)
+    if ids.tolist() != words.tokenizer.encode(text, add_special_tokens=False).ids:
         raise ValueError("this tokenizer joins words across white space; their ids cannot be looked up word by word")
 
 
-def _encode(texts: pa.Array, tokenizer) -> tuple[np.ndarray, np.ndarray]:
+def _encode(texts: pa.Array, words: _Words) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after another and the offsets of each text in them."""
-    words = pc.ascii_split_whitespace(texts)
-    coded = words.flatten().dictionary_encode()
-    known = coded.dictionary.to_pylist()
-    ids, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
-    for i in range(0, len(known), WORDS_A_CALL):
-        some = known[i : i + WORDS_A_CALL]
-        found = tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
-        ids.append(np.array(found.ids, np.uint32))
-        sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
-    ids, sizes = np.concatenate(ids), np.concatenate(sizes)
-    first = np.cumsum(sizes) - sizes
+    split = pc.ascii_split_whitespace(texts)
+    coded = split.flatten().dictionary_encode()
+    ids, first, sizes = words.ids_of(coded.dictionary)
     at = coded.indices.to_numpy(zero_copy_only=False)
     lengths = sizes[at]
     ends = np.concatenate([[0], np.cumsum(lengths)])
     gathered = ids[np.arange(ends[-1]) + np.repeat(first[at] - ends[:-1], lengths)]
-    offsets = words.offsets.to_numpy() - words.offsets[0].as_py()
+    offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
     return gathered, ends[offsets]
 
 
-def _token_slices(texts: pa.Array, tokenizer) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _token_slices(texts: pa.Array, words: _Words) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, ids, offsets by row) of slices of about ``SLICE_BYTES``; a longer text is cut at blanks."""
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
     row = 0
@@ -147,9 +174,9 @@ def _token_slices(texts: pa.Array, tokenizer) -> Iterator[tuple[int, np.ndarray,
         before = int(ends[row - 1]) if row else 0
         stop = max(row + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
         if int(ends[stop - 1]) - before <= SLICE_BYTES:
-            yield row, *_encode(texts.slice(row, stop - row), tokenizer)
+            yield row, *_encode(texts.slice(row, stop - row), words)
         else:
-            ids = np.concatenate([_encode(part, tokenizer)[0] for part in _parts(texts[row].as_buffer())])
+            ids = np.concatenate([_encode(part, words)[0] for part in _parts(texts[row].as_buffer())])
             yield row, ids, np.array([0, len(ids)])
         row = stop
 
