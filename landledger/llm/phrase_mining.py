@@ -19,10 +19,11 @@ MOST_WORDS = 4
 MIN_COUNT, TOP, COVER = 30, 2000, 80
 SCALE = 2_000_000
 SAMPLE, SAMPLE_COUNT, SEED = 0.125, 2, 11
-SLICE_BYTES = 8 << 20  # text whose phrases are counted together before they leave the task
+SLICE_BYTES = 4 << 20  # text whose phrases are counted together before they leave the task
 MOST_BITS = 1 << 28  # of a filter: 32 MB
+BATCH_ROWS = 1 << 17  # rows that leave a task at once
 BITMAP_BITS = 32_768  # bits of one group of bitmap_construct_agg
-GRAMS = "lang string, phrase string, words int, known boolean, count long"
+GRAMS = "gram string, count long"
 
 _FOLD = np.arange(256, dtype=np.uint8)  # A-Z to lower case, tab to blank
 _FOLD[65:91] += 32
@@ -118,14 +119,16 @@ def frequent_phrases(
     A ``sample`` of the rows proposes phrases, those it holds ``SAMPLE_COUNT`` times. A full pass counts
     the proposals and their negative border: phrases of which both the first and the last words but
     one are proposed. A phrase outside both has a part that is no more frequent and not proposed. Where a border
-    phrase turns out frequent, a further pass counts what is in the border of all frequent phrases found so far and was not
-    counted before, until a pass finds none: at most as many further passes as a phrase has words. So the
-    result does not depend on the sample.
+    phrase turns out frequent, a further pass counts what was not counted before and grows from frequent phrases: its
+    first and its last words but one are frequent, or not counted before either. Passes go on until no phrase
+    turns out frequent whose longer forms were left out. So the result does not depend on the sample.
 
     Whether a phrase is proposed is told by a Bloom filter, sixteen bits a phrase up to ``MOST_BITS``, the only data
     that is broadcast: phrases it takes by mistake are counted too, which costs time and changes nothing. Counts are
     summed within slices of text, then by Spark with partial sums, by the phrase's own text.
     """
+    if not 2 <= longest <= 9:
+        raise ValueError("phrases have 2 to 9 words")
     rows = docs.select(
         F.coalesce(F.col(lang_column).cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"),
@@ -146,7 +149,7 @@ def frequent_phrases(
 def _proposals(rows: DataFrame, longest: int):
     """Filter of the phrases that a sample holds ``SAMPLE_COUNT`` times: words and pairs, then what pairs make."""
     often = F.col("f") >= SAMPLE_COUNT
-    short = materialise(_counts(rows, [None], min(2, longest), tested=0).filter(often & (F.col("words") > 0)), "phrase-sample")
+    short = materialise(_counts(rows, [None], 2, tested=0).filter(often & (F.col("words") > 0)), "phrase-sample")
     if longest <= 2:
         return _filter(short)
     long = _counts(rows, [_filter(short)], longest - 1, tested=2, shortest=3).filter(often)
@@ -166,14 +169,22 @@ def _counts(rows: DataFrame, filters: Sequence, longest: int, tested: int, short
                 own = lang_of[first_row : first_row + len(offsets) - 1]
                 yield from _slice_counts(data, offsets, own, langs, blooms, longest, tested, shortest, context)
 
-    grams = map_arrow(rows, counted, GRAMS)
-    return grams.groupBy("lang", "phrase", "words", "known").agg(F.sum("count").alias("f"))
+    # one key column makes short rows: number of words, known or not, phrase, and the language behind a line break
+    grams = map_arrow(rows, counted, GRAMS).groupBy("gram").agg(F.sum("count").alias("f"))
+    body = F.expr("substring(gram, 3)")
+    return grams.select(
+        F.substring_index(body, "\n", 1).alias("phrase"),
+        F.expr("substring(gram, 4 + length(substring_index(substring(gram, 3), '\n', 1)))").alias("lang"),
+        F.substring("gram", 1, 1).cast("int").alias("words"),
+        (F.substring("gram", 2, 1) == "1").alias("known"),
+        "f",
+    ).select("lang", F.when(F.col("words") > 0, F.col("phrase")).alias("phrase"), "words", "known", "f")
 
 
 def _slices(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
     """(bytes, row offsets, first row, words of context) of slices of about ``SLICE_BYTES``.
 
-    A longer text is cut at gaps; each part but the first begins with up to three words of the one before.
+    A longer text is cut at gaps; each part but the first begins with up to eight words of the one before.
     """
     data, ends = buffers(texts)
     row = 0
@@ -208,20 +219,21 @@ def _word_count(data: np.ndarray) -> int:
 
 
 def _last_words(part: np.ndarray) -> np.ndarray:
-    """Up to three last words of the last piece of a part, each with a blank behind it."""
+    """Up to eight last words of the last piece of a part, each with a blank behind it."""
     folded = _FOLD[part]
     breaks = np.flatnonzero(_BREAK[folded])
     tail = folded[int(breaks[-1]) + 1 :] if len(breaks) else folded
     words = bytes(tail).rsplit(b" ")
-    return np.frombuffer(b"".join(w + b" " for w in [w for w in words if w][-(MOST_WORDS - 1) :]), np.uint8)
+    return np.frombuffer(b"".join(w + b" " for w in [w for w in words if w][-8:]), np.uint8)
 
 
 def _slice_counts(data, offsets, lang_of_row, langs, blooms, longest, tested, shortest, context):
-    """Record batches of (lang, phrase, words, known, count) of one slice of text.
+    """Record batches of (gram, count) of one slice of text.
 
     A phrase of one word is taken by every filter. A longer one is taken by a filter that knows its first and its last
-    words but one, where the filter knows a phrase if it takes it and, up to ``tested`` words, holds
-    it. Counted is what the last filter takes and no earlier one.
+    words but one. A filter knows a phrase that it takes and, up to ``tested`` words, holds; filters after the first
+    also know what no earlier one took, as it was not counted yet and may be frequent. Counted is what
+    the last filter takes and no earlier one.
     """
     text = _FOLD[data]
     blank = text == 32
@@ -253,7 +265,7 @@ def _slice_counts(data, offsets, lang_of_row, langs, blooms, longest, tested, sh
     if shortest == 1 and len(blooms) == 1:
         per_lang = np.bincount(lang, weights=fresh, minlength=len(langs)).astype(np.int64)
         some = np.flatnonzero(per_lang)
-        yield _batch(langs[some], pa.nulls(len(some), pa.string()), 0, np.ones(len(some), bool), per_lang[some])
+        yield _batch(np.empty(0, np.uint8), np.zeros(len(some), np.int64), np.zeros(len(some), np.int64), 0, np.ones(len(some), bool), langs, some, per_lang[some])
     knows = [None] * len(blooms)
     ids = None
     for n in range(1, longest + 1):
@@ -278,9 +290,14 @@ def _slice_counts(data, offsets, lang_of_row, langs, blooms, longest, tested, sh
             for i in range(n):
                 total = total * np.uint64(0xD1342543DE82EF95) + word_hash[example + i]
             hashes = mix(total + np.uint64(n))
-            knows = [own.copy() for own in takes]
-            for own, bloom in zip(knows, blooms):
-                own[places] &= _holds(bloom, hashes)[gram_of]
+            knows, before = [], np.zeros(len(places), dtype=bool)
+            for own, bloom in zip(takes, blooms):
+                held = _holds(bloom, hashes)[gram_of]
+                if knows:
+                    held |= ~before
+                before |= own[places]
+                knows.append(own.copy())
+                knows[-1][places] &= held
         else:
             knows = takes
         counted = takes[-1][places] & fresh[places + n - 1]
@@ -289,9 +306,10 @@ def _slice_counts(data, offsets, lang_of_row, langs, blooms, longest, tested, sh
         amounts = np.bincount(gram_of[counted], minlength=len(grams))
         some = np.flatnonzero(amounts)
         if n >= shortest and len(some):
-            spots = example[some]
-            phrases = _substrings(text, starts[spots], ends[spots + n - 1])
-            yield _batch(langs[lang[spots]], phrases, n, knows[-1][spots], amounts[some])
+            for low in range(0, len(some), BATCH_ROWS):
+                part = some[low : low + BATCH_ROWS]
+                spots = example[part]
+                yield _batch(text, starts[spots], ends[spots + n - 1], n, knows[-1][spots], langs, lang[spots], amounts[part])
 
 
 def _words(letters: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -302,27 +320,23 @@ def _words(letters: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.nda
     return coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_numpy(zero_copy_only=False)
 
 
-def _substrings(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
-    lengths = ends - starts
-    offsets = np.concatenate([[0], np.cumsum(lengths)])
-    parts = []
-    for low in range(0, len(starts), 1 << 18):
-        high = min(low + (1 << 18), len(starts))
-        base = offsets[low]
-        shift = np.repeat(starts[low:high] - (offsets[low:high] - base), lengths[low:high])
-        parts.append(text[shift + np.arange(offsets[high] - base)])
-    letters = np.concatenate(parts) if parts else np.empty(0, np.uint8)
-    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(letters)).cast(pa.string())
-
-
-def _batch(langs, phrases, words: int, known, counts) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(langs, pa.string()), phrases, pa.array(np.full(len(langs), words), pa.int32()),
-            pa.array(known, pa.bool_()), pa.array(counts, pa.int64()),
-        ],
-        names=["lang", "phrase", "words", "known", "count"],
-    )
+def _batch(text, starts, ends, words: int, known, langs, lang, counts) -> pa.RecordBatch:
+    """Rows (gram, count) of the spans of ``text`` from ``starts`` to ``ends``; see ``_counts`` for a gram's form."""
+    names = [b"\n" + name.encode() for name in langs]
+    tails = np.frombuffer(b"".join(names), np.uint8)
+    sizes = np.array([len(name) for name in names])
+    lengths, own = ends - starts, sizes[lang]
+    offsets = np.concatenate([[0], np.cumsum(lengths + own + 2)])
+    letters = np.empty(offsets[-1], np.uint8)
+    letters[offsets[:-1]] = ord("0") + words
+    letters[offsets[:-1] + 1] = ord("0") + known.astype(np.uint8)
+    for source, first, size, target in (
+        (text, starts, lengths, offsets[:-1] + 2), (tails, (np.cumsum(sizes) - sizes)[lang], own, offsets[1:] - own)
+    ):
+        inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        letters[np.repeat(target, size) + inner] = source[np.repeat(first, size) + inner]
+    grams = pa.StringArray.from_buffers(len(counts), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(letters))
+    return pa.RecordBatch.from_arrays([grams, pa.array(counts, pa.int64())], names=["gram", "count"])
 
 
 def _places(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:

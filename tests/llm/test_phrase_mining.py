@@ -57,7 +57,7 @@ def texts(n, seed):
 
 @pytest.mark.parametrize("sample", [0.0, 0.3, 1.0])
 def test_against_plain_counting(spark, sample):
-    rows = [*texts(300, 5), (None, "en"), ("", None), ("only one piece", "fr")]
+    rows = [*texts(300, 5), (None, "en"), ("", None), ("only one piece", "fr"), ("x y z. x y z", "a\nb")]
     docs = spark.createDataFrame([(t, l, 1, "n") for t, l in rows], "text string, lang string, rank int, phrase string")
     found = mining.mine_phrases(docs.repartition(3), min_count=7, top=25, cover=80, sample=sample).collect()
     assert sorted(map(tuple, found)) == brute(rows, 7, 25, 80)
@@ -93,8 +93,10 @@ def test_long_texts_are_counted_in_parts(monkeypatch):
             data, offsets, np.zeros(len(offsets) - 1, int), langs, [None], 4, 0, 1, context
         ):
             for r in batch.to_pylist():
-                if r["words"]:
-                    got[r["phrase"]] += r["count"]
+                phrase, _, lang = r["gram"][2:].partition("\n")
+                assert lang == "en" and r["gram"][0] == str(len(phrase.split()))
+                if phrase:
+                    got[phrase] += r["count"]
                 else:
                     total += r["count"]
     counts, totals = brute_counts([(t, "en") for t in rows])
