@@ -18,8 +18,8 @@ from landledger.storage import materialise
 MOST_WORDS = 4
 MIN_COUNT, TOP, COVER = 30, 2000, 80
 SCALE = 2_000_000
-SAMPLE, SAMPLE_COUNT, SEED = 0.125, 2, 11
-SLICE_BYTES = 4 << 20  # text whose phrases are counted together before they leave the task
+SAMPLE, SAMPLE_COUNT, SEED = 0.0625, 2, 11
+SLICE_BYTES = 2 << 20  # text whose phrases are counted together before they leave the task
 MOST_BITS = 1 << 28  # of a filter: 32 MB
 BATCH_ROWS = 1 << 17  # rows that leave a task at once
 BITMAP_BITS = 32_768  # bits of one group of bitmap_construct_agg
