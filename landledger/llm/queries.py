@@ -16,6 +16,7 @@ from landledger.llm.mixing import WEIGHTS, mix
 from landledger.llm.near_dedup import near_duplicates
 from landledger.llm.packing import pack
 from landledger.llm.phrase_mining import mine_phrases
+from landledger.llm.prefix_trie import place_turns, prefix_trie, share_openings
 from landledger.llm.resharding import reshard
 from landledger.llm.substring_dedup import repeated_passages
 from landledger.llm.text_tables import table
@@ -248,3 +249,38 @@ def op12_packing(spark, sf_dir):
 )
 def op13_phrase_mining(spark, sf_dir):
     return mine_phrases(table(spark, sf_dir, "documents"))
+
+
+# crc32 of a decimal number, bit by bit
+CRC_SQL = """(4294967295 - list_reduce(list_prepend(4294967295::BIGINT, [ascii(x)::BIGINT FOR x IN string_split(c::VARCHAR, '')]),
+    lambda s, b: list_reduce([xor(s, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+@query(
+    "op11_prefix_trie",
+    rf"""WITH own AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, turn,
+            sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS id
+        FROM conversations WHERE conv_id IS NOT NULL),
+    placed AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, id) - 1 AS pos, id,
+            CAST(len(regexp_extract_all(text, '[^ 	-]+')) AS BIGINT) AS w FROM own),
+    convs AS (SELECT c, CAST({CRC_SQL} % 4 AS BIGINT) AS h FROM (SELECT DISTINCT c FROM placed)),
+    rebuilt AS (SELECT convs.c, 0 AS part, p.pos, p.id, p.w FROM convs JOIN placed p ON p.c = convs.c - convs.c % 20 AND p.pos < h
+        UNION ALL SELECT convs.c, 1, p.pos, p.id, p.w FROM convs JOIN placed p ON p.c = convs.c AND p.pos >= h),
+    steps AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS d, w,
+            sha256(string_agg(id, '') OVER (PARTITION BY c ORDER BY part, pos ROWS UNBOUNDED PRECEDING)) AS k FROM rebuilt
+        UNION ALL SELECT c, 0, 0, 'root' FROM convs),
+    ways AS (SELECT *, lag(k) OVER (PARTITION BY c ORDER BY d) AS above, d = max(d) OVER (PARTITION BY c) AS ends FROM steps),
+    nodes AS (SELECT k, min(c) AS c, any_value(d) AS d, any_value(w) AS w, count(*) AS n, any_value(above) AS above FROM ways GROUP BY k),
+    children AS (SELECT above AS k, count(*) AS n_children FROM nodes WHERE above IS NOT NULL GROUP BY above),
+    gains AS (SELECT a.k, sum((n.n - 1) * n.w) AS saved, count(*) FILTER (WHERE x.k IS NULL) AS leaves
+        FROM nodes n LEFT JOIN children x ON x.k = n.k JOIN ways a ON a.c = n.c AND a.d <= n.d GROUP BY a.k),
+    ended AS (SELECT k, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids FROM ways WHERE ends GROUP BY k)
+    SELECT n.c AS conv_id, CAST(n.d AS BIGINT) AS depth, p.c AS parent_conv_id, n.n AS n_convs, coalesce(n_children, 0) AS n_children,
+        CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+    FROM nodes n LEFT JOIN nodes p ON p.k = n.above LEFT JOIN children x ON x.k = n.k JOIN gains g ON g.k = n.k
+        LEFT JOIN ended e ON e.k = n.k""",
+)
+def op11_prefix_trie(spark, sf_dir):
+    """Per node: members, children, childless nodes below it, tokens that storing shared turns once saves below it."""
+    rebuilt, conversations = share_openings(place_turns(table(spark, sf_dir, "conversations")))
+    return prefix_trie(rebuilt, conversations).drop("turn_id")
