@@ -107,6 +107,7 @@ def test_layouts_and_compressed_paths():
     """Nodes grow through all four layouts and find every key; splits keep what was there."""
     random_ = random.Random(1)
     keys = [bytes([b]) + b"tail" for b in range(256)] + [b"\x05tail" + bytes([b, 7]) for b in range(40)] + [b"", b"\x05ta", b"\x05tex"]
+    keys += [b"\x09tail" + bytes([b]) for b in range(9)]
     keys += [bytes(random_.choices(range(3), k=random_.randint(3, 9))) + b"\xff" for _ in range(300)]
     keys = list(dict.fromkeys(keys))
     random_.shuffle(keys)
