@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landledger.llm.text_tables import alnum_words
+from landledger.llm.text_tables import alnum_words, with_row_key
 from landledger.llm.word_windows import matches, window_hash, window_text, word_codes
 from landledger.storage import materialise
 
@@ -96,10 +96,14 @@ def _merge(spans, new):
     return F.when(joins, F.concat(before, F.array(longer))).otherwise(F.concat(spans, F.array(new)))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` whose id has no contaminated text; rows without an id stay."""
-    hit = contamination(docs, benchmark, id_column=id_column, **options).filter("contaminated")
-    return docs.join(hit.select(F.col("doc_id").alias("_hit")).distinct(), F.col(id_column) == F.col("_hit"), "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` whose own text holds no benchmark passage, whatever their ids are.
+
+    The rows are stored with a number each, by which they are judged. Their order may change.
+    """
+    rows = with_row_key(docs, "decontamination-rows", "_row_key")
+    hit = contamination(rows, benchmark, id_column="_row_key", **options).filter("contaminated")
+    return rows.join(hit.select(F.col("doc_id").alias("_row_key")), "_row_key", "left_anti").select(*docs.columns)
 
 
 def remove_spans(docs: DataFrame, found: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -105,6 +105,7 @@ def mix(
     id_column: str = "doc_id",
     text_column: str = "text",
     domain: Column | None = None,
+    seed_column: str | None = None,
 ) -> DataFrame:
     """Per document: doc_id, domain, lang, source, tokens, copies, tokens_taken, kept.
 
@@ -113,7 +114,7 @@ def mix(
     weights. A node that cannot use its part, even with ``max_epochs`` passes over
     its documents, leaves the rest to its siblings; only what a whole family cannot use
     goes to the siblings of its parent. A leaf takes whole epochs of its documents, then
-    the token prefix of one more in an order seeded by seed, epoch and id: copies counts the
+    the token prefix of one more in an order seeded by seed, epoch, id (or ``seed_column``) and text: copies counts the
     times a document is taken, the last of which may be a prefix, and tokens_taken their tokens.
 
     Leaf sums are partial aggregates; positions within a leaf come from running sums over
@@ -129,6 +130,8 @@ def mix(
         name("lang").alias("lang"),
         name("source").alias("source"),
         F.regexp_count(F.coalesce(F.col(text_column), F.lit("")), F.lit(WORD)).cast("long").alias("tokens"),
+        F.coalesce(F.col(seed_column or id_column).cast("long"), F.lit(-1)).alias("own"),
+        F.md5(F.coalesce(F.col(text_column), F.lit("")).cast("binary")).alias("text_md5"),
     )
     rows = materialise(rows, "mix-rows")
     leaves = rows.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens"))
@@ -138,7 +141,8 @@ def mix(
         F.expr("if(tokens > 0, budget div tokens, 0)").alias("full"),
         F.expr("if(tokens > 0, budget % tokens, 0)").alias("rest"),
     )
-    key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("full") + 1, F.coalesce("doc_id", F.lit(-1))).cast("binary"))
+    # the text is part of it: rows that share an id, or have none, are spread as others are
+    key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("full") + 1, "own", "text_md5").cast("binary"))
     placed = rows.join(plan, list(LEVELS)).withColumn("key", key).withColumn("bucket", F.substring("key", 1, 3))
     taken = running_before(placed, LEVELS, "bucket", ["key", "tokens"], "tokens", "before")
     copies = F.col("full") + (F.col("before") < F.col("rest")).cast("long")

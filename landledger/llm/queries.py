@@ -181,7 +181,7 @@ def _mixing_sql(share: tuple[int, int] = (3, 5), epochs: int = 2, seed: int = 42
 
     return rf"""WITH docs AS (SELECT doc_id, CASE WHEN regexp_extract(coalesce(source, ''), '([0-9]{{1,9}})', 1) = '' THEN 'other'
             ELSE 'domain' || CAST(CAST(regexp_extract(source, '([0-9]{{1,9}})', 1) AS BIGINT) % 4 AS VARCHAR) END AS domain,
-            coalesce(lang, 'none') AS lang, coalesce(source, 'none') AS source,
+            coalesce(lang, 'none') AS lang, coalesce(source, 'none') AS source, md5(coalesce(text, '')) AS text_md5,
             CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS tokens FROM documents),
         leaves AS (SELECT domain, lang, source, CAST(sum(tokens) AS HUGEINT) AS tokens FROM docs GROUP BY ALL),
         total AS (SELECT CAST(least((sum(tokens) * {share[0]}) // {share[1]}, sum(tokens) * {epochs}) AS HUGEINT) AS given FROM leaves),
@@ -191,7 +191,7 @@ def _mixing_sql(share: tuple[int, int] = (3, 5), epochs: int = 2, seed: int = 42
             CASE WHEN tokens > 0 THEN CAST(given % tokens AS BIGINT) ELSE 0 END AS rest
             FROM leaves JOIN l3 USING (domain, lang, source)),
         placed AS (SELECT docs.*, whole, rest, CAST(coalesce(sum(tokens) OVER (PARTITION BY domain, lang, source
-            ORDER BY md5('{seed}|' || CAST(whole + 1 AS VARCHAR) || '|' || CAST(doc_id AS VARCHAR)), tokens
+            ORDER BY md5('{seed}|' || CAST(whole + 1 AS VARCHAR) || '|' || CAST(doc_id AS VARCHAR) || '|' || text_md5), tokens
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
             FROM docs JOIN plan USING (domain, lang, source))
     SELECT doc_id, domain, lang, source, tokens, whole + CAST(before < rest AS BIGINT) AS copies,
@@ -262,7 +262,8 @@ CRC_SQL = """(4294967295 - list_reduce(list_prepend(4294967295::BIGINT, [ascii(x
             sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS id
         FROM conversations WHERE conv_id IS NOT NULL),
     placed AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, id) - 1 AS pos, id,
-            CAST(len(regexp_extract_all(text, '[^ 	-]+')) AS BIGINT) AS w FROM own),
+            CAST(len(regexp_extract_all(text, '[^ 	-
+]+')) AS BIGINT) AS w FROM own),
     convs AS (SELECT c, CAST({CRC_SQL} % 4 AS BIGINT) AS h FROM (SELECT DISTINCT c FROM placed)),
     rebuilt AS (SELECT convs.c, 0 AS part, p.pos, p.id, p.w FROM convs JOIN placed p ON p.c = convs.c - convs.c % 20 AND p.pos < h
         UNION ALL SELECT convs.c, 1, p.pos, p.id, p.w FROM convs JOIN placed p ON p.c = convs.c AND p.pos >= h),

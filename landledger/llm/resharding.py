@@ -72,21 +72,21 @@ def reshard(
 
     Positions come from running sums over digest buckets within size classes, so an old shard with
     a third of all rows is spread evenly. slot numbers the rows of a shard from 0 without gaps, in the
-    order of a digest of the id. Repeated rows are separate rows; a null id is allowed, and a null
+    order of a digest of id and text. Repeated rows are separate rows; a null id is allowed, and a null
     old shard counts as 0. With no rows the result is empty.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_column).cast("string"), F.lit("")).cast("binary")
     place = F.pmod(F.crc32(F.coalesce(F.col("source").cast("string"), F.lit("")).cast("binary")), F.lit(OLD_SHARDS))
-    digest = F.md5(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary"))
     size = F.octet_length(text).cast("long") + ROW_BYTES
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
         size.alias("size"),
         F.crc32(text).alias("text_crc32"),
         F.coalesce((place if old_shard is None else old_shard).cast("int"), F.lit(0)).alias("old_shard"),
-        digest.alias("digest"),
     ).withColumn("shard", F.col("old_shard"))
+    # the text is part of it: rows that share an id, or have none, are spread as others are
+    rows = rows.withColumn("digest", F.md5(F.concat_ws("|", F.coalesce("doc_id", F.lit(-1)), "text_crc32", "size").cast("binary")))
     # size classes, the largest first: 16 for each doubling, then a part of the digest
     largest_first = F.lpad((1000 - F.floor(F.log2("size") * 16)).cast("string"), 4, "0")
     rows = rows.withColumn("bucket", F.concat(largest_first, F.substring("digest", 1, 2)))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landledger.storage import materialise
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD_GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -25,6 +27,14 @@ def narrow(df: DataFrame) -> DataFrame:
     return df.coalesce(max(1, shuffle_partitions(df.sparkSession) // 8))
 
 
+def with_row_key(docs: DataFrame, label: str, key: str = "row_key") -> DataFrame:
+    """``docs`` stored once with a number for every row in column ``key``, so that each row can get its own decision.
+
+    Numbers differ between rows whatever their ids are, and stay the same however often the table is read.
+    """
+    return materialise(docs.withColumn(key, F.monotonically_increasing_id()), label)
+
+
 def ids_and_texts(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The two columns as (doc_id long, text string, never null)."""
     return df.select(

@@ -51,9 +51,38 @@ def test_odd_rows(spark, tmp_path):
     for _, stage in pipeline.STAGES[:-1]:
         docs = stage(spark, docs, folder).cache()
         counts.append(docs.count())
-    assert counts[0] == 26 and counts[1] == counts[2] == 24  # one row stays of the three with the same id
+    # "a b" stands three times: one row of it stays, the other text of id 1 does
+    assert counts[0] == 26 and counts[1] == counts[2] == 24
     assert counts[3] <= 24 and pipeline.STAGES[-1][1](spark, docs, folder).count() == counts[3]
     docs = docs.filter("false")
     for _, stage in pipeline.STAGES:
         docs = stage(spark, docs, folder)
         assert docs.count() == 0
+
+
+def test_each_row_gets_its_own_decision(spark, tmp_path):
+    """Rows that share an id, or have none, are judged by their own texts."""
+    folder = str(tmp_path)
+    passage = prose(30, 500)
+    spark.createDataFrame([(7, passage)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    clean, other, copied = prose(60, 1), prose(60, 2), prose(60, 3)
+    rows = [(1, f"{prose(20, 4)} {passage}", "s"), (1, clean, "s"), (None, f"{passage} {prose(20, 6)}", "s"), (None, other, None)]
+    kept = pipeline.drop_leaks(spark, docs_of(spark, rows), folder).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(1, clean), (0, other)])
+
+    rows = [(5, clean, "s"), (5, other, "s"), (9, copied, "s"), (3, copied, "s"), (None, copied, "s"), (None, clean, "s"), (None, prose(60, 9), "s")]
+    kept = pipeline.drop_near_copies(spark, docs_of(spark, rows), folder).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(5, clean), (5, other), (3, copied), (0, prose(60, 9))])
+
+    bad = "vile awful slur"
+    docs = docs_of(spark, [(i, f"{prose(20, i)} {bad if i % 2 else ''}", "s") for i in range(400)])
+    spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int").write.parquet(f"{folder}/labels.parquet")
+    rows = docs_of(spark, [(1001, prose(20, 901), "s"), (1001, f"{bad} {prose(20, 902)}", "s"), (None, f"{bad} {bad} x", "s"), (None, prose(20, 903), "s")])
+    kept = pipeline.drop_toxic(spark, docs.union(rows), folder).collect()
+    texts = {r.text for r in kept}
+    assert {prose(20, 901), prose(20, 903)} <= texts and not any(bad in t for t in texts)
+
+    many = docs_of(spark, [(None if i % 2 else 4, prose(20 + i % 5, i), "src1") for i in range(200)])
+    mixed = pipeline.mix_sources(spark, many, folder).collect()
+    assert 120 < len(mixed) < 200 and len({r.text for r in mixed}) == len(mixed)
+    assert pipeline.place_in_shards(spark, many, folder).count() == 200
