@@ -1,7 +1,8 @@
 """From raw documents to shards of training text, one stage after another.
 
 Every stage works on all rows its predecessor kept and returns the columns of
-``documents``; the last returns the placed rows. ``run`` writes each stage to the
+``documents``; the last returns the placed rows. Decisions are made per row, by a number that a stage
+stores with its rows, so rows without an id or with the same one each get their own. ``run`` writes each stage to the
 shared folder and reads it back, so a lost executor never costs more than a stage.
 """
 
@@ -16,47 +17,46 @@ from landledger.llm.decontamination import drop_contaminated
 from landledger.llm.mixing import mix
 from landledger.llm.near_dedup import near_duplicates
 from landledger.llm.resharding import reshard
-from landledger.llm.text_tables import table
-from landledger.llm.toxicity import toxicity
+from landledger.llm.text_tables import table, with_row_key
+from landledger.llm.toxicity import fit, score
 from landledger.storage import materialise
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+KEY = "row_key"
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is not in ``dropped``; rows without an id stay."""
-    ids = dropped.select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(ids, docs["doc_id"] == F.col("_dropped"), "left_anti").select(*COLUMNS)
+def _without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Rows whose number is not the ``doc_id`` of a row of ``dropped``, the result of an operator over these numbers."""
+    return rows.join(dropped.select(F.col("doc_id").alias(KEY)), KEY, "left_anti").select(*COLUMNS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model does not reject."""
-    return _without(docs, toxicity(docs, table(spark, sf_dir, "labels")).filter("predicted = 1"))
+    """Rows that the toxicity model, learnt from the labels of their ids, does not reject."""
+    rows = with_row_key(docs, "pipeline-rows", KEY)
+    return _without(rows, score(rows, fit(rows, table(spark, sf_dir, "labels")), id_column=KEY).filter("predicted = 1"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group linked by shingles of five words, similarity 0.8 or more.
+    """One row of each group linked by shingles of five words, similarity 0.8 or more: that with the smallest id.
 
-    Of rows that repeat an id one with the smallest text digest stays.
+    Of equal ids, and where none has one, the row that is stored first stays.
     """
-    kept = _without(docs, near_duplicates(docs).filter("NOT kept"))
-    repeated = kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 AND doc_id IS NOT NULL")
-    if repeated.isEmpty():
-        return kept
-    one = kept.join(repeated.select(F.col("doc_id").alias("_id")), F.col("doc_id") == F.col("_id"), "left_semi").groupBy(
-        "doc_id"
-    ).agg(F.min_by(F.struct(*COLUMNS), F.struct(F.md5(F.coalesce("text", F.lit("")).cast("binary")), "lang", "source", "n_chars")).alias("row"))
-    return _without(kept, repeated).union(one.select("row.*"))
+    rows = with_row_key(docs, "pipeline-rows", KEY)
+    groups = near_duplicates(rows, id_column=KEY).select(F.col("doc_id").alias(KEY), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", KEY))
+    kept = groups.join(rows.select(KEY, "doc_id"), KEY).groupBy("component_id").agg(first.alias("first"))
+    return rows.join(kept.select(F.col(f"first.{KEY}").alias(KEY)), KEY, "left_semi").select(*COLUMNS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any benchmark passage."""
+    """Rows without any benchmark passage."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the target weights take: four fifths of all tokens, each document once."""
-    return _without(docs, mix(docs, share=(4, 5), max_epochs=1).filter("NOT kept"))
+    """Rows that the target weights take: four fifths of all tokens, each row once."""
+    rows = with_row_key(docs, "pipeline-rows", KEY)
+    return _without(rows, mix(rows, share=(4, 5), max_epochs=1, id_column=KEY, seed_column="doc_id").filter("NOT kept"))
 
 
 def place_in_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
