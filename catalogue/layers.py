@@ -138,7 +138,7 @@ def dense_row_id_query(spark, d):
 @query(
     "load_tx_eda",
     """SELECT * EXCLUDE (eda_size_category) REPLACE (upper(county[1]) || lower(county[2:]) AS county,
-    eda_size_category AS property_size_category, vat_exclusive = 'Yes' AS is_vat_exclusive)
+    CAST(price_eur AS DECIMAL(18,6)) AS price_eur, eda_size_category AS property_size_category, vat_exclusive = 'Yes' AS is_vat_exclusive)
     FROM (SELECT DISTINCT * EXCLUDE (cents) FROM b_tx)""",
 )
 def load_tx_eda(spark, d):

@@ -78,7 +78,9 @@ def combined_tx_index(spark, d):
     # four decimals for the comparison only
     from landledger.functions.numbers import round_even
 
-    return combined(spark, d).withColumn("mean_price", round_even("mean_price", 4))
+    return combined(spark, d).withColumns(
+        {"mean_price": round_even("mean_price", 4), "total_value": F.col("total_value").cast("decimal(28,2)")}
+    )
 
 
 @query(

@@ -16,13 +16,14 @@ def parse_number(c: Column | str, data_type: str = "double") -> Column:
 
 
 def parse_wide(c: Column | str) -> Column:
-    """Text to decimal(38,10): no digit of a value is cut here.
+    """Text to decimal(38,10); digits after the tenth decimal are rounded.
 
-    Unreadable text becomes null; a number that the type cannot hold raises.
+    Unreadable text becomes null; a number that the type cannot hold raises, with its text.
     """
     # false for NaN and for text that is no number
     number = F.abs(parse_number(c)) <= F.lit(float("inf"))
-    return F.coalesce(parse_number(c, "decimal(38,10)"), F.when(number, F.raise_error(F.lit("number out of range"))))
+    message = F.concat(F.lit("number out of range: "), column(c))
+    return F.coalesce(parse_number(c, "decimal(38,10)"), F.when(number, F.raise_error(message)))
 
 
 def parse_price(c: Column | str) -> Column:
@@ -30,6 +31,20 @@ def parse_price(c: Column | str) -> Column:
     return parse_wide(F.regexp_replace(column(c), _CURRENCY_MARKS, ""))
 
 
+def holds_price(c: Column | str) -> Column:
+    """Whether currency text is a number that ``parse_price`` reads; never raises, false for null."""
+    text = F.regexp_replace(column(c), _CURRENCY_MARKS, "")
+    return parse_number(text, "decimal(38,10)").isNotNull()
+
+
+def as_price(c: Column | str) -> Column:
+    """Amount as decimal(18,6), unrounded; one with more digits raises, whatever the session's cast rules."""
+    c = column(c)
+    price = c.try_cast("decimal(18,6)")
+    inexact = F.raise_error(F.concat(F.lit("amount does not fit decimal(18,6): "), c.cast("string")))
+    return F.when(F.coalesce(price == c, c.isNull()), price).otherwise(inexact)
+
+
 def as_money(c: Column | str) -> Column:
     """Amount as decimal(14,2), rounded half up; one that does not fit raises, whatever the session's cast rules."""
     c = column(c)

@@ -27,19 +27,29 @@ from landledger.storage import materialise
 
 # Rows without a value sort below every real bucket.
 _NO_VALUE_BUCKET = -(1 << 62)
-_BUCKET = (
-    f"coalesce(floor(sign(_c) * sqrt(abs(CAST(_c AS DOUBLE))) / 4), {_NO_VALUE_BUCKET}L)"
-)
+
+
+def _bucket(scale: int) -> str:
+    # monotone in the value, through a float too; finer units do not make finer buckets
+    root = f"sqrt(abs(CAST(_c AS DOUBLE)) / {10 ** max(scale - 2, 0)}D)"
+    return f"coalesce(floor(sign(_c) * {root} / 4), {_NO_VALUE_BUCKET}L)"
 
 
 def _scale(df: DataFrame, value: str) -> int:
-    # up to 15 digits the way through a float is exact, and the square root monotone
     dtype = df.schema[value].dataType
-    if not isinstance(dtype, T.DecimalType) or dtype.precision > 15:
-        raise TypeError(f"{value} must be a decimal of at most 15 digits, not {dtype}")
+    if not isinstance(dtype, T.DecimalType) or dtype.precision > 18:
+        raise TypeError(f"{value} must be a decimal of at most 18 digits, not {dtype}")
     return dtype.scale
 
 
+def minor_units(df: DataFrame, value: str, of: str | None = None) -> str:
+    """SQL of a decimal column's value as a whole number of its smallest units, exact; ``of`` is its name where it is used."""
+    scale, name = _scale(df, value), of or f"`{value}`"
+    if df.schema[value].dataType.precision <= 15:  # the way through a float is exact, and faster
+        return f"CAST(rint(CAST({name} AS DOUBLE) * {10**scale}) AS BIGINT)"
+    return f"CAST({name} * CAST({10**scale} AS DECIMAL(19,0)) AS BIGINT)"
+
+
 def value_tallies(
     df: DataFrame,
     keys: Sequence[str],
@@ -50,7 +60,7 @@ def value_tallies(
 
     Without keys there is no ``_g``.
     """
-    minor = f"CAST(rint(CAST(_value AS DOUBLE) * {10 ** _scale(df, value)}) AS BIGINT) AS _c"
+    minor = f"{minor_units(df, value, '_value')} AS _c"
     # a struct compares null fields as equal, so null groups join like others
     group = [F.struct(*keys).alias("_g")] if keys else []
     flags = {f"_t_{name}": flag for name, flag in (tallies or {}).items()}
@@ -70,12 +80,16 @@ def ranked(
     quantiles: Mapping[str, float],
     tallies: Sequence[str] = (),
     weights: Sequence[str] = ("_rows",),
+    reread: bool = False,
 ) -> DataFrame:
     """Group statistics and quantiles from value tallies.
 
     ``weights`` are counts of a tallied row in SQL, the count of all rows first.
     Every weight gets its own ``rows_i``, ``value_rows_i``, ``total_i`` and
     quantiles, from the same pass.
+
+    With ``reread`` the tallies, which must come from a stored table, are read twice and never shuffled: partial
+    sums give the buckets, then only rows of the located buckets are taken. Values may repeat.
     """
     every = range(len(weights))
     group = ["_g"] if keys else []
@@ -83,9 +97,9 @@ def ranked(
     # One array per value: both uses below then need the same column, so the
     # optimizer prunes neither and they share one scan and shuffle.
     cells = ["_c", *weights, *[f"`_t_{t}`" for t in tallies]]
-    values = tallied.selectExpr(
-        *group, f"{_BUCKET} AS _b", f"array({', '.join(cells)}) AS _v"
-    ).repartition(*group, "_b")
+    values = tallied.selectExpr(*group, f"{_bucket(scale)} AS _b", f"array({', '.join(cells)}) AS _v")
+    if not reread:
+        values = values.repartition(*group, "_b")
     known = [f"IF(_v[0] IS NULL, 0L, _v[{i + 1}])" for i in every]
     sums = {f"_t_{t}": f"_v[{len(weights) + 1 + k}]" for k, t in enumerate(tallies)}
     for i in every:
@@ -122,10 +136,18 @@ def ranked(
         .selectExpr(*group, "_b", *[f"_stop{i} - _n{i} AS _start{i}" for i in every], *[hits(i, ranks(i)) for i in every], *quoted)
         .filter(found)
     )
-    # values already lie by (_g, _b); only the few located buckets move to them
+    counted = values.selectExpr(*group, "_b", "_v[0] AS _c", *[f"{n} AS _n{i}" for i, n in enumerate(known)])
+    if reread:
+        # stored, so that the join knows its size; a few rows a group
+        located = materialise(located, "located-ranks")
+        counted = counted.join(located.select(*group, "_b"), [*group, "_b"], "left_semi").groupBy(*group, "_b", "_c").agg(
+            *[F.sum(f"_n{i}").alias(f"_n{i}") for i in every]
+        )
+    else:
+        # values already lie by (_g, _b); only the few located buckets move to them
+        located = located.hint("shuffle_hash")
     at_rank = (
-        values.selectExpr(*group, "_b", "_v[0] AS _c", *[f"{n} AS _n{i}" for i, n in enumerate(known)])
-        .join(located.hint("shuffle_hash"), [*group, "_b"])
+        counted.join(located, [*group, "_b"])
         .selectExpr(
             "*",
             *[
@@ -196,8 +218,12 @@ def money(minor: str) -> Column:
     return F.expr(f"CAST(CAST(round(`{minor}`) AS DECIMAL(16,0)) / 100 AS DECIMAL(14,2))")
 
 
-def as_float(minor: str) -> Column:
-    return F.expr(f"`{minor}` / 100D")
+def as_float(minor: str, scale: int = 2) -> Column:
+    return F.expr(f"`{minor}` / {10**scale}D")
+
+
+def _total_type(scale: int) -> str:
+    return f"DECIMAL({26 + scale},{scale})"
 
 
 def money_stats(df: DataFrame, keys: Sequence[str], value: str, tallies=None) -> DataFrame:
@@ -215,30 +241,35 @@ def money_stats(df: DataFrame, keys: Sequence[str], value: str, tallies=None) ->
 
 def float_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Report columns: counts, total (0 for no values), unrounded mean and median."""
-    return grouped_stats(df, keys, value, MEDIAN).select(
+    return as_float_stats(grouped_stats(df, keys, value, MEDIAN), keys, _scale(df, value))
+
+
+def as_float_stats(stats: DataFrame, keys: Sequence[str], scale: int) -> DataFrame:
+    """``float_stats`` from the result of ``grouped_stats`` with a median."""
+    return stats.select(
         *keys,
         F.col("rows").alias("transactions"),
-        F.expr("CAST(coalesce(total, 0) AS DECIMAL(28,2)) AS total_value"),
+        F.expr(f"CAST(coalesce(total, 0) AS {_total_type(scale)}) AS total_value"),
         float_mean(F.col("total"), F.col("value_rows")).alias("mean_price"),
-        as_float("median").alias("median_price"),
+        as_float("median", scale).alias("median_price"),
     )
 
 
-def _mask_rows(tallied: DataFrame, masks: Sequence[tuple[str, str]], label: str) -> DataFrame:
+def _mask_rows(tallied: DataFrame, masks: Sequence[tuple[str, str]], label: str, scale: int) -> DataFrame:
     """Statistics per mask from tallies; a mask is its label and its count in SQL.
 
     The masks are further weights of one pass, laid out as rows at the end. The
     counts of a mask without rows are 0, its mean and median null.
     """
-    stats = ranked(tallied, [], 2, MEDIAN, weights=["_rows", *[count for _, count in masks]])
+    stats = ranked(tallied, [], scale, MEDIAN, weights=["_rows", *[count for _, count in masks]])
     rows = []
     for i in range(1, len(masks) + 1):
         rows.append(
             f"struct({i} AS position, rows_{i} AS transactions, "
             f"coalesce(try_divide(CAST(rows_{i} AS DOUBLE), CAST(rows_0 AS DOUBLE)) * 100D, 0D) AS transaction_share_pct, "
             f"try_divide(CAST(total_{i} AS DOUBLE), CAST(value_rows_{i} AS DOUBLE)) AS mean_price, "
-            f"median_{i} / 100D AS median_price, "
-            f"CAST(coalesce(total_{i}, 0) AS DECIMAL(28,2)) AS total_value)"
+            f"median_{i} / {10**scale}D AS median_price, "
+            f"CAST(coalesce(total_{i}, 0) AS {_total_type(scale)}) AS total_value)"
         )
     names = F.array(*[F.lit(name) for name, _ in masks])
     return (
@@ -253,29 +284,27 @@ def _mask_rows(tallied: DataFrame, masks: Sequence[tuple[str, str]], label: str)
     )
 
 
-def _require_cents(df: DataFrame, value: str) -> None:
-    if _scale(df, value) != 2:
-        raise TypeError(f"{value} must have two decimals")
-
-
 def masked_stats(
     df: DataFrame, value: str, masks: Sequence[tuple[str, Column]], label: str
 ) -> DataFrame:
     """Statistics per mask of rows; masks may overlap, empty masks keep a row."""
-    _require_cents(df, value)
+    scale = _scale(df, value)
     tallied = value_tallies(df, [], value, {str(i): mask for i, (_, mask) in enumerate(masks)})
-    return _mask_rows(tallied, [(n, f"`_t_{i}`") for i, (n, _) in enumerate(masks)], label)
+    return _mask_rows(tallied, [(n, f"`_t_{i}`") for i, (n, _) in enumerate(masks)], label, scale)
+
+
+# counts of all rows, of those below a limit, and of those at or above it
+SPLIT_COUNTS = ("_rows", "IF(_c < _limit, _rows, 0L)", "IF(_c >= _limit, _rows, 0L)")
 
 
 def split_at_quantile(
     df: DataFrame, value: str, quantile: float, names: tuple[str, str, str], label: str
 ) -> DataFrame:
     """All rows, rows below the quantile, rows at or above it, from one aggregation."""
-    _require_cents(df, value)
+    scale = _scale(df, value)
     tallied = value_tallies(df, [], value)
-    limit = ranked(tallied, [], 2, {"limit": quantile}).selectExpr("limit_0 AS _limit")
-    masks = ["_rows", "IF(_c < _limit, _rows, 0L)", "IF(_c >= _limit, _rows, 0L)"]
-    return _mask_rows(tallied.join(F.broadcast(limit)), list(zip(names, masks)), label)
+    limit = ranked(tallied, [], scale, {"limit": quantile}).selectExpr("limit_0 AS _limit")
+    return _mask_rows(tallied.join(F.broadcast(limit)), list(zip(names, SPLIT_COUNTS)), label, scale)
 
 
 def quantile_rows(
@@ -286,17 +315,17 @@ def quantile_rows(
     if with_range:
         wanted = {"min": 0.0, **wanted, "max": 1.0}
     columns = {f"q{i}": q for i, q in enumerate(wanted.values())}
+    found = grouped_stats(df, [], value, columns)
+    return quantile_table(found, dict(zip(wanted, columns)), value, _scale(df, value))
+
+
+def quantile_table(found: DataFrame, columns: Mapping[str, str], value: str, scale: int) -> DataFrame:
+    """One row of quantiles laid out as (percentile, value) rows; ``columns`` maps labels to its columns."""
     pairs = [
-        f"struct({i} AS position, '{label}' AS percentile, q{i} / 100D AS `{value}`)"
-        for i, label in enumerate(wanted)
+        f"struct({i} AS position, '{label}' AS percentile, `{column}` / {10**scale}D AS `{value}`)"
+        for i, (label, column) in enumerate(columns.items())
     ]
-    _require_cents(df, value)
-    return (
-        grouped_stats(df, [], value, columns)
-        .selectExpr(f"inline(array({', '.join(pairs)}))")
-        .orderBy("position")
-        .drop("position")
-    )
+    return found.selectExpr(f"inline(array({', '.join(pairs)}))").orderBy("position").drop("position")
 
 
 def histogram(df: DataFrame, value: str, bins: int = 50, upto_quantile: float = 0.99) -> DataFrame:
@@ -305,9 +334,14 @@ def histogram(df: DataFrame, value: str, bins: int = 50, upto_quantile: float =
     Limit, edges and bins each need the tallies, with other columns and filters,
     so the tallies are written once instead of scanning the table three times.
     """
-    _require_cents(df, value)
+    scale = _scale(df, value)
     tallied = materialise(value_tallies(df, [], value), "value-tallies")
-    limit = ranked(tallied, [], 2, {"limit": upto_quantile}).selectExpr("limit_0 AS _limit")
+    limit = ranked(tallied, [], scale, {"limit": upto_quantile}).selectExpr("limit_0 AS _limit")
+    return histogram_rows(tallied, limit, bins, scale)
+
+
+def histogram_rows(tallied: DataFrame, limit: DataFrame, bins: int, scale: int) -> DataFrame:
+    """Bins of the tallied values up to the one row of ``limit`` (_limit, in smallest units)."""
     kept = tallied.join(F.broadcast(limit)).filter("_c <= _limit").select("_c", "_rows")
     edges = kept.selectExpr("min(_c) AS _lo", f"(max(_c) - min(_c)) / {bins}D AS _width").filter(
         "_lo IS NOT NULL"
@@ -319,13 +353,13 @@ def histogram(df: DataFrame, value: str, bins: int = 50, upto_quantile: float =
         .agg(F.sum("_rows").alias("transactions"))
     )
     return (
-        df.sparkSession.range(bins)
+        tallied.sparkSession.range(bins)
         .join(F.broadcast(edges))
         .join(counted, "id", "left")
         .selectExpr(
             "CAST(id + 1 AS INT) AS bin",
-            "(_lo + id * _width) / 100D AS bin_start",
-            "(_lo + (id + 1) * _width) / 100D AS bin_end",
+            f"(_lo + id * _width) / {10**scale}D AS bin_start",
+            f"(_lo + (id + 1) * _width) / {10**scale}D AS bin_end",
             "coalesce(transactions, 0L) AS transactions",
         )
         .orderBy("bin")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landledger.functions.dates import parse_sale_date
-from landledger.functions.numbers import parse_price, ratio_pct
+from landledger.functions.numbers import holds_price, ratio_pct
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -47,15 +47,21 @@ def missing_counts(df: DataFrame) -> DataFrame:
 
 def missing_summary(df: DataFrame, digits: int | None = None) -> DataFrame:
     """Null count and percentage per column, most missing first."""
-    return (
-        _null_counts(df)
-        .select(
-            "column",
-            "missing_count",
-            ratio_pct("missing_count", "row_count", digits).alias("missing_percentage"),
-        )
-        .orderBy(F.desc("missing_count"), "column")
-    )
+    return _as_missing(_null_counts(df), digits)
+
+
+def missing_rows(counted: DataFrame, columns: Mapping[str, str], rows: str, digits: int | None = None) -> DataFrame:
+    """``missing_summary`` from one row of counts; ``columns`` maps columns to their counts, ``rows`` is the count of rows."""
+    pairs = [F.struct(F.lit(c).alias("column"), F.coalesce(F.col(n), F.lit(0)).alias("missing_count")) for c, n in columns.items()]
+    return _as_missing(counted.select(F.col(rows).alias("row_count"), F.inline(F.array(*pairs))), digits)
+
+
+def _as_missing(counted: DataFrame, digits: int | None) -> DataFrame:
+    return counted.select(
+        "column",
+        "missing_count",
+        ratio_pct("missing_count", "row_count", digits).alias("missing_percentage"),
+    ).orderBy(F.desc("missing_count"), "column")
 
 
 def _copies(df: DataFrame) -> DataFrame:
@@ -99,9 +105,8 @@ def invalid_dates(df: DataFrame, column: str) -> DataFrame:
 
 
 def invalid_prices(df: DataFrame, column: str) -> DataFrame:
-    return df.agg(
-        F.count_if(parse_price(_quoted(column)).isNull()).alias("invalid_prices")
-    )
+    """Cells without a readable price; a number too large to be held counts as one."""
+    return df.agg(F.count_if(~holds_price(_quoted(column))).alias("invalid_prices"))
 
 
 def value_counts(df: DataFrame, column: str, keep_null: bool = True) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landledger.functions.dates import month_start, year_month
-from landledger.functions.numbers import as_money
+from landledger.functions.numbers import as_price
 from landledger.functions.text import contains_any
 from landledger.operators.grouped_stats import float_stats, money_stats
 from landledger.operators.profile import checked
@@ -127,11 +127,11 @@ def combined_tx_index(
 ) -> DataFrame:
     """Monthly statistics from the cleaned tables as floats, with the index.
 
-    A row without a sale date raises: its month is not known.
+    Prices enter unrounded, with up to six decimals; one with more raises. A row without a sale date raises: its month is not known.
     """
     dated = checked("sale_date", {"invalid sale dates": F.col("sale_date").isNull()})
     by_month = float_stats(
-        tx.select(year_month(dated).alias("year_month"), as_money("price_eur").alias("price_eur")),
+        tx.select(year_month(dated).alias("year_month"), as_price("price_eur").alias("price_eur")),
         ["year_month"],
         "price_eur",
     )

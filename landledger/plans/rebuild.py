@@ -92,7 +92,7 @@ def explore(register: DataFrame, warehouse: Warehouse, folder: str) -> dict[str,
     """The exploration as one job: the analysis table stored once, then every table written from it."""
     save = "analytics.exploration_transactions"
     with scratch(warehouse.spark):
-        tx = warehouse.save(save, exploration.load_tx_eda(cleaning.clean_tx(register)))
+        tx = exploration.load_tx_eda(cleaning.clean_tx(register), lambda df: warehouse.save(save, df))
         tables = exploration.all_tables(tx)
         sink_reports(tables, folder)
     return tables

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from landledger import schemas
+from landledger import storage as spark_storage
 from landledger.operators import profile
 from landledger.plans import cleaning, exploration, marts, reports, staging
 from landledger.plans.reports import Marts, Years
@@ -50,13 +51,13 @@ def test_clean_tx_does_not_depend_on_row_order(spark):
 def test_eda_load_removes_copies_again_and_guards(spark):
     cleaned = cleaning.clean_tx(register(spark, ROWS))
     with pytest.raises(Exception, match="invalid sale dates"):
-        exploration.load_tx_eda(cleaned).collect()
+        exploration.load_tx_eda(cleaned)
     good = exploration.load_tx_eda(cleaned.filter(F.col("sale_date").isNotNull()))
     row = good.collect()
     assert len(row) == 1 and row[0].property_size_category == "Less than 38 sq m"
     priced = cleaned.filter(F.col("sale_date").isNotNull()).withColumn("price_eur", F.lit(D("-1.00")))
     with pytest.raises(Exception, match="non-positive"):
-        exploration.load_tx_eda(priced).collect()
+        exploration.load_tx_eda(priced)
 
 
 def test_eda_load_accepts_source_names_and_missing_columns(spark):
@@ -129,21 +130,85 @@ def test_planning_without_rows_raises(spark):
         cleaning.clean_planning(spark.createDataFrame([], schemas.RAW_PLANNING))
 
 
-def test_exploration_tables_scan_the_stored_table_once(spark, tmp_path):
-    """Of the stored analysis table; the two summaries and the extremes need a second look at it."""
+def test_exploration_tables_scan_the_stored_table_once(spark, tmp_path, monkeypatch):
+    """Of the stored analysis table: once for the shared tally, once more for the extreme rows."""
+    from landledger.operators import grouped_stats, series, shared_tally
+
     row = (dt.date(2020, 3, 1), 2020, 3, 1, "2020-03", "a", "c", None, D("5.00"), "No", False, "No", False, "x", True, False, None, "Unknown")
     spark.createDataFrame([row] * 3, schemas.TYPED_TX).write.parquet(str(tmp_path / "tx"))
     tx = spark.read.parquet(str(tmp_path / "tx"))
-    twice = {"dataset_summary", "monthly_seasonality", "extreme_transactions_99_9th_percentile"}
+    monkeypatch.setattr(spark_storage, "_WRITTEN", [])
+    stored = []
+
+    def scans(table):
+        plan = table._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        return sum("FileScan parquet" in line and str(tmp_path) in line for line in plan.splitlines())
+
+    def noted(df, label):
+        stored.append((label, scans(df)))
+        return spark_storage.materialise(df, label)
+
+    for module in (exploration, shared_tally, series, grouped_stats):
+        monkeypatch.setattr(module, "materialise", noted)
     spark.conf.set("spark.sql.maxMetadataStringLength", 2000)  # whole paths in plans
     for name, table in exploration.all_tables(tx).items():
         table.collect()
-        plan = table._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-        scans = sum("FileScan parquet" in line and str(tmp_path) in line for line in plan.splitlines())
-        assert scans <= (2 if name in twice else 1), (name, scans, plan)
+        assert scans(table) == (1 if name == "extreme_transactions_99_9th_percentile" else 0), name
+    assert [label for label, n in stored if n] == ["shared-tally"] and sum(n for _, n in stored) == 1
+    assert scans(exploration.monthly_seasonality(tx)) == 0 and [n for _, n in stored].count(1) == 2
     spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
+def test_exploration_tables_from_the_shared_tally(spark):
+    """Every table equals the one computed from the rows, with unknown flags, keys and prices."""
+    rows = []
+    for i in range(400):
+        day = dt.date(2018 + i % 4, 1 + i % 12, 1 + i % 28)
+        flag = [True, False, None][i % 3]
+        price = None if i % 50 == 7 else D(1000 + (i * 7919) % 997) + D(i % 3) / D(1000)
+        rows.append((
+            day, day.year, day.month, (day.month + 2) // 3, f"{day:%Y-%m}", f"a{i}", ["A", "B", None][i % 3], None if i % 4 else "E", price,
+            None, flag, "Yes", i % 5 == 0, ["x", "y", None][i % 7 % 3], flag, i % 2 == 0, None, ["Unknown", "38–124 sq m"][i % 2],
+        ))
+    schema = schemas.TYPED_TX.simpleString().replace("price_eur:decimal(14,2)", "price_eur:decimal(18,6)")
+    tx = spark.createDataFrame(rows, schema)
+    names = {
+        "non_full_market_price_analysis": "non_full_market_price", "vat_exclusive_analysis": "vat_exclusive",
+        "extreme_transactions_99_9th_percentile": "extreme_transactions", "extreme_transaction_comparison": "extreme_comparison",
+    }
+    plain = lambda v: round(v, 9) if isinstance(v, float) else v
+    for name, table in exploration.all_tables(tx).items():
+        got = [tuple(map(plain, r)) for r in table.collect()]
+        direct = getattr(exploration, names.get(name, name))(tx)
+        assert table.columns == direct.columns, name
+        assert sorted(got, key=str) == sorted((tuple(map(plain, r)) for r in direct.collect()), key=str), name
+
+
+def test_exploration_does_not_round_prices(spark):
+    """Three decimals reach totals and means; what cannot be held raises and is named."""
+    cleaned = cleaning.clean_tx(register(spark, [("01/03/2020", f"a{i}", "b", None, p, None, None, NEW, None) for i, p in enumerate(["10.005", "10.004"])]))
+    tx = exploration.load_tx_eda(cleaned)
+    year = exploration.annual_market_analysis(tx).first()
+    assert (year.total_value, year.mean_price, year.median_price) == (D("20.009000"), pytest.approx(10.0045), pytest.approx(10.0045))
+    index = spark.createDataFrame([], "year_month string, property_series string, unit string, rppi_value decimal(10,2)")
+    month = marts.combined_tx_index(cleaned, index).first()
+    assert (month.total_value, month.mean_price) == (D("20.009000"), pytest.approx(10.0045))
+    with pytest.raises(Exception, match="1.0000000001"):
+        exploration.load_tx_eda(cleaned.withColumn("price_eur", F.lit("1.0000000001")))
+
+
+def test_exploration_guards_hold_for_every_reader(spark):
+    bad = cleaning.clean_tx(register(spark, ROWS[:1])).withColumns({"sale_date": F.lit("bad"), "price_eur": F.lit("-5")})
+    with pytest.raises(Exception, match="dataset breaks rule"):
+        exploration.load_tx_eda(bad).select("county").count()
+
+
+def test_prices_out_of_range_are_counted_and_named(spark):
+    raw = register(spark, [("01/03/2020", "a", "b", None, p, None, None, NEW, None) for p in ("Infinity", "1e40", "x", None, "€1,000.50")])
+    assert profile.invalid_prices(raw, "Price (€)").first()[0] == 4
+    with pytest.raises(Exception, match="out of range: 1e40"):
+        cleaning.clean_tx(raw.filter(F.col("Price (€)") == "1e40")).collect()
+
 
 def test_staging_roundtrip(spark):
     cleaned = cleaning.clean_tx(register(spark, ROWS[:3]))
