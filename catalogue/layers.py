@@ -341,8 +341,8 @@ def full_refresh(spark, d):
 @query("layer_row_counts", _LAYERS)
 def layer_row_counts(spark, d):
     warehouse = writers.Warehouse(spark, _scratch(spark, "warehouse"))
-    tables = rebuild(sources(spark, d), warehouse, b.SERIES, b.UNIT)
-    return writers.layer_row_counts({n: tables[n] for n in writers.LAYER_TABLES})
+    rebuild(sources(spark, d), warehouse, b.SERIES, b.UNIT)
+    return writers.layer_row_counts(warehouse)
 
 
 @query(

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from landledger import schemas
 from landledger.functions.numbers import ratio_pct, round_even
+from landledger.operators.id_bitmaps import repeated_ids
 from landledger.plans.reports import (
     MARKET_METRICS,
     PLANNING_METRICS,
@@ -20,6 +21,7 @@ from landledger.plans.reports import (
     market_with_planning,
     total_of,
 )
+from landledger.sources.snapshots import Figures
 
 # The covered period is informative only; no check asks for it.
 _OPTIONAL_COLUMNS = {"period_start", "period_end"}
@@ -523,18 +525,34 @@ def check_not_null(tables: Mapping[str, DataFrame], tests=None) -> DataFrame:
     return union_all(parts)
 
 
+def recorded_not_null(spark: SparkSession, figures: Mapping[str, Figures], tests=None) -> DataFrame:
+    """``check_not_null`` from the figures that were gathered while the tables were written; reads no table."""
+    rows = [
+        (f"not_null: {table}.{c}", figures[table].nulls[c])
+        for table, columns in (tests or NOT_NULL_TESTS).items()
+        if table in figures
+        for c in columns
+    ]
+    return spark.createDataFrame(rows, "name string, n long").select(*_failures(F.col("name"), F.col("n")))
+
+
 def check_unique(tables: Mapping[str, DataFrame], tests=None) -> DataFrame:
-    """Key values held by more than one row; rows with a null key part are left out."""
+    """Key values held by more than one row; rows with a null key part are left out.
+
+    Whole-number keys are told by bitmaps: see ``repeated_ids``.
+    """
     parts = []
     for table, keys in (tests or UNIQUE_TESTS).items():
         if table not in tables:
             continue
         for key in keys:
-            repeated = (
-                tables[table].dropna(subset=key).groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-            ).agg(F.count_if(F.col("n") > 1).alias("n"))
+            df = tables[table]
+            if len(key) == 1 and isinstance(df.schema[key[0]].dataType, (T.IntegerType, T.LongType)):
+                repeated = repeated_ids(df, key[0])
+            else:
+                repeated = df.dropna(subset=key).groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
             name = F.lit(f"unique: {table}.({', '.join(key)})" if len(key) > 1 else f"unique: {table}.{key[0]}")
-            parts.append(repeated.select(*_failures(name, F.col("n"))))
+            parts.append(repeated.agg(F.count(F.lit(1)).alias("n")).select(*_failures(name, F.col("n"))))
     return union_all(parts)
 
 

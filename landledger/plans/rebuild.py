@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from landledger.plans import cleaning, exploration, marts, quality, staging
 from landledger.plans.reports import Marts, Years
-from landledger.sources.writers import Warehouse, sink_reports, write_csv
+from landledger.sources.snapshots import Snapshot, Warehouse
+from landledger.sources.writers import sink_reports, write_csv
 from landledger.storage import run_together, scratch
 
 
@@ -31,9 +32,15 @@ def rebuild(
 
     Each layer is written once and the next one reads the written table, so a
     source is cleaned once however many marts follow. Scratch goes when its layer is
-    written. At the end the table tests run over the new tables; their rows are
-    saved as ``quality.table_tests``, and a failed one raises.
+    written. The table tests run over the new tables, their rows are saved as ``quality.table_tests``, and all of it
+    becomes current at once. A failed build or test raises and leaves readers with the tables they had.
     """
+    with warehouse.begin() as snapshot:
+        tables = _build(sources, warehouse.spark, snapshot, series, unit)
+    return tables
+
+
+def _build(sources: Sources, spark: SparkSession, snapshot: Snapshot, series: str, unit: str) -> dict[str, DataFrame]:
     raw = {
         "raw.ppr_transactions": cleaning.as_text_layer(cleaning.clean_tx(sources.register)),
         "raw.rppi_series": cleaning.as_text_layer(cleaning.clean_index(sources.index)),
@@ -44,8 +51,8 @@ def rebuild(
     def save_all(builds: dict) -> None:
         # tables of one layer do not depend on each other
         names = list(builds)
-        jobs = [lambda n=n: warehouse.save(n, builds[n]()) for n in names]
-        with scratch(warehouse.spark):
+        jobs = [lambda n=n: snapshot.save(n, builds[n]()) for n in names]
+        with scratch(spark):
             tables.update(zip(names, run_together(jobs)))
 
     save_all({name: lambda df=df: df for name, df in raw.items()})
@@ -67,7 +74,7 @@ def rebuild(
             ),
         }
     )
-    save_all({TABLE_TESTS: lambda: table_tests(tables)})
+    save_all({TABLE_TESTS: lambda: table_tests(tables, snapshot)})
     failed = [r.check_name for r in tables[TABLE_TESTS].filter("status = 'FAIL'").collect()]
     if failed:
         raise RuntimeError(f"table tests failed: {sorted(failed)}")
@@ -77,15 +84,16 @@ def rebuild(
 TABLE_TESTS = "quality.table_tests"
 
 
-def table_tests(tables: dict[str, DataFrame]) -> DataFrame:
-    """The declared not-null and unique tests over the staging and mart tables of a rebuild."""
-    named = {
-        "stg_ppr_transactions": tables["staging.ppr_transactions"],
-        "stg_rppi_series": tables["staging.rppi_series"],
-        "stg_planning_applications": tables["staging.planning_applications"],
-        **{name.split(".")[1]: df for name, df in tables.items() if name.startswith("analytics.")},
-    }
-    return quality.check_not_null(named).unionByName(quality.check_unique(named))
+def table_tests(tables: dict[str, DataFrame], snapshot: Snapshot) -> DataFrame:
+    """The declared not-null and unique tests over the staging and mart tables of a rebuild.
+
+    Nulls were counted when the tables were written; the unique tests read the key columns.
+    """
+    short = {"staging.ppr_transactions": "stg_ppr_transactions", "staging.rppi_series": "stg_rppi_series",
+             "staging.planning_applications": "stg_planning_applications"}
+    short |= {name: name.split(".")[1] for name in tables if name.startswith("analytics.")}
+    nulls = quality.recorded_not_null(next(iter(tables.values())).sparkSession, {own: snapshot.figures(name) for name, own in short.items()})
+    return nulls.unionByName(quality.check_unique({own: tables[name] for name, own in short.items()}))
 
 
 def explore(register: DataFrame, warehouse: Warehouse, folder: str) -> dict[str, DataFrame]:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landledger import schemas
-from landledger.storage import materialise, replace_folder, run_together, scratch
+from landledger.sources.snapshots import Warehouse, figures_of, write_observed
+from landledger.storage import remove, replace_folder, run_together
 
 
 def _with_flags_as_words(df: DataFrame) -> DataFrame:
@@ -61,39 +62,6 @@ def sink_reports(
     return dict(zip(reports, run_together(jobs)))
 
 
-class Warehouse:
-    """Tables of the raw, staging and analytics layers under one folder.
-
-    Every save replaces the table when the new one is complete, so a rerun gives
-    the same layers and a failed one leaves the old layers whole.
-    """
-
-    # Column the large staging table is laid out by, in place of indexes.
-    LAYOUT = {"staging.ppr_transactions": "sale_year"}
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    def path(self, table: str) -> str:
-        return f"{self.root}/{table.replace('.', '/')}"
-
-    def save(self, table: str, df: DataFrame) -> DataFrame:
-        path = self.path(table)
-        new = f"{path}.new-{uuid.uuid4().hex}"
-        writer = df.write
-        part = self.LAYOUT.get(table)
-        if part in df.columns:
-            writer = writer.partitionBy(part)
-        writer.parquet(new)
-        replace_folder(self.spark, new, path)
-        # a layout column comes back last and with a guessed type
-        return self.load(table).select(*[F.col(f.name).cast(f.dataType) for f in df.schema.fields])
-
-    def load(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
-
-
 LAYER_TABLES = [
     "raw.ppr_transactions",
     "staging.ppr_transactions",
@@ -107,8 +75,14 @@ LAYER_TABLES = [
 ]
 
 
-def layer_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(table_name, row_count) of every layer table, by name."""
+def layer_row_counts(tables: Mapping[str, DataFrame] | Warehouse) -> DataFrame:
+    """(table_name, row_count) of every layer table, by name.
+
+    Of a warehouse, whose writes were counted as they ran, no table is read; other tables are scanned.
+    """
+    if isinstance(tables, Warehouse):
+        rows = [(name, tables.figures(name).rows) for name in LAYER_TABLES if name in tables.tables()]
+        return tables.spark.createDataFrame(rows, "table_name string, row_count bigint").orderBy("table_name")
     counts = [
         df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
         for name, df in tables.items()
@@ -131,30 +105,44 @@ EXPORT_TARGETS = {
 def export_marts(
     marts: Mapping[str, DataFrame], folder: str, file_format: str = "parquet"
 ) -> DataFrame:
-    """Replace each target, recount it and raise when the counts differ."""
-    results = []
+    """Replace each target with its mart's rows, and report the counts of both.
+
+    Every mart is written beside its target first and read back. Rows and content digest, gathered by the write, must
+    be those of the stored files; only when all marts are right are the targets switched. An error
+    before that leaves every old target as it was.
+    """
+    results, staged = [], []
     spark = None
-    for name, target in EXPORT_TARGETS.items():
-        schema = schemas.MARTS[name]
-        source = marts[name]
-        spark = source.sparkSession
-        columns = []
-        for field in schema.fields:
-            col = F.col(field.name)
-            if isinstance(field.dataType, T.DateType):
-                columns.append(col.try_cast("date").alias(field.name))
-            else:
-                columns.append(col.cast(field.dataType).alias(field.name))
-        path = f"{folder}/{target}"
-        # stored first: what is sent and what is counted are then the same rows
-        with scratch(spark):
-            sending = materialise(source.select(*columns), "export")
-            sending.write.mode("overwrite").format(file_format).save(path)
-            sent = sending.count()
-        stored = spark.read.format(file_format).schema(schema).load(path).count()
-        if sent != stored:
-            raise RuntimeError(f"row-count mismatch for {target}: sent {sent}, stored {stored}")
-        results.append((name, target, sent, stored))
+    try:
+        for name, target in EXPORT_TARGETS.items():
+            schema = schemas.MARTS[name]
+            source = marts[name]
+            spark = source.sparkSession
+            columns = []
+            for field in schema.fields:
+                col = F.col(field.name)
+                if isinstance(field.dataType, T.DateType):
+                    columns.append(col.try_cast("date").alias(field.name))
+                else:
+                    columns.append(col.cast(field.dataType).alias(field.name))
+            path = f"{folder}/{target}"
+            new = f"{path}.new-{uuid.uuid4().hex}"
+            staged.append((new, path))
+            sent = write_observed(source.select(*columns), new, file_format)
+            stored = figures_of(_read_back(spark, new, schema, file_format))
+            if sent != stored:
+                raise RuntimeError(f"content mismatch for {target}: sent {sent.rows} rows, stored {stored.rows}")
+            results.append((name, target, sent.rows, stored.rows))
+    except Exception:
+        for new, _ in staged:
+            remove(spark, new)
+        raise
+    for new, path in staged:
+        replace_folder(spark, new, path)
     return spark.createDataFrame(
         results, "source_table string, target_table string, source_rows bigint, target_rows bigint"
     )
+
+
+def _read_back(spark: SparkSession, path: str, schema: T.StructType, file_format: str) -> DataFrame:
+    return spark.read.format(file_format).schema(schema).load(path)

@@ -50,7 +50,7 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
@@ -58,15 +58,15 @@ def _file_system(spark: SparkSession, path: str):
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder if it exists."""
-    files, target = _file_system(spark, path)
+    files, target = file_system(spark, path)
     files.delete(target, True)
 
 
 def replace_folder(spark: SparkSession, new: str, target: str) -> None:
     """Put the complete folder ``new`` where ``target`` is; until then the old one stays readable."""
-    files, to = _file_system(spark, target)
-    _, source = _file_system(spark, new)
-    _, old = _file_system(spark, f"{target}.old-{uuid.uuid4().hex}")
+    files, to = file_system(spark, target)
+    _, source = file_system(spark, new)
+    _, old = file_system(spark, f"{target}.old-{uuid.uuid4().hex}")
     replaces = files.exists(to)
     if replaces and not files.rename(to, old):
         raise OSError(f"cannot move {target} aside")

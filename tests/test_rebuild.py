@@ -53,10 +53,19 @@ def built(spark, tmp_path_factory):
     return rebuild(sources, writers.Warehouse(spark, str(landing / "warehouse"))), sources
 
 
+def built_root(tables):
+    return tables["raw.ppr_transactions"].inputFiles()[0].split("/raw/")[0]
+
+
 def test_layers(built):
     tables, _ = built
     counts = {r.table_name: r.row_count for r in writers.layer_row_counts({n: tables[n] for n in writers.LAYER_TABLES}).collect()}
     assert counts["raw.ppr_transactions"] == counts["staging.ppr_transactions"] == 18
+    warehouse = writers.Warehouse(tables["raw.ppr_transactions"].sparkSession, built_root(tables))
+    recorded = writers.layer_row_counts(warehouse)
+    assert {r.table_name: r.row_count for r in recorded.collect()} == counts
+    assert "FileScan" not in recorded._jdf.queryExecution().toString()
+    assert not any(warehouse.damaged(name) for name in writers.LAYER_TABLES)
     assert counts["analytics.monthly_market"] == 9 and counts["analytics.county_market"] == 6
     staged = tables["staging.ppr_transactions"]
     assert [(f.name, f.dataType) for f in staged.schema] == [(f.name, f.dataType) for f in schemas.STAGING_TX]
@@ -82,8 +91,13 @@ def test_rebuild_ends_with_its_tests(spark, built, tmp_path):
     tables, sources = built
     assert tables[TABLE_TESTS].count() == 27
     index = sources.index.unionByName(sources.index.withColumn("Statistic Label", F.lit("other")))
+    warehouse = writers.Warehouse(spark, str(tmp_path))
+    warehouse.save("analytics.monthly_market", spark.range(7).toDF("old"))
     with pytest.raises(RuntimeError, match="unique: monthly_market.year_month"):
-        rebuild(Sources(sources.register, index, sources.planning), writers.Warehouse(spark, str(tmp_path)))
+        rebuild(Sources(sources.register, index, sources.planning), warehouse)
+    # readers stay on the old tables, and nothing of the failed build is left
+    assert warehouse.tables() == ["analytics.monthly_market"] and warehouse.load("analytics.monthly_market").count() == 7
+    assert not (tmp_path / "staging" / "ppr_transactions").exists() or not list((tmp_path / "staging" / "ppr_transactions").iterdir())
 
 
 def test_failed_save_leaves_the_old_table(spark, tmp_path):
