@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from landledger.llm.text_tables import alnum_words, with_row_key
 from landledger.llm.word_windows import matches, window_hash, window_text, word_codes
@@ -68,34 +69,39 @@ def contamination(
             for part in range(parts)
         ],
     )
-    span = F.when(F.col("n") > 0, F.struct("start", (F.col("start") + F.col("n")).alias("end")))
-    per_row = found.groupBy("row").agg(
+    # hits in their order within a row: a span begins where no earlier hit reaches to, so spans are merged
+    # before anything is collected, and all steps below lie by row after one shuffle
+    so_far = Window.partitionBy("row").orderBy("start", "n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy("row").orderBy("start", "n").rowsBetween(Window.unboundedPreceding, -1)
+    hits = found.withColumns({"low": F.when(F.col("n") > 0, F.col("start")), "high": F.when(F.col("n") > 0, F.col("start") + F.col("n"))})
+    begins = F.coalesce(F.max("high").over(earlier) < F.col("low"), F.col("low").isNotNull())
+    spans = (
+        hits.withColumn("begins", begins.cast("int"))
+        .withColumn("span", F.sum("begins").over(so_far))
+        .groupBy("row", "span")
+        .agg(
+            F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+            F.min("low").alias("start"), F.max("high").alias("end"), F.flatten(F.collect_set("items")).alias("items"),
+        )
+    )
+    per_row = spans.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"),
         F.first("n_words").alias("n_words"),
-        F.array_sort(F.collect_set(span)).alias("spans"),
+        F.coalesce(F.sum(F.col("end") - F.col("start")), F.lit(0)).cast("long").alias("n_hit"),
+        F.array_sort(F.collect_list(F.when(F.col("end").isNotNull(), F.struct("start", "end")))).alias("hit_spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
-    merged = F.aggregate("spans", F.expr("cast(array() AS array<struct<start:bigint,end:bigint>>)"), _merge)
-    return per_row.withColumn("hit_spans", merged).select(
+    return per_row.select(
         "doc_id",
         "n_words",
-        F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_hit"),
+        "n_hit",
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
-        (F.size("spans") > 0).alias("contaminated"),
+        (F.col("n_hit") > 0).alias("contaminated"),
         "hit_spans",
     )
 
 
-def _merge(spans, new):
-    """Add a span that starts no earlier than those before it."""
-    last = F.element_at(spans, -1)
-    longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], new["end"]).alias("end"))
-    before = F.slice(spans, 1, F.size(spans) - 1)
-    joins = (F.size(spans) > 0) & (F.get(spans, F.size(spans) - 1)["end"] >= new["start"])
-    return F.when(joins, F.concat(before, F.array(longer))).otherwise(F.concat(spans, F.array(new)))
-
-
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` whose own text holds no benchmark passage, whatever their ids are.
 

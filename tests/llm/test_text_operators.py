@@ -431,3 +431,21 @@ def test_toxicity_training_rows_are_bounded(spark, monkeypatch):
     for most, wanted in ((1_000, open_ids), (50, 50)):
         module.fit(docs, labels, train_rows=most)
         assert sizes.pop() == wanted
+
+
+def test_many_hits_in_one_document(spark):
+    """Hits are merged in order, not by rebuilding a list for each: the work grows with their number."""
+    import time
+
+    from landledger.llm.decontamination import contamination
+
+    items = spark.createDataFrame([(1, "the"), (2, "end of it")], "item_id long, text string")
+    took = []
+    for n in (4_000, 64_000):
+        docs = spark.createDataFrame([(1, "the " * n + "end of it x " + "the b " * 10)], "doc_id long, text string")
+        began = time.perf_counter()
+        row = contamination(docs, items).first()
+        took.append(time.perf_counter() - began)
+        assert (row.n_words, row.n_hit, row.n_items) == (n + 24, n + 13, 2)
+        assert [tuple(s) for s in row.hit_spans[:2]] == [(0, n + 3), (n + 4, n + 5)] and len(row.hit_spans) == 11
+    assert took[1] < took[0] + 20
