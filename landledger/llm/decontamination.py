@@ -102,12 +102,12 @@ def contamination(
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` whose own text holds no benchmark passage, whatever their ids are.
 
-    The rows are stored with a number each, by which they are judged. Their order may change.
+    Rows are judged by a number of their own, see ``with_row_key``. Their order may change.
     """
-    rows = with_row_key(docs, "decontamination-rows", "_row_key")
+    rows = with_row_key(docs, "decontamination-rows", "_row_key", id_column)
     hit = contamination(rows, benchmark, id_column="_row_key", **options).filter("contaminated")
     return rows.join(hit.select(F.col("doc_id").alias("_row_key")), "_row_key", "left_anti").select(*docs.columns)
 

@@ -27,11 +27,16 @@ def narrow(df: DataFrame) -> DataFrame:
     return df.coalesce(max(1, shuffle_partitions(df.sparkSession) // 8))
 
 
-def with_row_key(docs: DataFrame, label: str, key: str = "row_key") -> DataFrame:
-    """``docs`` stored once with a number for every row in column ``key``, so that each row can get its own decision.
+def with_row_key(docs: DataFrame, label: str, key: str = "row_key", id_column: str = "doc_id") -> DataFrame:
+    """``docs`` with a number for every row in column ``key``, so that each row can get its own decision.
 
-    Numbers differ between rows whatever their ids are, and stay the same however often the table is read.
+    Ids that differ and are never null are such numbers already; that is looked up first, from the ids alone.
+    Otherwise the rows are numbered and stored once, so that the numbers stay the same however often they are read.
     """
+    own = F.col(id_column).cast("long")
+    shared = docs.groupBy(own.alias("id")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR id IS NULL")
+    if shared.isEmpty():
+        return docs.withColumn(key, own)
     return materialise(docs.withColumn(key, F.monotonically_increasing_id()), label)
 
 
