@@ -1,8 +1,8 @@
 """From raw documents to shards of training text, one stage after another.
 
 Every stage works on all rows its predecessor kept and returns the columns of
-``documents``; the last returns the placed rows. Decisions are made per row, by a number that a stage
-stores with its rows, so rows without an id or with the same one each get their own. ``run`` writes each stage to the
+``documents``; the last returns the placed rows. Decisions are made per row, by a number of its own:
+the id where all rows have different ones, else a number that the stage stores with its rows. ``run`` writes each stage to the
 shared folder and reads it back, so a lost executor never costs more than a stage.
 """
 
