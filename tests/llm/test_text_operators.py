@@ -327,8 +327,10 @@ def test_repeated_urls_leave_the_training_rows(spark, monkeypatch):
 
     trained = []
 
+    from landledger.storage import materialise
+
     def noted(df, label):
-        stored = df.localCheckpoint()
+        stored = materialise(df, label)
         if label == "url-train":
             trained.append(stored.count())
         return stored
