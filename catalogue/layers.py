@@ -201,6 +201,27 @@ def scan_feature_pages(spark, d):
     return readers.scan_feature_pages(spark, path, multi_line=False)
 
 
+@query(
+    "scan_numbered_pages",
+    "SELECT "
+    + ", ".join(f'"{c}"' for c in schemas.PLANNING_SOURCE_COLUMNS)
+    + " FROM b_pl_raw",
+)
+def scan_numbered_pages(spark, d):
+    """Applications landed as pages named by the offset of their first record, then scanned with their ledger checked."""
+    raw = b.pl_raw(spark, d)
+    keyed = storage.materialise(raw.withColumn("key", F.col("OBJECTID").cast("bigint")), "applications")
+    attributes = F.struct(F.struct(*[F.col(c) for c in raw.columns]).alias("attributes"))
+    path = _scratch(spark, "numbered-pages")
+    (
+        dense_row_id(keyed, ["key"], "id")
+        .groupBy(((F.col("id") - 1).cast("bigint") - (F.col("id") - 1) % 2000).alias("first"))
+        .agg(F.collect_list(attributes).alias("features"))
+        .write.partitionBy("first").json(path)
+    )
+    return readers.scan_numbered_pages(spark, path, multi_line=False)
+
+
 _TX_TEXT = ", ".join(
     f"upper(CAST({f.name} AS VARCHAR)[1]) || CAST({f.name} AS VARCHAR)[2:] AS {f.name}"
     if f.dataType.simpleString() == "boolean"

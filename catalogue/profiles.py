@@ -9,7 +9,7 @@ from catalogue.aggregates import q6, r6
 from catalogue.exploration import _missing_sql
 from catalogue.registry import cte, query
 from landledger import schemas
-from landledger.operators import profile
+from landledger.operators import copies, profile
 from landledger.plans import exploration as eda
 from landledger.storage import materialise
 
@@ -78,6 +78,21 @@ def drop_exact_duplicates(spark, d):
     return profile.drop_exact_duplicates(tx_twice(spark, d))
 
 
+@query("drop_copies", f"SELECT DISTINCT {ALL_SQL} FROM b_tx_raw")
+def drop_copies(spark, d):
+    """The same rows in two phases, from a stored table: only rows with a copy are shuffled."""
+    return copies.drop_copies(materialise(tx_twice(spark, d), "delivered"))
+
+
+@query(
+    "copy_count",
+    f"""SELECT CAST(sum(n) AS BIGINT) AS row_count, count(*) AS unique_rows, CAST(sum(n - 1) AS BIGINT) AS duplicate_rows
+    FROM (SELECT {ALL_SQL}, count(*) AS n FROM b_tx_twice GROUP BY ALL)""",
+)
+def copy_count(spark, d):
+    return copies.copy_count(materialise(tx_twice(spark, d), "delivered"))
+
+
 @query(
     "invalid_dates",
     f"""SELECT count(*) FILTER (WHERE try_strptime("{DATE}", '%d/%m/%Y') IS NULL) AS invalid_dates FROM b_tx_raw""",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,14 +51,14 @@ def reorder_project(df: DataFrame, columns=tuple(schemas.TX_COLUMNS)) -> DataFra
     return df.select(*columns)
 
 
-def clean_tx(raw: DataFrame) -> DataFrame:
+def clean_tx(raw: DataFrame, distinct: Callable[[DataFrame], DataFrame] = drop_exact_duplicates) -> DataFrame:
     """Cleaned sale register: 18 typed columns.
 
-    Copies go before trimming, so rows that differ in blanks both stay. After
-    that one shuffle everything is a projection.
+    Copies go before trimming, by ``distinct``, so rows that differ in blanks both stay. After
+    that everything is a projection.
     """
     require_columns(raw, schemas.REGISTER_SOURCE_COLUMNS)
-    df = rename_columns(drop_exact_duplicates(raw))
+    df = rename_columns(distinct(raw))
     df = df.withColumns({c: text.trim_text(c) for c in TEXT_COLUMNS})
     df = df.withColumns(
         {
@@ -111,7 +113,7 @@ def clean_index(raw: DataFrame) -> DataFrame:
     return df.select(*schemas.INDEX_COLUMNS)
 
 
-def clean_planning(raw: DataFrame) -> DataFrame:
+def clean_planning(raw: DataFrame, distinct: Callable[[DataFrame], DataFrame] = drop_exact_duplicates) -> DataFrame:
     """Planning rows without exact copies, text columns trimmed; no rows at all raise."""
     require_rows(raw)
     texts = {
@@ -119,7 +121,7 @@ def clean_planning(raw: DataFrame) -> DataFrame:
         for f in raw.schema.fields
         if isinstance(f.dataType, T.StringType)
     }
-    return drop_exact_duplicates(raw).withColumns(texts)
+    return distinct(raw).withColumns(texts)
 
 
 def as_text_layer(df: DataFrame) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from landledger.operators.profile import drop_exact_duplicates
 from landledger.plans import cleaning, exploration, marts, quality, staging
 from landledger.plans.reports import Marts, Years
 from landledger.sources.snapshots import Snapshot, Warehouse
@@ -27,24 +29,26 @@ def rebuild(
     warehouse: Warehouse,
     series: str = marts.NATIONAL_SERIES,
     unit: str = marts.NATIONAL_UNIT,
+    distinct: Callable[[DataFrame], DataFrame] = drop_exact_duplicates,
 ) -> dict[str, DataFrame]:
     """Replace every layer and return its tables by name.
 
     Each layer is written once and the next one reads the written table, so a
     source is cleaned once however many marts follow. Scratch goes when its layer is
     written. The table tests run over the new tables, their rows are saved as ``quality.table_tests``, and all of it
-    becomes current at once. A failed build or test raises and leaves readers with the tables they had.
+    becomes current at once. ``distinct`` removes copies from the register and the applications: ``copies.drop_copies``
+    shuffles only rows that have one, but reads its source three times. A failed build or test raises and leaves readers with the tables they had.
     """
     with warehouse.begin() as snapshot:
-        tables = _build(sources, warehouse.spark, snapshot, series, unit)
+        tables = _build(sources, warehouse.spark, snapshot, series, unit, distinct)
     return tables
 
 
-def _build(sources: Sources, spark: SparkSession, snapshot: Snapshot, series: str, unit: str) -> dict[str, DataFrame]:
+def _build(sources: Sources, spark: SparkSession, snapshot: Snapshot, series: str, unit: str, distinct: Callable) -> dict[str, DataFrame]:
     raw = {
-        "raw.ppr_transactions": cleaning.as_text_layer(cleaning.clean_tx(sources.register)),
-        "raw.rppi_series": cleaning.as_text_layer(cleaning.clean_index(sources.index)),
-        "raw.planning_applications": cleaning.clean_planning(sources.planning),
+        "raw.ppr_transactions": lambda: cleaning.as_text_layer(cleaning.clean_tx(sources.register, distinct)),
+        "raw.rppi_series": lambda: cleaning.as_text_layer(cleaning.clean_index(sources.index)),
+        "raw.planning_applications": lambda: cleaning.clean_planning(sources.planning, distinct),
     }
     tables: dict[str, DataFrame] = {}
 
@@ -55,7 +59,7 @@ def _build(sources: Sources, spark: SparkSession, snapshot: Snapshot, series: st
         with scratch(spark):
             tables.update(zip(names, run_together(jobs)))
 
-    save_all({name: lambda df=df: df for name, df in raw.items()})
+    save_all(raw)
     tx, ix, pl = "staging.ppr_transactions", "staging.rppi_series", "staging.planning_applications"
     save_all(
         {

@@ -17,6 +17,7 @@ from landledger.functions.text import (
     missing_to_null,
 )
 from landledger.operators.profile import require_columns
+from landledger.sources.page_ledger import check_ledger, page_ledger
 from landledger.storage import materialise, run_together
 
 
@@ -79,7 +80,30 @@ def scan_feature_pages(
 
     An ``error`` payload or no feature at all raises, as a failed download does.
     """
-    pages = materialise(spark.read.schema(page_schema).option("multiLine", multi_line).json(path), "pages")
+    return _features(materialise(spark.read.schema(page_schema).option("multiLine", multi_line).json(path), "pages"))
+
+
+def scan_numbered_pages(
+    spark: SparkSession,
+    path: str,
+    multi_line: bool = True,
+    page_schema: T.StructType = schemas.FEATURE_PAGE,
+) -> DataFrame:
+    """Landed JSON pages, each in a file or folder ``first=...`` named by the offset of its first record, one row per
+    feature's attributes.
+
+    Besides what ``scan_feature_pages`` refuses, a lost, doubled, overlapping or cut page raises and is named with its
+    offset: the pages must be one gapless sequence of records that starts at 0. One page a file.
+    """
+    more = T.StructField("exceededTransferLimit", T.BooleanType(), True)
+    named = spark.read.schema(T.StructType([*page_schema.fields, more])).option("multiLine", multi_line).json(path)
+    pages = materialise(named.select("*", F.col("_metadata.file_path").alias("page")), "numbered-pages")
+    features = _features(pages)
+    check_ledger(materialise(page_ledger(pages), "page-ledger"))
+    return features
+
+
+def _features(pages: DataFrame) -> DataFrame:
     seen = pages.agg(
         F.max("error").alias("error"), F.sum(F.coalesce(F.size("features"), F.lit(0))).alias("features")
     ).first()

@@ -134,3 +134,44 @@ def test_reports_missing_from_the_folder(spark, tmp_path):
     writers.sink_reports({"a": monthly(spark)}, str(tmp_path))
     found = readers.scan_reports(spark, str(tmp_path), expected)
     assert list(found) == ["a"] and found["a"].count() == 2
+
+
+def land(folder, pages, last=None):
+    """Pages as (offset, records)."""
+    for i, (first, n) in enumerate(pages):
+        body = page(*[{"OBJECTID": first + k} for k in range(n)], exceededTransferLimit=i != last and i + 1 < len(pages))
+        write(folder / f"page-{first:09d}{'abcdefgh'[i]}.json", body)
+    return str(folder)
+
+
+def test_numbered_pages(spark, tmp_path):
+    whole = land(tmp_path / "whole", [(0, 3), (3, 3), (6, 2), (8, 1)])
+    assert sorted(int(r.OBJECTID) for r in readers.scan_numbered_pages(spark, whole).collect()) == list(range(9))
+    # an empty page may end the sequence
+    assert readers.scan_numbered_pages(spark, land(tmp_path / "closed", [(0, 3), (3, 0)])).count() == 3
+
+
+@pytest.mark.parametrize(
+    "pages, told",
+    [
+        ([(0, 3), (6, 3)], "offset 3: no page begins where this one ends"),
+        ([(0, 3), (3, 2), (6, 3)], "offset 5: no page begins where this one ends"),
+        ([(3, 3)], "offset 0: no page begins here"),
+        ([(0, 3), (2, 3)], "offset 2: a page begins inside this one"),
+        ([(0, 3), (3, 3), (3, 3)], "offset 3: more than one page begins here"),
+        ([(0, 3), (1, 0), (3, 1)], "offset 1: an empty page that is not the end"),
+        ([(0, 9), (2, 1), (9, 1)], "offset 3: no page begins where this one ends"),
+    ],
+)
+def test_pages_that_are_no_sequence(spark, tmp_path, pages, told):
+    with pytest.raises(ValueError, match=told):
+        readers.scan_numbered_pages(spark, land(tmp_path / "p", pages))
+
+
+def test_pages_without_number_or_end(spark, tmp_path):
+    write(tmp_path / "n" / "page.json", page({"OBJECTID": 1}))
+    with pytest.raises(ValueError, match="offset None: no offset in the name"):
+        readers.scan_numbered_pages(spark, str(tmp_path / "n"))
+    write(tmp_path / "m" / "0.json", page({"OBJECTID": 1}, exceededTransferLimit=True))
+    with pytest.raises(ValueError, match="offset 1: the service had more records"):
+        readers.scan_numbered_pages(spark, str(tmp_path / "m"))
