@@ -167,6 +167,28 @@ def scan_tx_csv(spark, d):
     return readers.scan_tx_csv(spark, path)
 
 
+_BREAK = """CASE WHEN "Address" LIKE '%7' THEN "Address" || chr(10) || '"' || chr(10) || 'x' ELSE "Address" END"""
+
+
+@query("scan_tx_quoted", f"""SELECT * REPLACE ({_BREAK} AS "Address") FROM b_tx_raw""")
+def scan_tx_quoted(spark, d):
+    """The register with line breaks and quotes in every tenth address or so, scanned by splits."""
+    raw = b.tx_raw(spark, d)
+    broken = F.when(F.col("Address").endswith("7"), F.concat("Address", F.lit('\n"\nx'))).otherwise(F.col("Address"))
+    raw = raw.withColumn("Address", broken)
+    encoded = raw.select(*[text.cp1252_to_latin1(f"`{c}`").alias(text.cp1252_name(c)) for c in raw.columns])
+    path = _scratch(spark, "register-quoted")
+    (
+        encoded.write.option("header", True)
+        .option("encoding", "ISO-8859-1")
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+    return readers.scan_tx_quoted(spark, path)
+
+
 @query(
     "scan_index_csv",
     """SELECT "Statistic Label", "Month", "Type of Residential Property", "UNIT", "VALUE" FROM b_ix_raw""",

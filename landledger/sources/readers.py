@@ -18,6 +18,7 @@ from landledger.functions.text import (
 )
 from landledger.operators.profile import require_columns
 from landledger.sources.page_ledger import check_ledger, page_ledger
+from landledger.sources.quoted_csv import scan_quoted_csv
 from landledger.storage import materialise, run_together
 
 
@@ -48,6 +49,17 @@ def scan_tx_csv(
     """
     names = _csv(spark, "ISO-8859-1", multi_line).csv(path).columns
     df = _csv(spark, "ISO-8859-1", multi_line).schema(schemas.text_schema(names)).option("enforceSchema", False).csv(path)
+    return _register(df, missing)
+
+
+def scan_tx_quoted(spark: SparkSession, path: str, missing=MISSING_TOKENS) -> DataFrame:
+    """``scan_tx_csv`` for registers with quoted line breaks, whose files are split all the same; they are read
+    three times, once to count quotes and once more where a block's edge cuts a record. All files must have one header.
+    """
+    return _register(scan_quoted_csv(spark, path, "ISO-8859-1"), missing)
+
+
+def _register(df: DataFrame, missing) -> DataFrame:
     df = df.toDF(*[decode_header(c) for c in df.columns])
     require_columns(df, schemas.REGISTER_SOURCE_COLUMNS)
     return df.select(
