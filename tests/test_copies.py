@@ -1,7 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from landledger import schemas
 from landledger.operators import copies
+from landledger.plans import cleaning
 
 
 @pytest.fixture(scope="module")
@@ -41,3 +43,10 @@ def test_empty_nulls_and_one_hot_row(spark):
 def test_nested_columns(spark):
     df = spark.sql("SELECT array(named_struct('n', id % 3)) AS s, CAST('NaN' AS double) AS x FROM range(9)")
     assert copies.drop_copies(df).count() == 3
+
+
+def test_cleaning_takes_either_way(spark):
+    given = [("01/03/2020", f"a{i % 3}", "CORK", None, "€1,000.00", "No", "Yes", None, None) for i in range(8)]
+    raw = spark.createDataFrame(given, schemas.text_schema(schemas.REGISTER_SOURCE_COLUMNS))
+    assert plain(cleaning.clean_tx(raw, copies.drop_copies)) == plain(cleaning.clean_tx(raw))
+    assert cleaning.clean_planning(raw, copies.drop_copies).count() == 3
