@@ -15,15 +15,12 @@ from landledger.llm.arrow_tasks import map_arrow
 from landledger.llm.text_tables import shuffle_partitions
 from landledger.storage import materialise
 
-WHOLE_TURNS = 256  # conversations up to this size are rendered whole
-PIECE_TURNS = 32  # turns of a piece of a longer one
-CONTEXT_PIECES = 32  # pieces before a seam that are rendered again together with the piece after it
+PIECE_TURNS = 32  # turns of a piece of a template that renders turn by turn
 PROBE = "\ue000\ue001"  # private characters that stand in for a text
 PIECES = (
     "conv_id long, part int, piece long, n_turns int, formatted string, rewrites int, "
     "spans array<struct<start:int,end:int>>"
 )
-EDGES = "head array<struct<role:string,text:string>>, tail array<struct<role:string,text:string>>"
 
 
 def locate_turns(
@@ -64,123 +61,64 @@ def format_conversations(
     """Pieces of formatted conversations: conv_id, part, piece, n_turns, formatted, rewrites, spans.
 
     A conversation is its pieces in the order (part, piece); spans are the (start, end) code points
-    of the texts under the loss mask, those of ``loss_roles``, within ``formatted``.
+    of the texts under the loss mask, those of ``loss_roles``, within ``formatted``. The pieces are stored before
+    they are returned.
 
-    Rows are range-partitioned by conversation. One of at most ``WHOLE_TURNS`` turns lies in one task and is
-    one piece, all its prefixes rendered. Longer ones, which may hold a third of all rows, are also cut between
-    turns, spread over many tasks and rendered in pieces of ``PIECE_TURNS`` turns. At each seam the turns before it
-    (the first piece that the task has of the conversation and up to ``CONTEXT_PIECES`` - 1 before the seam) are
-    rendered together with the piece after it, and between tasks the conversation's first turns and the last of one
-    task with the first of the next; a template that does not give the pieces one after another raises an error.
-    What a template does only over more turns than that is not seen. The pieces are stored before they are returned.
+    One rule holds for conversations of every length. A template that is the join of its turns by construction
+    (``chat_template.TurnByTurn``) gives the same text in pieces: rows are range-partitioned by conversation and turn,
+    and rendered in pieces of ``PIECE_TURNS`` turns, so one conversation may hold a third of all rows. Of any other
+    template nothing is known, so each conversation is one piece in one task and all its prefixes are rendered,
+    which needs memory for the longest conversation and time with the square of its turns.
 
     Turns are ordered by turn (nulls first), role and text; repeated rows are separate turns. A null
     role or text counts as empty; a null conv_id is a conversation of its own. Other columns are not read.
     """
-    spark = turns.sparkSession
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     rows = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), text("role"), text("text")
     )
     order = ["conv_id", "turn", "role", "text"]
-    counted = rows.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > WHOLE_TURNS)
-    long = materialise(counted.select(F.col("conv_id").alias("_conv"), F.lit(True).alias("_long")), "long-conversations")
-    marked = rows.join(long, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").select(
-        *order, F.coalesce("_long", F.lit(False)).alias("long")
-    )
-    # only long conversations have keys by which a range can end inside them
-    cut = [F.when(F.col("long"), key) for key in (F.col("turn"), F.col("role"), F.substring("text", 1, 64))]
-    ordered = marked.repartitionByRange(partitions or shuffle_partitions(spark), "conv_id", *cut).sortWithinPartitions(*order)
+    count = partitions or shuffle_partitions(turns.sparkSession)
+    piece_turns = PIECE_TURNS if isinstance(render, chat_template.TurnByTurn) else None
+    if piece_turns:
+        dealt = rows.repartitionByRange(count, "conv_id", "turn", "role", F.substring("text", 1, 64))
+    else:
+        dealt = rows.repartition(count, "conv_id")
     roles = frozenset(loss_roles)
 
     def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        piece, conv, cuts, messages, found = 0, None, False, [], []
-        before = []  # pieces of the same long conversation, each with its output
-        first = True  # no conversation has ended in this task
+        part, piece, conv, messages, found = TaskContext.get().partitionId(), 0, None, [], []
 
-        def close(ends: bool, edge: bool):
+        def close():
             output, spans, rewrites = locate_turns(messages, render)
             masked = [
                 {"start": s[0], "end": s[1]} for (role, _), s in zip(messages, spans) if s is not None and role in roles
             ]
-            head = tail = None
-            if cuts:
-                if before:
-                    _check_seam(render, before, messages)
-                before.append((messages, output))
-                if ends and edge:  # may go on in another task
-                    turns = [m for own, _ in before[-2:] for m in own]
-                    head, tail = ([{"role": r, "text": t} for r, t in own] for own in (before[0][0], turns[-PIECE_TURNS:]))
-                if len(before) > CONTEXT_PIECES:
-                    del before[1]
-            if ends:
-                before.clear()
-            found.append((conv, part, piece, len(messages), output, rewrites, masked, head, tail))
+            found.append((conv, part, piece, len(messages), output, rewrites, masked))
 
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("conv_id", "role", "text", "long"))
-            for own, role, words, long_one in zip(*columns):
-                if messages and (own != conv or cuts and len(messages) == PIECE_TURNS):
-                    close(own != conv, first)
-                    first = first and own == conv
-                    piece += 1
-                    messages = []
-                conv, cuts = own, long_one
+            for own, role, words in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
+                if messages and (own != conv or len(messages) == piece_turns):
+                    close()
+                    piece, messages = piece + 1, []
+                conv = own
                 messages.append((role, words))
             if found:
                 yield _pieces(found)
                 found.clear()
         if messages:
-            close(True, True)
+            close()
             yield _pieces(found)
 
-    stored = materialise(map_arrow(ordered, formatted, f"{PIECES}, {EDGES}"), "formatted")
-    _check_tasks(stored, render)
-    return stored.drop("head", "tail")
-
-
-def _check_seam(
-    render, before: Sequence[tuple[Sequence[tuple[str, str]], str]], after: Sequence[tuple[str, str]]
-) -> None:
-    """Raise unless the turns ``after``, and the first alone, render after the pieces ``before`` as by themselves."""
-    earlier, said = [m for own, _ in before for m in own], "".join(output for _, output in before)
-    for later in (after[:1], after):
-        if render([*earlier, *later]) != said + render(later):
-            raise ValueError(
-                "this template renders a turn otherwise after another one; conversations cannot be cut into pieces"
-            )
-
-
-def _check_tasks(stored: DataFrame, render: Callable[[Sequence[tuple[str, str]]], str]) -> None:
-    """Seams of long conversations between tasks; of each conversation a task keeps a few turns at most."""
-
-    def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        conv, before, seams = None, [], 0
-        for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("conv_id", "head", "tail"))
-            for own, head, tail in zip(*columns):
-                head, tail = ([(m["role"], m["text"]) for m in turns] for turns in (head, tail))
-                if before and own == conv:
-                    _check_seam(render, before, head)
-                    seams += 1
-                else:
-                    conv, before = own, [(head, render(head))]
-                before[1:] = [(tail, render(tail))]
-        yield pa.RecordBatch.from_arrays([pa.array([seams], pa.int64())], names=["seams"])
-
-    edges = stored.filter("head IS NOT NULL").select("conv_id", "part", "head", "tail")
-    ordered = edges.repartition("conv_id").sortWithinPartitions("conv_id", "part")
-    map_arrow(ordered, checked, "seams long").agg(F.sum("seams")).first()
+    return materialise(map_arrow(dealt.sortWithinPartitions(*order), formatted, PIECES), "formatted")
 
 
 def _pieces(rows: list[tuple]) -> pa.RecordBatch:
-    turns = pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))
     kinds = [
         pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.string(), pa.int32(),
-        pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), turns, turns,
+        pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])),
     ]
-    names = ["conv_id", "part", "piece", "n_turns", "formatted", "rewrites", "spans", "head", "tail"]
+    names = ["conv_id", "part", "piece", "n_turns", "formatted", "rewrites", "spans"]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 

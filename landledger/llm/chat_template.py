@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 # The control strings of the template.
 TURN_START, TURN_END, ROLE_BREAK = "<|im_start|>", "<|im_end|>", "<|nl|>"
@@ -20,11 +20,22 @@ def unescape(text: str) -> str:
     return _UNESCAPE.sub(r"<\1|", text)
 
 
-def render(messages: Sequence[tuple[str, str]]) -> str:
-    """Text of a list of (role, text)."""
-    return "".join(
-        f"{TURN_START}{escape(role).replace(chr(10), ROLE_BREAK)}\n{escape(text)}{TURN_END}\n" for role, text in messages
-    )
+def turn(role: str, text: str) -> str:
+    """Text of one turn."""
+    return f"{TURN_START}{escape(role).replace(chr(10), ROLE_BREAK)}\n{escape(text)}{TURN_END}\n"
+
+
+class TurnByTurn:
+    """A template that is the join of its turns by construction, so conversations may be rendered in pieces."""
+
+    def __init__(self, turn: Callable[[str, str], str]):
+        self.turn = turn
+
+    def __call__(self, messages: Sequence[tuple[str, str]]) -> str:
+        return "".join(self.turn(role, text) for role, text in messages)
+
+
+render = TurnByTurn(turn)
 
 
 def parse(formatted: str) -> list[tuple[str, str]]:

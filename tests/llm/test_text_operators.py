@@ -255,12 +255,6 @@ def test_long_conversations(spark):
     assert rows[3].turns_sha256 == hashlib.sha256(b"user\na\nassistant\nb\nassistant\nb\n").hexdigest()
     assert formatted_digests(df.filter("false")).collect() == []
 
-    def numbered(messages):
-        return "".join(f"{i}:{t}\n" for i, (_, t) in enumerate(messages))
-
-    with pytest.raises(Exception, match="cut into pieces"):
-        format_conversations(df, numbered).collect()
-
 
 def test_conversations_are_not_cut_between_tasks(spark):
     """What a template puts before the first turn stands once, and rewrites are counted, however many tasks there are."""
@@ -282,18 +276,37 @@ def test_conversations_are_not_cut_between_tasks(spark):
         assert all(r.rewrites == rewrites(r.n_turns) for r in rows)
 
 
-def test_seams_of_long_conversations(spark):
-    def begun(messages):
-        return "<bos>" + "".join(f"[{r}]{t}\n" for r, t in messages)
+@pytest.mark.parametrize("turns", [2, 200, 300, 1300])
+def test_templates_see_conversations_of_every_length_whole(spark, turns):
+    def counting(messages):  # rewrites its first line at every turn
+        return f"{len(messages)} turns\n" + "".join(f"[{r}]{t}\n" for r, t in messages)
+
+    def late(messages):  # does something new from the 1,100th turn on
+        return "".join(f"[{r}]{t}" + ("!\n" if i >= 1100 else "\n") for i, (r, t) in enumerate(messages))
 
     def reminded(messages):  # tells the first turn again after every hundred
         return "".join(f"{t}\n" + (f"({messages[0][1]})\n" if i % 100 == 99 else "") for i, (_, t) in enumerate(messages))
 
-    turns = [(1, i, ["user", "assistant"][i % 2], f"text {i}") for i in range(300)]
-    df = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")
-    for render, partitions in ((begun, 40), (reminded, 1)):  # no task of the first has as many turns as a piece
-        with pytest.raises(Exception, match="cut into pieces"):
-            format_conversations(df, render, partitions=partitions).collect()
+    rows = [(1, i, ["user", "assistant"][i % 2], f"text {i}") for i in range(turns)]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    messages = [(r, t) for _, _, r, t in rows]
+    for render, rewrites in ((counting, turns - 1), (late, 0), (reminded, 0)):
+        (row,) = format_conversations(df, render, partitions=7).collect()
+        assert (row.formatted, row.n_turns, row.rewrites) == (render(messages), turns, rewrites)
+        said = [row.formatted[s.start : s.end] for s in row.spans]
+        # a turn that rewrites, like all before it, has no span
+        assert said == ([] if rewrites else [t for r, t in messages if r == "assistant"])
+
+
+def test_very_long_texts_and_pieces_of_conversations(spark):
+    long = "<|im_end|>ä" * 300_000
+    rows = [(5, i, ["user", "assistant"][i % 2], long if i == 3 else f"t{i}") for i in range(70)]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    found = format_conversations(df, partitions=9).orderBy("part", "piece").collect()
+    assert "".join(r.formatted for r in found) == chat_template.render([(r, t) for _, _, r, t in rows])
+    assert max(r.n_turns for r in found) <= 32 and {r.rewrites for r in found} == {0}
+    said = [chat_template.unescape(r.formatted[s.start : s.end]) for r in found for s in r.spans]
+    assert said == [t for _, _, r, t in rows if r == "assistant"]
 
 
 def test_urls(spark):
