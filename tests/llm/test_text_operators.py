@@ -20,7 +20,7 @@ from landledger.llm.near_dedup import REGISTERS, estimate, near_duplicates, regi
 from landledger.llm.resharding import reshard, rewrite_shards, transfers
 from landledger.llm.substring_dedup import repeated_passages
 from landledger.llm.toxicity import toxicity
-from landledger.llm.url_filter import host_and_path, url_filter
+from landledger.llm.url_filter import held_out_verdicts, host_and_path, url_filter
 from landledger.llm.word_hashes import ALNUM, BLOCK, NOT_SPACE, document_words, ngrams
 
 @pytest.fixture(scope="module")
@@ -334,6 +334,29 @@ def test_urls_beyond_the_rules(spark):
     assert sum(new) >= 0.95 * len(new)
 
 
+def test_trees_judge_hosts_they_have_not_seen(spark):
+    """Held-out hosts are judged by their urls; a suffix that a rule covers says nothing about its other pages."""
+    rng = random.Random(8)
+    good = lambda h: f"https://{h}/about/{prose(1, rng.random())}"
+    bad = lambda h: f"http://{h}/ads/{rng.randint(10**6, 10**9)}?a={rng.randint(0, 9)}&b=1&c=2"
+    rows = [good(f"{prose(1, i)}{i}.ok") for i in range(300)] + [bad(f"{prose(1, i)}{i}.mix") for i in range(300)]
+    rows += [good(f"{prose(1, -i)}{i}.mix") for i in range(1, 200)]  # no rule; most labelled pages of mix are blocked
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    rules = [("ok/", "allow"), ("mix/ads/", "block")]
+    held = held_out_verdicts(pages, rules).collect()
+    assert len(held) > 100 and sum(r.says == r.verdict for r in held) >= 0.95 * len(held)
+    free = [r.verdict for r in url_filter(pages, rules).filter("rule IS NULL").collect()]
+    assert len(free) == 199 and free.count("allow") >= 190
+
+
+def test_very_long_urls(spark):
+    long = "https://a.new/" + "x1/" * 200_000 + "?q=1"
+    rows = [(0, long), (1, None), (2, "https://a.com/" + "y" * 500_000), (3, "http://b.net/es/1"), (4, "http://c.net/fr/" + "9" * 300)]
+    found = {r.page_id: r for r in url_filter(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert found[0].path == long[len("https://a.new") : -4] and found[0].rule is None and 0 <= found[0].score <= 1
+    assert (found[2].rule, found[2].verdict, len(found[2].path)) == ("com/", "allow", 500_001)
+
+
 def test_repeated_urls_leave_the_training_rows(spark, monkeypatch):
     """Verdicts and scores do not depend on how often each url is repeated, and training takes all rows it may."""
     import landledger.llm.url_filter as module
