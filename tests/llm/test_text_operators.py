@@ -425,6 +425,74 @@ def test_transfers_move_the_fewest_bytes():
         transfers([1], [2])
 
 
+def test_transfers_are_the_cheapest_for_any_costs():
+    """No cycle of the remaining arcs lowers the cost, which proves a flow the cheapest; small cases by trying all."""
+    rng = random.Random(9)
+
+    def all_flows(sizes, capacities):
+        if not sizes:
+            yield 0, []
+            return
+        def rows(amount, free):
+            if len(free) == 1:
+                if amount <= free[0]:
+                    yield [amount]
+                return
+            for first in range(min(amount, free[0]) + 1):
+                for rest in rows(amount - first, free[1:]):
+                    yield [first, *rest]
+        for own in rows(sizes[0], capacities):
+            for _, rest in all_flows(sizes[1:], [c - o for c, o in zip(capacities, own)]):
+                yield 0, [own, *rest]
+
+    for case in range(60):
+        count = rng.randint(1, 7) if case >= 20 else 3
+        sizes = [rng.randint(0, 10**12 if case >= 20 else 3) for _ in range(count)]
+        cuts = sorted(rng.randint(0, sum(sizes)) for _ in range(count - 1))
+        capacities = [b - a for a, b in zip([0, *cuts], [*cuts, sum(sizes)])]
+        costs = [[rng.randint(0, 9) for _ in range(count)] for _ in range(count)]
+        flow = transfers(sizes, capacities, lambda i, j: costs[i][j])
+        moved = {(i, j): n for i, j, n in flow}
+        assert [sum(moved.get((i, j), 0) for j in range(count)) for i in range(count)] == sizes
+        assert [sum(moved.get((i, j), 0) for i in range(count)) for j in range(count)] == capacities
+        dist = [0] * (2 * count)
+        for turn in range(2 * count + 1):
+            changed = False
+            for i in range(count):
+                for j in range(count):
+                    for a, b, c in [(i, count + j, costs[i][j])] + [(count + j, i, -costs[i][j])] * ((i, j) in moved):
+                        if dist[a] + c < dist[b]:
+                            dist[b], changed = dist[a] + c, True
+            if not changed:
+                break
+        assert not changed
+        if case < 20:
+            least = min(sum(costs[i][j] * f[i][j] for i in range(3) for j in range(3)) for _, f in all_flows(sizes, capacities))
+            assert sum(costs[i][j] * n for i, j, n in flow) == least
+    with pytest.raises(ValueError, match="negative"):
+        transfers([1, 0], [0, 1], lambda i, j: -1)
+
+
+def test_closed_shards_and_arc_costs(spark):
+    docs = docs_of(spark, [(i, "x" * (i % 50), f"s{i % 5}") for i in range(2_000)])
+    old = F.col("doc_id") % 4
+    racks = lambda i, j: 0 if i == j else 1 if i // 2 == j // 2 else 10  # noqa: E731 - two shards a rack
+    found = reshard(docs, old_shard=old, shards=6, cost=racks, closed=[1]).collect()
+    sizes = {s: sum(r.size for r in found if r.shard == s) for s in range(6)}
+    assert sizes[1] == 0 and max(sizes.values()) - min(sizes[s] for s in (0, 2, 3, 4, 5)) <= 200
+    # the other shard of its rack keeps what it has and takes from the closed one before shards further off do
+    kept = sum(r.size for r in found if r.shard == 0 and r.old_shard in (0, 1))
+    assert kept >= 0.98 * sizes[0]
+    with pytest.raises(ValueError, match="closed"):
+        reshard(docs, shards=2, closed=[0, 1])
+
+
+def test_rewriting_needs_ids_that_tell_rows(spark, tmp_path):
+    docs = docs_of(spark, [(1, "a", "s"), (1, "b", "s"), (2, "c", "s")])
+    with pytest.raises(ValueError, match="id 1"):
+        rewrite_shards(docs, reshard(docs, shards=2), str(tmp_path))
+
+
 def test_resharding_odd_rows(spark, odd, none, tmp_path):
     assert reshard(none).collect() == []
     rows = reshard(odd).collect()
