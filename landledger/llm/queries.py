@@ -52,7 +52,23 @@ def op2_toxicity(spark, sf_dir):
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query("op10_near_dedup")
+@query(
+    "op10_near_dedup",
+    r"""WITH RECURSIVE docs AS MATERIALIZED (SELECT doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS w FROM documents),
+    shingles AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)] END) AS s FROM docs),
+    sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM shingles a JOIN shingles b USING (s)
+        WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+    pairs AS (SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+        WHERE 100 * shared.n >= 80 * (p.n + q.n - shared.n)),
+    links AS MATERIALIZED (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs),
+    reached(doc_id, other) AS (SELECT doc_id, doc_id FROM docs
+        UNION SELECT reached.doc_id, links.y FROM reached JOIN links ON links.x = reached.other)
+    SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+    FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id""",
+)
 def op10_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, percent=80)
 
