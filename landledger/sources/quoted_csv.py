@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -62,46 +64,76 @@ def quoted_records(spark: SparkSession, path: str, encoding: str = "UTF-8", long
     )
 
     def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, parts, size, within, place, began = None, [], 0, False, 0, True
+        schema = pa.schema(
+            [("file", pa.string()), ("start", pa.int64()), ("place", pa.int32()), ("kind", pa.string()), ("header", pa.bool_()), ("record", pa.string())]
+        )
+        # `began`: the record in hand began in this block; `at`: number of the next line in it, `first` of the piece's
+        block, parts, size, within, at, first, began = None, [], 0, False, 0, 0, True
         out: list[tuple] = []
 
         def close(kind: str):
-            nonlocal parts, size, place, began
-            text = "\n".join(parts)
-            out.append((*block, place, kind, block[1] == 0 and place == 0, text))
-            parts, size, place, began = [], 0, place + 1, True
-
-        def batch_of():
-            kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.bool_(), pa.string()]
-            names = ["file", "start", "place", "kind", "header", "record"]
-            batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
-            out.clear()
-            return batch
+            nonlocal parts, size, began
+            out.append((*block, first, kind, block[1] == 0 and first == 0, "\n".join(parts)))
+            parts, size, began = [], 0, True
 
         def finish():
             if parts:  # the block ends within quotes
                 close("begin" if began else "middle")
 
+        def pieces():
+            batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+            out.clear()
+            return batch
+
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("file", "start", "line", "inside"))
-            for file, start, line, inside in zip(*columns):
-                if block != (file, start):
+            if not batch.num_rows:
+                continue
+            files, starts, lines, states = (batch.column(c) for c in ("file", "start", "line", "inside"))
+            where = starts.to_numpy()
+            new = where[1:] != where[:-1]
+            if len(new):
+                new |= pc.not_equal(files[1:], files[:-1]).to_numpy(zero_copy_only=False)
+            odd = pc.count_substring(lines, '"').to_numpy(zero_copy_only=False) % 2
+            if pc.max(pc.utf8_length(lines)).as_py() >= longest:
+                at_fault = int(np.argmax(pc.utf8_length(lines).to_numpy(zero_copy_only=False)))
+                raise ValueError(f"a record of more than {longest} characters in {files[at_fault]}, block at {starts[at_fault]}")
+            alone, number = np.zeros(len(where), bool), np.zeros(len(where), np.int32)
+            edges = [0, *(np.flatnonzero(new) + 1).tolist(), len(where)]
+            for low, high in zip(edges, edges[1:]):
+                key = (files[low].as_py(), int(where[low]))
+                if block != key:
                     finish()
-                    # `began`: the record in hand began in this block
-                    block, place, within, began = (file, start), 0, inside, not inside
-                parts.append(line)
-                size += len(line) + 1
-                if size > longest:
-                    raise ValueError(f"a record of more than {longest} characters in {file}, block at {start}")
-                if line.count('"') % 2:
-                    within = not within
-                if not within:
-                    close("whole" if began else "end")
+                    inside = states[low].as_py()
+                    block, within, at, began = key, inside, 0, not inside
+                after = (np.cumsum(odd[low:high]) + within) % 2 == 1
+                before = np.concatenate([[within], after[:-1]])
+                number[low:high] = np.arange(at, at + high - low)
+                # a line that begins and ends outside of quotes is a record
+                alone[low:high] = ~before & ~after
+                for i in np.flatnonzero(before | after).tolist():
+                    if not parts:
+                        first = at + i
+                    line = lines[low + i].as_py()
+                    parts.append(line)
+                    size += len(line) + 1
+                    if size > longest:
+                        raise ValueError(f"a record of more than {longest} characters in {block[0]}, block at {block[1]}")
+                    if not after[i]:
+                        close("whole" if began else "end")
+                within, at = bool(after[-1]), at + high - low
+            if alone.any():
+                single = pa.array(alone)
+                place = pa.array(number[alone])
+                yield pa.RecordBatch.from_arrays(
+                    [files.filter(single), starts.filter(single), place, pa.array(["whole"] * len(place)),
+                     pa.array((where[alone] == 0) & (number[alone] == 0)), lines.filter(single)],
+                    schema=schema,
+                )
             if out:
-                yield batch_of()
+                yield pieces()
         finish()
         if out:
-            yield batch_of()
+            yield pieces()
 
     columns = ["file", "start", "line", "inside"]
     whole = known.select(*columns).mapInArrow(assembled, _PIECES).filter("kind = 'whole'")
