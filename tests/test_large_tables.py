@@ -94,22 +94,10 @@ def test_clean_text_may_be_compressed(spark, tmp_path):
 
 
 def test_url_words_of_labelled_hosts_reach_hosts_without_a_rule(spark):
-    """With the contract's rules all labelled hosts end in com or net, so rates of such endings were never used."""
-    from landledger.llm import url_filter as module
+    """Pages that differ by their first segment alone, of the same letters, so by no lexical feature."""
+    from landledger.llm.url_filter import url_filter
 
-    urls = [f"https://h{i}.{end}/{lang}/{i}" for i in range(60) for end in ("com", "net") for lang in ("es", "de")]
-    urls += [f"https://h{i}.org/{lang}/{i}" for i in range(40) for lang in ("es", "de")]
+    urls = [f"https://h{i}.{end}/{word}/{i}" for i in range(100, 250) for end in ("test", "new") for word in ("zq", "qz")]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
-    labelled = module._with_rules(pages, module.RULES, "page_id", "url").filter("rule IS NOT NULL")
-    train = module._lexical(labelled.withColumn("blocked", (F.col("says") == "block").cast("double")))
-    rates = module._rates(train, 0.5)
-    words = F.xxhash64(F.lit("es")), F.xxhash64(F.lit("h1"))
-    assert rates.filter(F.col("word") == words[0]).count() == module.FOLDS and rates.filter(F.col("word") == words[1]).count() > 0
-    scores = {r.page_id: r.score for r in module.url_filter(pages).filter("rule IS NULL").collect()}
-    flat = lambda *_: spark.createDataFrame([], rates.schema)
-    kept, module._rates = module._rates, flat
-    try:
-        without = {r.page_id: r.score for r in module.url_filter(pages).filter("rule IS NULL").collect()}
-    finally:
-        module._rates = kept
-    assert len(scores) == 140 and scores != without
+    found = url_filter(pages, [("test/", "allow"), ("test/zq/", "block")]).filter("rule IS NULL").collect()
+    assert len(found) == 300 and all((r.verdict == "block") == r.path.startswith("/zq/") for r in found)
